@@ -1,0 +1,22 @@
+"""Broadcast only behind a size check.
+
+`broadcast_if_bounded` counts at most `max_rows + 1` rows of the side (a limit
+stops the scan early) and broadcasts only when it fits.  Otherwise the side is
+returned untouched and the join stays a shuffle join, which AQE may still turn
+into a broadcast join at run time once it has measured the real size.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from postlytics import config as C
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if bounded_rows(df, max_rows) else df
