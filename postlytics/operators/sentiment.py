@@ -23,6 +23,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from postlytics import config as C
 from postlytics.functions.text import tokens
+from postlytics.session import ensure_checkpoint_dir
 
 SENTIMENT_TYPE = StructType([
     StructField("label", StringType(), True),
@@ -79,6 +80,7 @@ def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "l
     The token counts are checkpointed once (shared checkpoint folder), so the
     vocabulary size and class totals are cheap scalars over the stored table.
     """
+    ensure_checkpoint_dir(docs.sparkSession)
     toks = (docs.select(F.col(label_col).alias("label"),
                         F.explode(tokens(F.col(text_col))).alias("token"))
             .where(F.col("token") != ""))

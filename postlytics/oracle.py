@@ -101,3 +101,187 @@ register("agg_daily_sentiment", with_ctes(*BASE, body=f"""
 SELECT dayofmonth, count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment
 FROM enriched WHERE dayofmonth IN ({DAYS})
 GROUP BY dayofmonth ORDER BY dayofmonth"""))
+
+UTC_DAY = "CAST(to_timestamp(TRY_CAST(created_at AS BIGINT) // 1000) AT TIME ZONE 'UTC' AS DATE)"
+
+STATE = f"""
+days AS (SELECT *, {UTC_DAY} AS _day FROM posts),
+insert_log AS (
+  SELECT author_id, max(tweet_id) AS id, CAST(_day AS TIMESTAMP) + INTERVAL 1 DAY AS date_time
+  FROM days WHERE _day < DATE '2024-01-15' GROUP BY author_id, _day
+),
+processed_log AS (
+  SELECT DISTINCT author_id,
+         CAST(_day AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 5 MINUTE AS file_modified_date,
+         CAST(_day AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 10 MINUTE AS date_time
+  FROM days WHERE _day < DATE '2024-01-15'
+),
+authors AS (SELECT DISTINCT author_id FROM posts),
+raw_latest AS (SELECT author_id, arg_max(id, date_time) AS last_id FROM insert_log GROUP BY author_id),
+raw_state AS (
+  SELECT a.author_id, coalesce(r.last_id, 0) AS last_id FROM authors a LEFT JOIN raw_latest r USING (author_id)
+)"""
+
+NB = """
+ldocs AS (
+  SELECT d.doc_id, d.text,
+         CASE WHEN l.toxic = 1 THEN 'Negative' WHEN l.quality = 1 THEN 'Positive' ELSE 'Neutral' END AS label
+  FROM documents d JOIN labels l USING (doc_id)
+),
+dtoks AS (
+  SELECT label, unnest(string_split(lower(regexp_replace(text, '[^A-Za-z]+', ' ', 'g')), ' ')) AS token
+  FROM ldocs
+),
+counts AS (
+  SELECT token,
+         sum(CASE WHEN label = 'Negative' THEN 1 ELSE 0 END) AS n_negative,
+         sum(CASE WHEN label = 'Neutral' THEN 1 ELSE 0 END) AS n_neutral,
+         sum(CASE WHEN label = 'Positive' THEN 1 ELSE 0 END) AS n_positive
+  FROM dtoks WHERE token <> '' GROUP BY token
+),
+tot AS (SELECT count(*) AS vocab, sum(n_negative) AS t_neg, sum(n_neutral) AS t_neu,
+               sum(n_positive) AS t_pos FROM counts),
+w AS (
+  SELECT token, ln((n_negative + 1) / (t_neg + vocab)) AS w_negative,
+         ln((n_neutral + 1) / (t_neu + vocab)) AS w_neutral,
+         ln((n_positive + 1) / (t_pos + vocab)) AS w_positive
+  FROM counts, tot
+),
+pri AS (
+  SELECT ln(sum(CASE WHEN label = 'Negative' THEN 1 ELSE 0 END) / count(*)) AS p_negative,
+         ln(sum(CASE WHEN label = 'Neutral' THEN 1 ELSE 0 END) / count(*)) AS p_neutral,
+         ln(sum(CASE WHEN label = 'Positive' THEN 1 ELSE 0 END) / count(*)) AS p_positive
+  FROM ldocs
+),
+ptoks AS (
+  SELECT tweet_id,
+         unnest(string_split(lower(regexp_replace(cleaned_tweet_text, '[^A-Za-z]+', ' ', 'g')), ' ')) AS token
+  FROM cleaned
+),
+psums AS (
+  SELECT tweet_id, sum(w_negative) AS s_neg, sum(w_neutral) AS s_neu, sum(w_positive) AS s_pos
+  FROM ptoks JOIN w USING (token) GROUP BY tweet_id
+),
+logits AS (
+  SELECT c.tweet_id, p_negative + coalesce(s_neg, 0) AS a, p_neutral + coalesce(s_neu, 0) AS b,
+         p_positive + coalesce(s_pos, 0) AS c
+  FROM cleaned c LEFT JOIN psums USING (tweet_id) CROSS JOIN pri
+),
+nb AS (
+  SELECT tweet_id,
+         CASE WHEN a = m THEN 'Negative' WHEN b = m THEN 'Neutral' ELSE 'Positive' END AS sentiment_label,
+         round(1 / (exp(a - m) + exp(b - m) + exp(c - m)), 6) AS sentiment_score
+  FROM (SELECT *, greatest(a, b, c) AS m FROM logits)
+)"""
+
+DAILY = "count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment"
+
+register("prj_clean_text", with_ctes(POSTS, CLEANED, body="SELECT tweet_id, cleaned_tweet_text FROM cleaned"))
+register("prj_date_parts", with_ctes(*BASE, body="""
+SELECT tweet_id, created_at_date, year, month, dayofmonth FROM enriched"""))
+register("sentiment_lexicon", with_ctes(POSTS, CLEANED, LEXICON, body="""
+SELECT tweet_id, sentiment_label, sentiment_score FROM scored"""))
+register("sentiment_model", QUERIES["sentiment_lexicon"])
+register("sentiment_fit_nb", with_ctes(POSTS, CLEANED, NB, body="""
+SELECT tweet_id, sentiment_label, sentiment_score FROM nb"""))
+register("flt_day_in", with_ctes(*BASE, body=f"""
+SELECT tweet_id, dayofmonth FROM enriched WHERE dayofmonth IN ({DAYS})"""))
+register("agg_daily_rounded", with_ctes(*BASE, body=f"""
+SELECT dayofmonth, round(CAST(count(*) AS DOUBLE), 2) AS total_count,
+       round(avg(sentiment_score), 2) AS avg_sentiment
+FROM enriched WHERE dayofmonth IN ({DAYS}) GROUP BY dayofmonth"""))
+register("agg_calendar_sentiment", with_ctes(*BASE, body=f"""
+SELECT year, month, dayofmonth, {DAILY} FROM enriched GROUP BY year, month, dayofmonth"""))
+register("sort_day", with_ctes(*BASE, body=f"""
+SELECT dayofmonth, {DAILY} FROM enriched GROUP BY dayofmonth ORDER BY dayofmonth"""))
+register("agg_calendar_spine", with_ctes(*BASE, body="""
+, daily AS (SELECT CAST(created_at_date AS DATE) AS day, count(*) AS total_count,
+                   round(avg(sentiment_score), 9) AS avg_sentiment FROM enriched GROUP BY 1),
+spine AS (SELECT CAST(unnest(generate_series(m - INTERVAL 34 DAY, m, INTERVAL 1 DAY)) AS DATE) AS day
+          FROM (SELECT CAST(max(CAST(created_at_date AS DATE)) AS TIMESTAMP) AS m FROM enriched))
+SELECT s.day, coalesce(d.total_count, 0) AS total_count, d.avg_sentiment
+FROM spine s LEFT JOIN daily d USING (day)"""))
+register("top_latest_posts", with_ctes(*BASE, body=f"""
+SELECT tweet_id, {', '.join(C.REPORT_COLUMNS)} FROM enriched
+ORDER BY created_at_date DESC, tweet_id DESC LIMIT {C.LATEST_POSTS_LIMIT}"""))
+register("prj_row_number", with_ctes(*BASE, body=f"""
+SELECT *, row_number() OVER (ORDER BY created_at_date DESC, tweet_id DESC) AS row_no FROM (
+SELECT tweet_id, {', '.join(C.REPORT_COLUMNS)} FROM enriched
+ORDER BY created_at_date DESC, tweet_id DESC LIMIT {C.LATEST_POSTS_LIMIT})"""))
+register("prj_series", with_ctes(*BASE, body=f"""
+, daily AS (SELECT dayofmonth, count(*) AS total_count, avg(sentiment_score) AS avg_sentiment
+            FROM enriched WHERE dayofmonth IN ({DAYS}) GROUP BY dayofmonth)
+SELECT list(dayofmonth ORDER BY dayofmonth) AS labels,
+       list(round(avg_sentiment, 2) ORDER BY dayofmonth) AS averages,
+       list(CAST(total_count AS DOUBLE) ORDER BY dayofmonth) AS counts
+FROM daily"""))
+register("agg_hashtag_counts", with_ctes(POSTS, body="""
+SELECT hashtag, count(*) AS n FROM (
+  SELECT unnest(regexp_extract_all(text, '#[A-Za-z]+[A-Za-z0-9_-]+')) AS hashtag FROM posts)
+GROUP BY hashtag"""))
+register("agg_mention_counts", with_ctes(POSTS, body="""
+SELECT mention, count(*) AS n FROM (
+  SELECT unnest(regexp_extract_all(text, '@[A-Za-z]+[A-Za-z0-9_-]+')) AS mention FROM posts)
+GROUP BY mention"""))
+_nl = "regexp_replace(text, 'http\\S+', '', 'g')"
+_nrt = f"regexp_replace({_nl}, 'RT\\s@[A-Za-z]+[A-Za-z0-9_-]+', '', 'g')"
+_nu = f"regexp_replace({_nrt}, '@[A-Za-z]+[A-Za-z0-9_-]+', '', 'g')"
+_np = f"regexp_replace({_nu}, '{PUNCT_SQL}', ' ', 'g')"
+register("agg_clean_audit", with_ctes(POSTS, body=f"""
+SELECT author_id, count(*) AS posts, sum(links) AS links, sum(handles) AS handles,
+       sum(hashtags) AS hashtags, sum(chars_lost) AS chars_lost
+FROM (
+  SELECT author_id,
+         len(regexp_extract_all(text, 'http\\S+')) AS links,
+         len(regexp_extract_all({_nl}, 'RT\\s@[A-Za-z]+[A-Za-z0-9_-]+'))
+           + len(regexp_extract_all({_nrt}, '@[A-Za-z]+[A-Za-z0-9_-]+')) AS handles,
+         len(regexp_extract_all({_np}, '#[A-Za-z]+[A-Za-z0-9_-]+')) AS hashtags,
+         length(text) - length(regexp_replace({_np}, '#[A-Za-z]+[A-Za-z0-9_-]+', '', 'g')) AS chars_lost
+  FROM posts)
+GROUP BY author_id"""))
+register("agg_row_counts", with_ctes(POSTS, body="""
+SELECT count(*) AS n_rows, sum(CASE WHEN TRY_CAST(created_at AS BIGINT) IS NULL THEN 1 ELSE 0 END) AS n_bad_created_at
+FROM posts"""))
+register("flt_hashtag", with_ctes(POSTS, body="""
+SELECT tweet_id, author_id FROM posts
+WHERE list_contains(regexp_extract_all(text, '#[A-Za-z]+[A-Za-z0-9_-]+'), '#en_click')"""))
+register("flt_since_id", with_ctes(POSTS, body="""
+SELECT tweet_id, author_id FROM posts WHERE tweet_id > (SELECT max(tweet_id) // 2 FROM posts)"""))
+register("flt_time_range", with_ctes(POSTS, body="""
+, bounds AS (SELECT CAST(CAST(max(_ts) AS DATE) AS TIMESTAMP) AS today FROM posts)
+SELECT tweet_id, author_id FROM posts, bounds
+WHERE to_timestamp(TRY_CAST(created_at AS BIGINT) // 1000) AT TIME ZONE 'UTC' >= today - INTERVAL 10 DAY
+  AND to_timestamp(TRY_CAST(created_at AS BIGINT) // 1000) AT TIME ZONE 'UTC' < today + INTERVAL 12 HOUR
+"""))
+register("flt_author", with_ctes(POSTS, body="SELECT tweet_id, author_id, username FROM posts WHERE author_id = 7"))
+register("agg_max_id", with_ctes(POSTS, body="SELECT author_id, max(tweet_id) AS max_id FROM posts GROUP BY author_id"))
+
+# state
+register("agg_latest_state", with_ctes(POSTS, STATE, body="""
+SELECT author_id, max(date_time) AS date_time, arg_max(id, date_time) AS id FROM insert_log GROUP BY author_id"""))
+register("state_raw", with_ctes(POSTS, STATE, body="SELECT author_id, last_id FROM raw_state"))
+register("state_pull", with_ctes(POSTS, STATE, body="""
+SELECT a.author_id, coalesce(p.last_id, 1) AS last_id FROM authors a
+LEFT JOIN (SELECT author_id, max(tweet_id) AS last_id FROM days WHERE _day < DATE '2024-01-15'
+           GROUP BY author_id) p USING (author_id)"""))
+register("state_processed", with_ctes(POSTS, STATE, body="""
+SELECT a.author_id, coalesce(p.f, TIMESTAMP '1970-01-01 00:00:00') AS file_modified_date FROM authors a
+LEFT JOIN (SELECT author_id, arg_max(file_modified_date, date_time) AS f FROM processed_log
+           GROUP BY author_id) p USING (author_id)"""))
+register("top_latest_state", with_ctes(POSTS, STATE, body="""
+SELECT author_id, id, date_time FROM insert_log ORDER BY date_time DESC, author_id DESC, id DESC LIMIT 1"""))
+register("flt_id_watermark", with_ctes(POSTS, STATE, body="""
+SELECT p.tweet_id, p.author_id FROM posts p LEFT JOIN raw_state s USING (author_id)
+WHERE p.tweet_id > coalesce(s.last_id, 0)"""))
+register("join_state_lookup", with_ctes(POSTS, STATE, body="""
+SELECT p.tweet_id, p.author_id, coalesce(s.last_id, 0) AS last_id FROM posts p LEFT JOIN raw_state s USING (author_id)"""))
+register("join_dedupe_anti", with_ctes(POSTS, STATE, body="""
+SELECT tweet_id FROM days d WHERE _day >= DATE '2024-01-10'
+AND NOT EXISTS (SELECT 1 FROM days l WHERE l._day < DATE '2024-01-15' AND l.tweet_id = d.tweet_id)"""))
+register("set_dedupe_posts", with_ctes(POSTS, STATE, body="""
+, both_batches AS (
+  SELECT tweet_id, likes, 1 AS load_ts FROM days WHERE _day < DATE '2024-01-15'
+  UNION ALL
+  SELECT tweet_id, likes + 1000 AS likes, 2 AS load_ts FROM days WHERE _day >= DATE '2024-01-10')
+SELECT tweet_id, arg_max(likes, load_ts) AS likes, max(load_ts) AS load_ts FROM both_batches GROUP BY tweet_id
+"""))

@@ -40,3 +40,219 @@ def enriched_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_agg_daily_sentiment(spark, sf_dir):
     d = reports.daily_sentiment(enriched_posts(spark, sf_dir))
     return d.select("dayofmonth", "total_count", r9("avg_sentiment"))
+
+
+# ------------------------------------------------------------------ cleaning, dates, scorers
+
+from postlytics import config as C  # noqa: E402
+from postlytics.functions.timeparts import epoch_ms_to_seconds, ntz_from_epoch_seconds  # noqa: E402
+from postlytics.operators import filters, sentiment, state  # noqa: E402
+from postlytics.operators.enrich import add_clean_text, add_date_parts  # noqa: E402
+
+STATE_BEFORE = "2024-01-15"      # first UTC day not loaded yet in the state fixtures
+INCOMING_FROM = "2024-01-10"     # first UTC day of the overlapping second batch
+
+
+@query("prj_clean_text")
+def q_prj_clean_text(spark, sf_dir):
+    return add_clean_text(fixtures.posts(spark, sf_dir)).select("tweet_id", "cleaned_tweet_text")
+
+
+@query("prj_date_parts")
+def q_prj_date_parts(spark, sf_dir):
+    return add_date_parts(fixtures.posts(spark, sf_dir)).select(
+        "tweet_id", "created_at_date", "year", "month", "dayofmonth")
+
+
+@query("sentiment_lexicon")
+def q_sentiment_lexicon(spark, sf_dir):
+    cleaned = add_clean_text(fixtures.posts(spark, sf_dir))
+    return sentiment.score_lexicon(cleaned).select("tweet_id", "sentiment_label", "sentiment_score")
+
+
+@query("sentiment_model")
+def q_sentiment_model(spark, sf_dir):
+    """Plug-in model path (pandas UDF) with the deterministic stand-in model."""
+    cleaned = add_clean_text(fixtures.posts(spark, sf_dir))
+    return sentiment.score_model(cleaned).select("tweet_id", "sentiment_label", "sentiment_score")
+
+
+@query("sentiment_fit_nb")
+def q_sentiment_fit_nb(spark, sf_dir):
+    docs = fixtures.labelled_documents(spark, sf_dir)
+    model = sentiment.fit_naive_bayes(docs)
+    priors = sentiment.naive_bayes_priors(docs)
+    cleaned = add_clean_text(fixtures.posts(spark, sf_dir))
+    scored = sentiment.score_naive_bayes(cleaned, model, priors)
+    return scored.select("tweet_id", "sentiment_label", "sentiment_score")
+
+
+# ------------------------------------------------------------------ reports
+
+
+@query("flt_day_in")
+def q_flt_day_in(spark, sf_dir):
+    return filters.day_in(enriched_posts(spark, sf_dir)).select("tweet_id", "dayofmonth")
+
+
+@query("agg_daily_rounded")
+def q_agg_daily_rounded(spark, sf_dir):
+    return reports.daily_rounded(reports.daily_sentiment(enriched_posts(spark, sf_dir)))
+
+
+@query("agg_calendar_sentiment")
+def q_agg_calendar_sentiment(spark, sf_dir):
+    d = reports.calendar_sentiment(enriched_posts(spark, sf_dir))
+    return d.select("year", "month", "dayofmonth", "total_count", r9("avg_sentiment"))
+
+
+@query("sort_day")
+def q_sort_day(spark, sf_dir):
+    d = reports.daily_sentiment(enriched_posts(spark, sf_dir), days=list(range(1, 32)))
+    return d.select("dayofmonth", "total_count", r9("avg_sentiment")).orderBy("dayofmonth")
+
+
+@query("agg_calendar_spine")
+def q_agg_calendar_spine(spark, sf_dir):
+    d = reports.calendar_spine(enriched_posts(spark, sf_dir), days_back=35)
+    return d.select("day", "total_count", r9("avg_sentiment"))
+
+
+@query("top_latest_posts")
+def q_top_latest_posts(spark, sf_dir):
+    return reports.latest_posts(enriched_posts(spark, sf_dir))
+
+
+@query("prj_row_number")
+def q_prj_row_number(spark, sf_dir):
+    return reports.numbered_latest(enriched_posts(spark, sf_dir))
+
+
+@query("prj_series")
+def q_prj_series(spark, sf_dir):
+    return reports.series(reports.daily_sentiment(enriched_posts(spark, sf_dir)))
+
+
+@query("agg_hashtag_counts")
+def q_agg_hashtag_counts(spark, sf_dir):
+    return reports.hashtag_counts(fixtures.posts(spark, sf_dir))
+
+
+@query("agg_mention_counts")
+def q_agg_mention_counts(spark, sf_dir):
+    return reports.mention_counts(fixtures.posts(spark, sf_dir))
+
+
+@query("agg_clean_audit")
+def q_agg_clean_audit(spark, sf_dir):
+    return reports.clean_audit(fixtures.posts(spark, sf_dir))
+
+
+@query("agg_row_counts")
+def q_agg_row_counts(spark, sf_dir):
+    return reports.row_counts(fixtures.posts(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ filters
+
+
+@query("flt_hashtag")
+def q_flt_hashtag(spark, sf_dir):
+    return filters.hashtag(fixtures.posts(spark, sf_dir), "#en_click").select("tweet_id", "author_id")
+
+
+@query("flt_since_id")
+def q_flt_since_id(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    since = p.select((F.max("tweet_id") / 2).cast("bigint")).scalar()
+    return p.where(F.col("tweet_id") > since).select("tweet_id", "author_id")
+
+
+@query("flt_time_range")
+def q_flt_time_range(spark, sf_dir):
+    """Pull window: [today - 10 days 00:00, today 12:00) UTC, today = newest post day."""
+    p = fixtures.posts(spark, sf_dir).withColumn(
+        "_utc", ntz_from_epoch_seconds(epoch_ms_to_seconds("created_at")))
+    today = p.select(F.max(F.to_date("_utc")).cast("timestamp_ntz")).scalar()
+    start = F.timestamp_add("DAY", F.lit(-10), today)
+    end = F.timestamp_add("HOUR", F.lit(12), today)
+    return p.where((F.col("_utc") >= start) & (F.col("_utc") < end)).select("tweet_id", "author_id")
+
+
+@query("flt_author")
+def q_flt_author(spark, sf_dir):
+    return filters.by_author(fixtures.posts(spark, sf_dir), 7).select("tweet_id", "author_id", "username")
+
+
+@query("agg_max_id")
+def q_agg_max_id(spark, sf_dir):
+    return state.max_id_per_author(fixtures.posts(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ state
+
+
+def _authors(p):
+    return p.select("author_id").distinct()
+
+
+@query("agg_latest_state")
+def q_agg_latest_state(spark, sf_dir):
+    log = fixtures.insert_log(fixtures.posts(spark, sf_dir), STATE_BEFORE)
+    return state.latest_per_key(log, "author_id", "date_time", ["id"])
+
+
+@query("state_raw")
+def q_state_raw(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    return state.raw_state(_authors(p), fixtures.insert_log(p, STATE_BEFORE))
+
+
+@query("state_pull")
+def q_state_pull(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    return state.pull_state(_authors(p), fixtures.loaded_before(p, STATE_BEFORE))
+
+
+@query("state_processed")
+def q_state_processed(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    return state.processed_state(_authors(p), fixtures.processed_log(p, STATE_BEFORE))
+
+
+@query("top_latest_state")
+def q_top_latest_state(spark, sf_dir):
+    log = fixtures.insert_log(fixtures.posts(spark, sf_dir), STATE_BEFORE)
+    return log.orderBy(F.col("date_time").desc(), F.col("author_id").desc(), F.col("id").desc()) \
+        .select("author_id", "id", "date_time").limit(1)
+
+
+@query("flt_id_watermark")
+def q_flt_id_watermark(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    st = state.raw_state(_authors(p), fixtures.insert_log(p, STATE_BEFORE))
+    return state.above_watermark(p, st).select("tweet_id", "author_id")
+
+
+@query("join_state_lookup")
+def q_join_state_lookup(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    st = state.raw_state(_authors(p), fixtures.insert_log(p, STATE_BEFORE))
+    return state.lookup_state(p, st).select("tweet_id", "author_id", "last_id")
+
+
+@query("join_dedupe_anti")
+def q_join_dedupe_anti(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    incoming = p.where(fixtures.post_day() >= F.lit(INCOMING_FROM).cast("date"))
+    loaded = fixtures.loaded_before(p, STATE_BEFORE)
+    return state.not_loaded(incoming, loaded).select("tweet_id")
+
+
+@query("set_dedupe_posts")
+def q_set_dedupe_posts(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    a = fixtures.loaded_before(p, STATE_BEFORE).select("tweet_id", "likes", F.lit(1).alias("load_ts"))
+    b = (p.where(fixtures.post_day() >= F.lit(INCOMING_FROM).cast("date"))
+         .select("tweet_id", (F.col("likes") + 1000).alias("likes"), F.lit(2).alias("load_ts")))
+    return state.dedupe_latest(a.unionByName(b), "tweet_id", "load_ts")

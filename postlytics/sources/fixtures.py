@@ -126,3 +126,37 @@ def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.add_months(F.to_date("o_orderdate"), 12 * 29)
     return (o.groupBy(symbol.alias("symbol"), day.alias("price_date"))
             .agg(F.avg("o_totalprice").alias("price")))
+
+
+# ------------------------------------------------------------------ state logs
+# The pipeline is taken to have loaded posts once per UTC day, at midnight after
+# that day.  `before` is the first day not loaded yet.
+
+def post_day(created_at: Column | str = "created_at") -> Column:
+    from postlytics.functions.timeparts import epoch_ms_to_seconds, ntz_from_epoch_seconds
+
+    return F.to_date(ntz_from_epoch_seconds(epoch_ms_to_seconds(created_at)))
+
+
+def loaded_before(post_rows: DataFrame, before: str) -> DataFrame:
+    return post_rows.where(post_day() < F.lit(before).cast("date"))
+
+
+def insert_log(post_rows: DataFrame, before: str) -> DataFrame:
+    """author_id, id (newest id loaded that day), date_time (load time)."""
+    day = post_day()
+    return (post_rows.where(day < F.lit(before).cast("date"))
+            .groupBy("author_id", day.alias("day")).agg(F.max("tweet_id").alias("id"))
+            .select("author_id", "id",
+                    F.timestamp_add("DAY", F.lit(1), F.col("day").cast("timestamp_ntz")).alias("date_time")))
+
+
+def processed_log(post_rows: DataFrame, before: str) -> DataFrame:
+    """author_id, file_modified_date (file landed 5 minutes after the day), date_time."""
+    day = post_day()
+    start = F.timestamp_add("DAY", F.lit(1), F.col("day").cast("timestamp_ntz"))
+    return (post_rows.where(day < F.lit(before).cast("date"))
+            .select("author_id", day.alias("day")).distinct()
+            .select("author_id",
+                    F.timestamp_add("MINUTE", F.lit(5), start).alias("file_modified_date"),
+                    F.timestamp_add("MINUTE", F.lit(10), start).alias("date_time")))
