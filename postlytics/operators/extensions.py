@@ -29,7 +29,7 @@ def price_asof(events: DataFrame, prices: DataFrame, ts_col: str = "ts",
     Rows without an earlier price get null (left semantics).  `prices` is one row
     per (symbol, price time).
     """
-    w = Window.partitionBy(key).orderBy(price_ts_col)
+    w = Window.partitionBy(key).orderBy("_from")
     intervals = (prices.select(key, F.col(price_ts_col).cast("timestamp_ntz").alias("_from"), "price")
                  .withColumn("_to", F.lead("_from").over(w)))
     # one bucket per day an interval touches; the newest interval of a symbol is

@@ -32,6 +32,9 @@ posts AS (
     CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS likes,
     CAST(e.event_id % 3 AS INTEGER) AS quote_count,
     e.event_id // 10 AS conversation_id,
+    CASE WHEN e.event_type = 'view' THEN [e.event_id || '_1', e.event_id || '_2'] END AS media_keys,
+    CASE WHEN e.event_id % 3 = 0 AND e.event_id > 0 THEN 'replied_to' END AS ref_type,
+    CASE WHEN e.event_id % 3 = 0 AND e.event_id > 0 THEN CAST(e.event_id - 1 AS VARCHAR) END AS ref_id,
     e.ts AS _ts
   FROM events e
   JOIN documents d ON d.doc_id = e.event_id % (SELECT count(*) FROM documents)
@@ -285,3 +288,133 @@ register("set_dedupe_posts", with_ctes(POSTS, STATE, body="""
   SELECT tweet_id, likes + 1000 AS likes, 2 AS load_ts FROM days WHERE _day >= DATE '2024-01-10')
 SELECT tweet_id, arg_max(likes, load_ts) AS likes, max(load_ts) AS load_ts FROM both_batches GROUP BY tweet_id
 """))
+
+# ------------------------------------------------------------------ pages
+FLAT_COLS = ("p.author_id, p.username, p.author_followers + i.last_page AS author_followers, "
+             "p.author_tweets + i.last_page AS author_tweets, p.author_description, p.author_location, "
+             "p.tweet_id, p.text, p.created_at, p.retweets, p.replies, p.likes, p.quote_count, "
+             "p.conversation_id, p.media_keys, p.ref_type, p.ref_id")
+PAGES = """
+pg AS (SELECT *, tweet_id // 100 AS page_no FROM posts),
+inc AS (
+  SELECT author_id, max(page_no) AS last_page FROM pg
+  WHERE NOT (author_id % 50 = 7) AND NOT (author_id % 50 = 3 AND page_no % 2 = 0)
+  GROUP BY author_id
+)"""
+SEARCH_PAGES = """
+pg AS (SELECT *, tweet_id // 100 AS page_no FROM posts
+       WHERE list_contains(regexp_extract_all(text, '#[A-Za-z]+[A-Za-z0-9_-]+'), '#en_click')),
+inc AS (SELECT author_id, max(page_no) AS last_page FROM pg GROUP BY author_id)"""
+register("src_flatten_timeline", with_ctes(POSTS, PAGES, body=f"""
+SELECT {FLAT_COLS} FROM pg p JOIN inc i USING (author_id)"""))
+register("src_flatten_search", with_ctes(POSTS, SEARCH_PAGES, body=f"""
+SELECT {FLAT_COLS} FROM pg p JOIN inc i USING (author_id)"""))
+register("prj_post_fields", with_ctes(POSTS, body="""
+SELECT tweet_id, author_id, created_at, retweets, replies, likes, quote_count, conversation_id, media_keys
+FROM posts"""))
+register("join_post_author", with_ctes(POSTS, PAGES, body="""
+SELECT p.tweet_id, p.author_id, p.username, p.author_followers + i.last_page AS author_followers,
+       p.author_tweets + i.last_page AS author_tweets, p.author_location
+FROM pg p JOIN inc i USING (author_id)"""))
+register("join_post_author_orphans", with_ctes(POSTS, PAGES, body="""
+SELECT tweet_id, author_id FROM pg WHERE author_id NOT IN (SELECT author_id FROM inc)"""))
+
+# ------------------------------------------------------------------ landed files
+LANDED = """
+landed AS (
+  SELECT *, 1 AS batch FROM days WHERE _day < DATE '2024-01-15'
+  UNION ALL
+  SELECT *, 2 AS batch FROM days WHERE _day >= DATE '2024-01-10'
+)"""
+F_BASE = (POSTS, STATE, LANDED)
+register("src_json_incremental", with_ctes(*F_BASE, body="SELECT tweet_id, author_id, batch FROM landed WHERE batch = 2"))
+register("flt_file_newer", QUERIES["src_json_incremental"])
+register("src_json_direct", with_ctes(*F_BASE, body="""
+SELECT tweet_id, author_id, username, likes, created_at FROM landed WHERE batch = 1"""))
+register("src_json_latest", with_ctes(*F_BASE, body="""
+SELECT l.tweet_id, l.author_id, l.batch FROM landed l
+JOIN (SELECT author_id, max(batch) AS b FROM landed GROUP BY author_id) m
+  ON l.author_id = m.author_id AND l.batch = m.b"""))
+register("set_union_files", with_ctes(*F_BASE, body="SELECT tweet_id, batch FROM landed"))
+register("flt_file_prefix", with_ctes(*F_BASE, body="SELECT tweet_id, author_id, batch FROM landed WHERE author_id = 1"))
+register("flt_file_nonempty", with_ctes(*F_BASE, body="SELECT batch, count(*) AS n FROM landed GROUP BY batch"))
+register("prj_file_keys", with_ctes(*F_BASE, body="SELECT DISTINCT batch, author_id FROM landed"))
+register("top_latest_file", with_ctes(*F_BASE, body="SELECT max(batch) AS batch FROM landed"))
+
+# ------------------------------------------------------------------ sinks
+register("snk_json_local", with_ctes(POSTS, body="SELECT tweet_id, author_id, likes, created_at FROM posts"))
+register("snk_json_batch", with_ctes(POSTS, STATE, body="""
+SELECT p.tweet_id, p.author_id FROM posts p
+LEFT JOIN (SELECT author_id, max(tweet_id) AS m FROM days WHERE _day < DATE '2024-01-15' GROUP BY author_id) s
+  USING (author_id)
+WHERE p.tweet_id > coalesce(s.m, 1)"""))
+register("snk_raw_append", with_ctes(*F_BASE, body="SELECT DISTINCT tweet_id, author_id, likes FROM landed"))
+register("snk_enriched_append", with_ctes(*BASE, body="""
+SELECT tweet_id, year, month, dayofmonth, sentiment_label, sentiment_score FROM enriched"""))
+register("snk_state_latest", with_ctes(POSTS, body="SELECT author_id, max(tweet_id) AS last_id FROM posts GROUP BY author_id"))
+LOG20 = """
+log20 AS (
+  SELECT author_id, max(tweet_id) AS id, CAST(_day AS TIMESTAMP) + INTERVAL 1 DAY AS date_time
+  FROM days WHERE _day < DATE '2024-01-20' GROUP BY author_id, _day
+),
+plog20 AS (
+  SELECT DISTINCT author_id,
+         CAST(_day AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 5 MINUTE AS file_modified_date,
+         CAST(_day AS TIMESTAMP) + INTERVAL 1 DAY + INTERVAL 10 MINUTE AS date_time
+  FROM days WHERE _day < DATE '2024-01-20'
+)"""
+register("snk_state_log_raw", with_ctes(POSTS, STATE, LOG20, body="""
+SELECT author_id, max(date_time) AS date_time, arg_max(id, date_time) AS id FROM log20 GROUP BY author_id"""))
+register("snk_state_log_processed", with_ctes(POSTS, STATE, LOG20, body="""
+SELECT author_id, max(date_time) AS date_time, arg_max(file_modified_date, date_time) AS file_modified_date
+FROM plog20 GROUP BY author_id"""))
+
+# ------------------------------------------------------------------ streaming
+register("str_ingest", with_ctes(*F_BASE, body="SELECT DISTINCT tweet_id, author_id FROM landed"))
+register("str_daily_sentiment", with_ctes(*BASE, body="""
+SELECT CAST(created_at_date AS DATE) AS day, count(*) AS total_count,
+       round(avg(sentiment_score), 9) AS avg_sentiment
+FROM enriched GROUP BY 1"""))
+
+# ------------------------------------------------------------------ extensions
+EXT = """
+assets AS (
+  SELECT DISTINCT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS asset_id,
+         'P' || substr(o_orderpriority, 1, 1) AS symbol
+  FROM orders
+),
+prices AS (
+  SELECT 'P' || substr(o_orderpriority, 1, 1) AS symbol,
+         CAST(CAST(o_orderdate AS DATE) + INTERVAL 348 MONTH AS DATE) AS price_date,
+         avg(o_totalprice) AS price
+  FROM orders GROUP BY 1, 2
+),
+mentions AS (
+  SELECT tweet_id, symbol, asset_id FROM (
+    SELECT tweet_id,
+           unnest(list_distinct(regexp_extract_all(text, '\\$([A-Z][A-Z0-9]{0,5})\\b', 1))) AS symbol
+    FROM posts)
+  JOIN assets USING (symbol)
+)"""
+register("ext_ticker_mentions", with_ctes(POSTS, EXT, body="SELECT tweet_id, symbol, asset_id FROM mentions"))
+register("ext_price_asof", with_ctes(POSTS, EXT, body="""
+, m AS (SELECT mn.tweet_id, mn.symbol,
+               to_timestamp(TRY_CAST(p.created_at AS BIGINT) // 1000) AT TIME ZONE 'UTC' AS ts
+        FROM mentions mn JOIN posts p USING (tweet_id)),
+px AS (SELECT symbol, CAST(price_date AS TIMESTAMP) AS price_time, price FROM prices)
+SELECT m.tweet_id, m.symbol, px.price_time, round(px.price, 9) AS price
+FROM m ASOF LEFT JOIN px ON m.symbol = px.symbol AND m.ts >= px.price_time"""))
+register("ext_sentiment_price_corr", with_ctes(*BASE, EXT, body="""
+, em AS (
+  SELECT mn.symbol, CAST(e.created_at_date AS DATE) AS day,
+         CASE WHEN e.sentiment_label = 'Positive' THEN e.sentiment_score
+              WHEN e.sentiment_label = 'Negative' THEN -e.sentiment_score ELSE 0.0 END AS polarity
+  FROM mentions mn JOIN enriched e USING (tweet_id)),
+daily AS (SELECT symbol, day, avg(polarity) AS polarity FROM em GROUP BY 1, 2)
+SELECT d.symbol, round(corr(d.polarity, p.price), 9) AS corr, count(*) AS days
+FROM daily d JOIN prices p ON d.symbol = p.symbol AND d.day = p.price_date
+GROUP BY d.symbol"""))
+register("ext_multi_author", with_ctes(POSTS, body="""
+SELECT author_id, count(*) AS n_posts, max(tweet_id) AS max_id FROM posts
+WHERE author_id IN (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
+GROUP BY author_id"""))

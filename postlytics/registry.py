@@ -256,3 +256,281 @@ def q_set_dedupe_posts(spark, sf_dir):
     b = (p.where(fixtures.post_day() >= F.lit(INCOMING_FROM).cast("date"))
          .select("tweet_id", (F.col("likes") + 1000).alias("likes"), F.lit(2).alias("load_ts")))
     return state.dedupe_latest(a.unionByName(b), "tweet_id", "load_ts")
+
+
+# ------------------------------------------------------------------ landed pages -> flat posts
+
+from postlytics import sinks  # noqa: E402
+from postlytics.operators import extensions  # noqa: E402
+from postlytics.schema import POST_COLUMNS  # noqa: E402
+from postlytics.session import scratch_path  # noqa: E402
+from postlytics.sources import files, pages  # noqa: E402
+from postlytics.streaming import jobs  # noqa: E402
+
+
+def _landed_pages(spark, sf_dir, post_rows=None, with_orphans=True):
+    p = fixtures.posts(spark, sf_dir) if post_rows is None else post_rows
+    path = pages.land_pages(fixtures.response_pages(p, with_orphans), scratch_path(spark, "pages"))
+    return pages.read_pages(spark, path)
+
+
+def _flat_out(df):
+    return df.select(*[c for c in POST_COLUMNS if c not in ("attach_list", "referenced_tweets_list")],
+                     F.col("attach_list.media_keys").alias("media_keys"),
+                     F.col("referenced_tweets_list")[0]["data"]["type"].alias("ref_type"),
+                     F.col("referenced_tweets_list")[0]["data"]["id"].alias("ref_id"))
+
+
+@query("src_flatten_timeline")
+def q_src_flatten_timeline(spark, sf_dir):
+    return _flat_out(pages.flatten_pages(_landed_pages(spark, sf_dir)))
+
+
+@query("src_flatten_search")
+def q_src_flatten_search(spark, sf_dir):
+    """Search pages hold only the posts with the queried hashtag; a missing user stops the job."""
+    hits = filters.hashtag(fixtures.posts(spark, sf_dir), "#en_click")
+    flat = pages.flatten_pages(_landed_pages(spark, sf_dir, hits, with_orphans=False), on_orphan="raise")
+    return _flat_out(flat)
+
+
+@query("prj_post_fields")
+def q_prj_post_fields(spark, sf_dir):
+    """Tweet-level fields out of the nested page records (no user join)."""
+    t = pages._tweets(_landed_pages(spark, sf_dir))  # noqa: SLF001
+    return t.select("tweet_id", "author_id", "created_at", "retweets", "replies", "likes",
+                    "quote_count", "conversation_id", F.col("attach_list.media_keys").alias("media_keys"))
+
+
+@query("join_post_author")
+def q_join_post_author(spark, sf_dir):
+    flat = pages.flatten_pages(_landed_pages(spark, sf_dir))
+    return flat.select("tweet_id", "author_id", "username", "author_followers", "author_tweets",
+                       "author_location")
+
+
+@query("join_post_author_orphans")
+def q_join_post_author_orphans(spark, sf_dir):
+    return pages.orphan_posts(_landed_pages(spark, sf_dir)).select("tweet_id", "author_id")
+
+
+# ------------------------------------------------------------------ landed files
+
+BATCH1_BEFORE = STATE_BEFORE     # batch 1: UTC days before this
+BATCH2_FROM = INCOMING_FROM      # batch 2: UTC days from this (overlaps batch 1)
+
+
+def _land_batches(spark, sf_dir, overlapping=True):
+    p = fixtures.posts(spark, sf_dir)
+    root = scratch_path(spark, "landing")
+    day = fixtures.post_day()
+    files.land_json(p.where(day < F.lit(BATCH1_BEFORE).cast("date")), root, 1)
+    second_from = BATCH2_FROM if overlapping else BATCH1_BEFORE
+    files.land_json(p.where(day >= F.lit(second_from).cast("date")), root, 2)
+    return root
+
+
+@query("src_json_incremental")
+def q_src_json_incremental(spark, sf_dir):
+    """After batch 1 was processed (its files are in the processed-file table), read what is new."""
+    root = _land_batches(spark, sf_dir)
+    processed = files.list_files(spark, root).where(F.col("batch") == 1).select("_file_path")
+    return files.read_landed(spark, root, processed_files=processed).select("tweet_id", "author_id", "batch")
+
+
+@query("flt_file_newer")
+def q_flt_file_newer(spark, sf_dir):
+    """Marker = newest file time of batch 1, fixed for the read; keep files strictly newer."""
+    root = _land_batches(spark, sf_dir)
+    marker = files.list_files(spark, root).where(F.col("batch") == 1).select(F.max("_file_mtime")).scalar()
+    return files.read_landed(spark, root, modified_after=marker).select("tweet_id", "author_id", "batch")
+
+
+@query("src_json_direct")
+def q_src_json_direct(spark, sf_dir):
+    root = _land_batches(spark, sf_dir)
+    df = files.read_json_direct(spark, f"{root}/batch=1")
+    return df.select("tweet_id", "author_id", "username", "likes", "created_at")
+
+
+@query("src_json_latest")
+def q_src_json_latest(spark, sf_dir):
+    root = _land_batches(spark, sf_dir)
+    return files.latest_batch_rows(spark, root).select("tweet_id", "author_id", "batch")
+
+
+@query("set_union_files")
+def q_set_union_files(spark, sf_dir):
+    """All landed files in one scan (bag union of the pulls, no dedupe)."""
+    root = _land_batches(spark, sf_dir)
+    return files.read_landed(spark, root).select("tweet_id", "batch")
+
+
+@query("flt_file_prefix")
+def q_flt_file_prefix(spark, sf_dir):
+    root = _land_batches(spark, sf_dir)
+    return files.read_landed(spark, root, author=1).select("tweet_id", "author_id", "batch")
+
+
+@query("flt_file_nonempty")
+def q_flt_file_nonempty(spark, sf_dir):
+    """An empty file landed beside the pulls is skipped without error."""
+    root = _land_batches(spark, sf_dir)
+    sinks.touch_empty(spark, f"{root}/batch=3/author_id=1/part-empty.json")
+    rows = files.read_landed(spark, root)
+    return rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("prj_file_keys")
+def q_prj_file_keys(spark, sf_dir):
+    root = _land_batches(spark, sf_dir)
+    return files.list_files(spark, root).select("batch", "author_id").distinct()
+
+
+@query("agg_max_file_time")
+def q_agg_max_file_time(spark, sf_dir):
+    """Newest file time per author (wall-clock values: rows-only check)."""
+    root = _land_batches(spark, sf_dir)
+    return files.newest_file_time(files.list_files(spark, root))
+
+
+@query("top_latest_file")
+def q_top_latest_file(spark, sf_dir):
+    root = _land_batches(spark, sf_dir)
+    fl = files.list_files(spark, root)
+    return fl.orderBy(F.col("_file_mtime").desc(), F.col("_file_path").desc()).select("batch").limit(1)
+
+
+# ------------------------------------------------------------------ sinks
+
+
+@query("snk_json_local")
+def q_snk_json_local(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir).select("tweet_id", "author_id", "likes", "created_at")
+    path = sinks.write_json(p, scratch_path(spark, "json"))
+    return spark.read.schema(p.schema).json(path)
+
+
+@query("snk_json_batch")
+def q_snk_json_batch(spark, sf_dir):
+    """Write only rows above each author's pull watermark (checked per row)."""
+    p = fixtures.posts(spark, sf_dir)
+    st = state.pull_state(_authors(p), fixtures.loaded_before(p, STATE_BEFORE))
+    new = state.above_watermark(p, st).select("tweet_id", "author_id")
+    path = sinks.write_json(new, scratch_path(spark, "json"))
+    return spark.read.schema(new.schema).json(path)
+
+
+@query("snk_raw_append")
+def q_snk_raw_append(spark, sf_dir):
+    """Batch 1, batch 2 (overlapping), then batch 1 again: every id once."""
+    root = _land_batches(spark, sf_dir)
+    target = scratch_path(spark, "raw")
+    for b in (1, 2, 1):
+        batch = files.read_landed(spark, root).where(F.col("batch") == b).drop(*files.FILE_COLUMNS, "batch")
+        sinks.append_new(batch, target)
+    return spark.read.parquet(target).select("tweet_id", "author_id", "likes")
+
+
+@query("snk_enriched_append")
+def q_snk_enriched_append(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    day = fixtures.post_day()
+    target = scratch_path(spark, "silver")
+    for part in (p.where(day < F.lit(BATCH1_BEFORE).cast("date")),
+                 p.where(day >= F.lit(BATCH2_FROM).cast("date"))):
+        sinks.append_new(enrich(part), target, partition_by=("year", "month"))
+    return spark.read.parquet(target).select("tweet_id", "year", "month", "dayofmonth",
+                                             "sentiment_label", "sentiment_score")
+
+
+@query("snk_state_latest")
+def q_snk_state_latest(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    path = scratch_path(spark, "state")
+    sinks.overwrite_state(state.pull_state(_authors(p), fixtures.loaded_before(p, STATE_BEFORE)), path)
+    sinks.overwrite_state(state.pull_state(_authors(p), p), path)
+    return spark.read.parquet(path)
+
+
+@query("snk_state_log_raw")
+def q_snk_state_log_raw(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    path = scratch_path(spark, "insert_log")
+    first = fixtures.insert_log(p, STATE_BEFORE)
+    second = fixtures.insert_log(p, "2024-01-20").join(first, ["author_id", "id", "date_time"], "left_anti")
+    sinks.append_log(first, path)
+    sinks.append_log(second, path)
+    return sinks.read_latest_log(spark, path, "author_id", "date_time", ["id"])
+
+
+@query("snk_state_log_processed")
+def q_snk_state_log_processed(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    path = scratch_path(spark, "processed_log")
+    first = fixtures.processed_log(p, STATE_BEFORE)
+    second = fixtures.processed_log(p, "2024-01-20").join(first, ["author_id", "date_time"], "left_anti")
+    sinks.append_log(first, path)
+    sinks.append_log(second, path)
+    return sinks.read_latest_log(spark, path, "author_id", "date_time", ["file_modified_date"])
+
+
+# ------------------------------------------------------------------ streaming
+
+
+@query("str_ingest")
+def q_str_ingest(spark, sf_dir):
+    """File stream over two overlapping pulls, run twice: every id once."""
+    root = _land_batches(spark, sf_dir)
+    target, ckpt = scratch_path(spark, "stream_raw"), scratch_path(spark, "stream_ckpt")
+    jobs.ingest_stream(spark, root, target, ckpt, max_files_per_trigger=64)
+    jobs.ingest_stream(spark, root, target, ckpt)
+    return spark.read.parquet(target).select("tweet_id", "author_id")
+
+
+@query("str_daily_sentiment")
+def q_str_daily_sentiment(spark, sf_dir):
+    root = _land_batches(spark, sf_dir, overlapping=False)
+    target, ckpt = scratch_path(spark, "stream_daily"), scratch_path(spark, "stream_ckpt")
+    jobs.daily_sentiment_stream(spark, root, target, ckpt, mode="complete", max_files_per_trigger=64)
+    return spark.read.parquet(target).select("day", "total_count", r9("avg_sentiment"))
+
+
+# ------------------------------------------------------------------ extensions
+
+
+def _mentions(spark, sf_dir, post_rows=None):
+    p = fixtures.posts(spark, sf_dir) if post_rows is None else post_rows
+    return extensions.ticker_mentions(p, fixtures.assets(spark, sf_dir))
+
+
+@query("ext_ticker_mentions")
+def q_ext_ticker_mentions(spark, sf_dir):
+    return _mentions(spark, sf_dir).select("tweet_id", "symbol", "asset_id")
+
+
+@query("ext_price_asof")
+def q_ext_price_asof(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir).withColumn(
+        "ts", ntz_from_epoch_seconds(epoch_ms_to_seconds("created_at")))
+    m = _mentions(spark, sf_dir, p).join(p.select("tweet_id", "ts"), "tweet_id")
+    out = extensions.price_asof(m.select("tweet_id", "symbol", "ts"), fixtures.daily_prices(spark, sf_dir))
+    return out.select("tweet_id", "symbol", "price_time", r9("price"))
+
+
+@query("ext_sentiment_price_corr")
+def q_ext_sentiment_price_corr(spark, sf_dir):
+    e = enrich(fixtures.posts(spark, sf_dir))
+    m = _mentions(spark, sf_dir, e).select("tweet_id", "symbol")
+    em = m.join(e.select("tweet_id", "created_at_date",
+                         extensions.polarity().alias("polarity")), "tweet_id")
+    out = extensions.sentiment_price_corr(em, fixtures.daily_prices(spark, sf_dir))
+    return out.select("symbol", r9("corr"), "days")
+
+
+@query("ext_multi_author")
+def q_ext_multi_author(spark, sf_dir):
+    """Many authors: a followed-author table (every third user) by semi-join, state per author."""
+    followed = fixtures.followed_authors(spark, sf_dir)
+    p = filters.by_author(fixtures.posts(spark, sf_dir), followed)
+    return p.groupBy("author_id").agg(F.count(F.lit(1)).alias("n_posts"), F.max("tweet_id").alias("max_id"))

@@ -160,3 +160,9 @@ def processed_log(post_rows: DataFrame, before: str) -> DataFrame:
             .select("author_id",
                     F.timestamp_add("MINUTE", F.lit(5), start).alias("file_modified_date"),
                     F.timestamp_add("MINUTE", F.lit(10), start).alias("date_time")))
+
+
+def followed_authors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The author table of the many-author form: every third user seen in events."""
+    ev = table(spark, sf_dir, "events")
+    return ev.select(F.col("user_id").alias("author_id")).where(F.col("author_id") % 3 == 0).distinct()
