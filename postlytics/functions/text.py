@@ -69,6 +69,11 @@ def tokens(text: Column | str) -> Column:
     return F.split(F.lower(F.regexp_replace(_col(text), C.TOKEN_NON_LETTERS, " ")), " ")
 
 
+def letter_runs(text: Column | str) -> Column:
+    """The maximal runs of ASCII letters, in order (the non-empty tokens, not yet lower-cased)."""
+    return F.regexp_extract_all(_col(text), F.lit("[A-Za-z]+"), F.lit(0))
+
+
 def has_hashtag(text: Column | str, tag: str) -> Column:
     """True when the raw text carries exactly this hashtag (case-sensitive)."""
     return F.array_contains(extract_hashtags(text), F.lit(tag))

@@ -65,9 +65,19 @@ def latest_posts(enriched: DataFrame, n: int = C.LATEST_POSTS_LIMIT) -> DataFram
             .select("tweet_id", *C.REPORT_COLUMNS).limit(n))
 
 
-def numbered_latest(enriched: DataFrame, n: int = C.LATEST_POSTS_LIMIT) -> DataFrame:
+def latest_posts_of_posts(post_rows: DataFrame, enrich_fn, n: int = C.LATEST_POSTS_LIMIT,
+                          zone: str = C.LOCAL_TIME_ZONE) -> DataFrame:
+    """Same rows as `latest_posts(enrich_fn(post_rows))`, but the top-k is taken on
+    the cheap local-time column first and only the n winners are cleaned and scored."""
+    from postlytics.functions.timeparts import epoch_ms_to_seconds, to_local_time
+
+    keyed = post_rows.withColumn("_local", to_local_time(epoch_ms_to_seconds("created_at"), zone))
+    top = keyed.orderBy(F.col("_local").desc(), F.col("tweet_id").desc()).limit(n).drop("_local")
+    return latest_posts(enrich_fn(top), n)
+
+
+def numbered_latest(top: DataFrame) -> DataFrame:
     """The latest-posts table with its 1-based row number (numbered after the top-k)."""
-    top = latest_posts(enriched, n)
     w = Window.orderBy(F.col("created_at_date").desc(), F.col("tweet_id").desc())
     return top.withColumn("row_no", F.row_number().over(w))
 

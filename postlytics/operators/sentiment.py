@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from postlytics import config as C
-from postlytics.functions.text import tokens
+from postlytics.functions.text import letter_runs, tokens
+from postlytics.operators.broadcast import broadcast_if_bounded
 from postlytics.session import ensure_checkpoint_dir
 
 SENTIMENT_TYPE = StructType([
@@ -41,27 +42,51 @@ def _lexicon_score(s: Column, hits: Column) -> Column:
     return F.round((F.lit(1.0) + F.abs(s)) / (F.lit(1.0) + hits), 6)
 
 
+def _hits_pattern(words: list[str]) -> str:
+    return "(?<![A-Za-z])(?i:" + "|".join(sorted(words, key=lambda w: (-len(w), w))) + ")(?![A-Za-z])"
+
+
 def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None,
                   text_col: str = "cleaned_tweet_text", key: str = "tweet_id") -> DataFrame:
     """Sum of word weights s and hit count h: label by the sign of s,
-    score = round((1 + |s|) / (1 + h), 6).  Null text gives null label and score."""
+    score = round((1 + |s|) / (1 + h), 6).  Null text gives null label and score.
+
+    Tokens are the maximal runs of ASCII letters, lower-cased.  A dict lexicon is
+    scored per row without explode or shuffle: one regex pass extracts the runs
+    that equal a lexicon word (ASCII-only case folding, runs bounded by
+    non-letters), and only those few hits are looked up in a map literal.  A
+    weight *table* of any size goes through explode -> join -> partial
+    aggregation -> join back.
+    """
     lexicon = C.FIXTURE_LEXICON if lexicon is None else lexicon
     text = F.col(text_col)
     if isinstance(lexicon, dict):
-        weights = F.create_map(*[x for k, v in lexicon.items() for x in (F.lit(k), F.lit(float(v)))])
-        toks = tokens(text)
-        s = F.aggregate(toks, F.lit(0.0),
-                        lambda acc, t: acc + F.coalesce(F.try_element_at(weights, t), F.lit(0.0)))
-        h = F.size(F.filter(toks, lambda t: F.map_contains_key(weights, t)))
-        return df.withColumns({
-            "sentiment_label": F.when(text.isNotNull(), _label_of_sum(s)),
-            "sentiment_score": F.when(text.isNotNull(), _lexicon_score(s, h)),
-        })
-    # weight table (token, weight) of unknown size: explode -> join -> aggregate -> join back
-    toks = df.select(key, F.explode(tokens(text)).alias("token"))
-    hit = toks.join(lexicon.select("token", F.col("weight").cast("double")), "token")
+        # only lower-case ASCII words can ever equal a token
+        usable = {w: float(v) for w, v in lexicon.items() if w.isascii() and w.isalpha() and w.islower()}
+        if not usable:
+            s, h = F.lit(0.0), F.lit(0)
+            out = df.withColumns({"_s": s, "_h": h})
+        else:
+            weights = F.create_map(*[x for k, v in usable.items() for x in (F.lit(k), F.lit(v))])
+            hits = F.regexp_extract_all(text, F.lit(_hits_pattern(list(usable))), F.lit(0))
+            out = df.withColumn("_hits", hits).withColumns({
+                "_s": F.aggregate("_hits", F.lit(0.0),
+                                  lambda acc, t: acc + F.try_element_at(weights, F.lower(t))),
+                "_h": F.size("_hits"),
+            })
+        return out.withColumns({
+            "sentiment_label": F.when(text.isNotNull(), _label_of_sum(F.col("_s"))),
+            "sentiment_score": F.when(text.isNotNull(), _lexicon_score(F.col("_s"), F.col("_h"))),
+        }).drop("_hits", "_s", "_h")
+    # weight table (token, weight) of unknown size: explode -> join -> aggregate -> join back,
+    # all on one hash partitioning by key (see score_naive_bayes)
+    base = df.repartition(key)
+    toks = (base.select(key, F.explode(letter_runs(text)).alias("t"))
+            .select(key, F.lower("t").alias("token")))
+    table = broadcast_if_bounded(lexicon.select("token", F.col("weight").cast("double")))
+    hit = toks.join(table, "token")
     sums = hit.groupBy(key).agg(F.sum("weight").alias("_s"), F.count(F.lit(1)).alias("_h"))
-    out = df.join(sums, key, "left")
+    out = base.join(sums, key, "left")
     s, h = F.coalesce(F.col("_s"), F.lit(0.0)), F.coalesce(F.col("_h"), F.lit(0))
     return out.withColumns({
         "sentiment_label": F.when(text.isNotNull(), _label_of_sum(s)),
@@ -81,9 +106,8 @@ def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "l
     vocabulary size and class totals are cheap scalars over the stored table.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    toks = (docs.select(F.col(label_col).alias("label"),
-                        F.explode(tokens(F.col(text_col))).alias("token"))
-            .where(F.col("token") != ""))
+    toks = (docs.select(F.col(label_col).alias("label"), F.explode(letter_runs(F.col(text_col))).alias("t"))
+            .select("label", F.lower("t").alias("token")))
     # partial aggregation collapses repeated (token, class) pairs before the shuffle
     counts = toks.groupBy("token").agg(*[
         F.sum(F.when(F.col("label") == lab, 1).otherwise(0)).alias(f"n_{lab.lower()}")
@@ -106,16 +130,27 @@ def naive_bayes_priors(docs: DataFrame, label_col: str = "label") -> DataFrame:
 
 
 def score_naive_bayes(df: DataFrame, model: DataFrame, priors: DataFrame,
-                      text_col: str = "cleaned_tweet_text", key: str = "tweet_id") -> DataFrame:
+                      text_col: str = "cleaned_tweet_text", key: str = "tweet_id",
+                      max_broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
     """Class sums = prior + weights of the known tokens (each occurrence counts);
     softmax; label = arg max; score = the winner's probability rounded to 6.
-    A post without a known token keeps the priors (left join)."""
-    weights = model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS])
-    toks = df.select(key, F.explode(tokens(F.col(text_col))).alias("token"))
+    A post without a known token keeps the priors (left join).
+
+    Plan: the rows are hash-partitioned by `key` once; the token branch and the
+    join-back both read that one exchange (reused), so the text is cleaned once
+    and neither the per-post aggregation nor the join-back shuffles again.  The
+    vocabulary is broadcast only when its row count is within `max_broadcast_rows`;
+    otherwise the token join shuffles and AQE splits skewed tokens.
+    """
+    base = df.repartition(key)
+    weights = broadcast_if_bounded(model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS]),
+                                   max_broadcast_rows)
+    toks = (base.select(key, F.explode(letter_runs(F.col(text_col))).alias("t"))
+            .select(key, F.lower("t").alias("token")))
     sums = (toks.join(weights, "token")
             .groupBy(key).agg(*[F.sum(f"w_{lab.lower()}").alias(f"_s_{lab.lower()}") for lab in C.LABELS]))
     pri = {lab: priors.select(f"p_{lab.lower()}").scalar() for lab in C.LABELS}
-    out = df.join(sums, key, "left")
+    out = base.join(sums, key, "left")
     logits = {lab: pri[lab] + F.coalesce(F.col(f"_s_{lab.lower()}"), F.lit(0.0)) for lab in C.LABELS}
     top = F.greatest(*logits.values())
     denom = sum((F.exp(v - top) for v in logits.values()), F.lit(0.0))

@@ -120,12 +120,12 @@ def q_agg_calendar_spine(spark, sf_dir):
 
 @query("top_latest_posts")
 def q_top_latest_posts(spark, sf_dir):
-    return reports.latest_posts(enriched_posts(spark, sf_dir))
+    return reports.latest_posts_of_posts(fixtures.posts(spark, sf_dir), enrich)
 
 
 @query("prj_row_number")
 def q_prj_row_number(spark, sf_dir):
-    return reports.numbered_latest(enriched_posts(spark, sf_dir))
+    return reports.numbered_latest(reports.latest_posts_of_posts(fixtures.posts(spark, sf_dir), enrich))
 
 
 @query("prj_series")
@@ -483,7 +483,7 @@ def q_str_ingest(spark, sf_dir):
     """File stream over two overlapping pulls, run twice: every id once."""
     root = _land_batches(spark, sf_dir)
     target, ckpt = scratch_path(spark, "stream_raw"), scratch_path(spark, "stream_ckpt")
-    jobs.ingest_stream(spark, root, target, ckpt, max_files_per_trigger=64)
+    jobs.ingest_stream(spark, root, target, ckpt, max_files_per_trigger=1000)
     jobs.ingest_stream(spark, root, target, ckpt)
     return spark.read.parquet(target).select("tweet_id", "author_id")
 
@@ -492,7 +492,7 @@ def q_str_ingest(spark, sf_dir):
 def q_str_daily_sentiment(spark, sf_dir):
     root = _land_batches(spark, sf_dir, overlapping=False)
     target, ckpt = scratch_path(spark, "stream_daily"), scratch_path(spark, "stream_ckpt")
-    jobs.daily_sentiment_stream(spark, root, target, ckpt, mode="complete", max_files_per_trigger=64)
+    jobs.daily_sentiment_stream(spark, root, target, ckpt, mode="complete", max_files_per_trigger=1000)
     return spark.read.parquet(target).select("day", "total_count", r9("avg_sentiment"))
 
 
