@@ -80,13 +80,15 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
         }).drop("_hits", "_s", "_h")
     # weight table (token, weight) of unknown size: explode -> join -> aggregate -> join back,
     # all on one hash partitioning by key (see score_naive_bayes)
-    base = df.repartition(key)
-    toks = (base.select(key, F.explode(letter_runs(text)).alias("t"))
-            .select(key, F.lower("t").alias("token")))
     table = broadcast_if_bounded(lexicon.select("token", F.col("weight").cast("double")))
-    hit = toks.join(table, "token")
-    sums = hit.groupBy(key).agg(F.sum("weight").alias("_s"), F.count(F.lit(1)).alias("_h"))
-    out = base.join(sums, key, "left")
+
+    def sums_of(base: DataFrame) -> DataFrame:
+        toks = (base.select(key, F.explode(letter_runs(text)).alias("t"))
+                .select(key, F.lower("t").alias("token")))
+        return (toks.join(table, "token")
+                .groupBy(key).agg(F.sum("weight").alias("_s"), F.count(F.lit(1)).alias("_h")))
+
+    out = _keyed_sums(df, key, sums_of)
     s, h = F.coalesce(F.col("_s"), F.lit(0.0)), F.coalesce(F.col("_h"), F.lit(0))
     return out.withColumns({
         "sentiment_label": F.when(text.isNotNull(), _label_of_sum(s)),
@@ -97,6 +99,26 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
 # ---------------------------------------------------------------- naive Bayes
 
 
+def _keyed_sums(df: DataFrame, key: str, sums_of) -> DataFrame:
+    """Attach per-key sums computed from the rows themselves, shuffling the rows once.
+
+    Rows with a key are hash-partitioned by it once; `sums_of(base)` (explode ->
+    broadcast join -> aggregate) and the join-back both read that exchange, which
+    Spark reuses, so the rows are computed once and nothing else is shuffled.  The
+    key filter sits *above* the shared exchange on both sides (it is applied first),
+    so the optimizer cannot push different filters under the two branches.  Rows
+    whose key is null get null sums and are kept (a union, their filter goes down to
+    the scan).
+    """
+    keyed = df.where(F.col(key).isNotNull()).repartition(key)
+    sums = sums_of(keyed)
+    out = keyed.join(sums, key, "left")
+    extra = [c for c in sums.columns if c != key]
+    nulls = df.where(F.col(key).isNull()).select(
+        "*", *[F.lit(None).cast(sums.schema[c].dataType).alias(c) for c in extra])
+    return out.unionByName(nulls)
+
+
 def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
     """Learn per-token log weights for the three classes by aggregation.
 
@@ -142,15 +164,17 @@ def score_naive_bayes(df: DataFrame, model: DataFrame, priors: DataFrame,
     vocabulary is broadcast only when its row count is within `max_broadcast_rows`;
     otherwise the token join shuffles and AQE splits skewed tokens.
     """
-    base = df.repartition(key)
     weights = broadcast_if_bounded(model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS]),
                                    max_broadcast_rows)
-    toks = (base.select(key, F.explode(letter_runs(F.col(text_col))).alias("t"))
-            .select(key, F.lower("t").alias("token")))
-    sums = (toks.join(weights, "token")
-            .groupBy(key).agg(*[F.sum(f"w_{lab.lower()}").alias(f"_s_{lab.lower()}") for lab in C.LABELS]))
+
+    def sums_of(base: DataFrame) -> DataFrame:
+        toks = (base.select(key, F.explode(letter_runs(F.col(text_col))).alias("t"))
+                .select(key, F.lower("t").alias("token")))
+        return (toks.join(weights, "token")
+                .groupBy(key).agg(*[F.sum(f"w_{lab.lower()}").alias(f"_s_{lab.lower()}") for lab in C.LABELS]))
+
     pri = {lab: priors.select(f"p_{lab.lower()}").scalar() for lab in C.LABELS}
-    out = base.join(sums, key, "left")
+    out = _keyed_sums(df, key, sums_of)
     logits = {lab: pri[lab] + F.coalesce(F.col(f"_s_{lab.lower()}"), F.lit(0.0)) for lab in C.LABELS}
     top = F.greatest(*logits.values())
     denom = sum((F.exp(v - top) for v in logits.values()), F.lit(0.0))

@@ -1,0 +1,84 @@
+"""Cleaning rules: goldens, null handling, and the native chain against Python `re`."""
+
+import random
+import re
+
+
+from postlytics import config as C
+from postlytics.functions.text import clean_text, extract_hashtags, extract_mentions, extract_tickers
+
+GOLDEN = [
+    ("RT @joe_1: hi http://t.co/x #tag_one #a b", "  hi   one #a b"),
+    ("@a @ab @1ab @_x", " a   1ab  x"),
+    ("a\\b [c] #x-y", "a\\b  c  #x y"),
+    ("http http: xhttpsy", "http  x"),
+    ("#ćup #caféx", "#ćup éx"),
+    ("x@y.com 3.14 $TSLA", "x y com 3 14  TSLA"),
+    ("", ""),
+    (None, None),
+]
+
+
+def python_clean(t):
+    """The rules in Python `re` (Unicode `\\s`), as the test's own statement of them."""
+    if t is None:
+        return None
+    t = re.sub(r"http\S+", "", t)
+    t = re.sub(r"RT\s@[A-Za-z]+[A-Za-z0-9_-]+", "", t)
+    t = re.sub(r"@[A-Za-z]+[A-Za-z0-9_-]+", "", t)
+    t = re.sub("[" + re.escape(C.PUNCTUATION_CHARS) + "]+", " ", t)
+    return re.sub(r"#[A-Za-z]+[A-Za-z0-9_-]+", "", t)
+
+
+def test_golden_cases(spark):
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(GOLDEN)], "i int, text string")
+    got = {r.i: r.c for r in df.select("i", clean_text("text").alias("c")).collect()}
+    for i, (_, want) in enumerate(GOLDEN):
+        assert got[i] == want, (GOLDEN[i][0], got[i], want)
+
+
+def test_python_statement_agrees_with_goldens():
+    for src, want in GOLDEN:
+        assert python_clean(src) == want
+
+
+PIECES = ["http", "https://x.y/z", "RT", "RT ", "@", "@ab", "@a1", "@_x", "#", "#ab", "#a_b-c", "#é",
+          "a", "Zz", "é", "ç", "ß", "3", "14", " ", "  ", "\t", "\n", " ", " ", "　",
+          "\x1c", "\x1f", "\x85", "\x0b", " ", "-", "_", "!", "\"", "$", "%", "&", "'", "(", ")",
+          "*", "+", ",", ".", "/", ":", ";", "<", "=", ">", "?", "[", "]", "\\", "^", "`", "{", "|",
+          "}", "~", "😀", "RT @abc"]
+
+
+def test_native_chain_equals_python_re_on_random_unicode(spark):
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 25))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: r.c for r in df.select("i", clean_text("text").alias("c")).collect()}
+    bad = [(texts[i], got[i], python_clean(texts[i])) for i in range(len(texts)) if got[i] != python_clean(texts[i])]
+    assert not bad, bad[:5]
+
+
+def test_cleaned_text_has_no_punctuation_or_link(spark):
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(PIECES) for _ in range(rng.randint(0, 30))) for _ in range(2000)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for (c,) in df.select(clean_text("text")).collect():
+        assert not any(ch in C.PUNCTUATION_CHARS for ch in c)
+        assert re.search(r"http\S", c) is None
+
+
+def test_tag_extraction(spark):
+    df = spark.createDataFrame([("RT @joe_1: hi #tag_one #a $TSLA and $ab x@yz",)], "text string")
+    r = df.select(extract_hashtags("text").alias("h"), extract_mentions("text").alias("m"),
+                  extract_tickers("text").alias("t")).first()
+    assert r.h == ["#tag_one"]
+    assert r.m == ["@joe_1", "@yz"]
+    assert r.t == ["TSLA"]
+
+
+def test_cleaning_plan_stays_native(spark):
+    from postlytics.plans.inspect import plan_text, python_eval_nodes
+
+    df = spark.createDataFrame([("a",)], "text string").select(clean_text("text"))
+    assert python_eval_nodes(df) == 0
+    assert "WholeStageCodegen" in plan_text(df, "formatted") or "*(" in plan_text(df, "simple")

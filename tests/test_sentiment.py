@@ -1,0 +1,112 @@
+"""Scorers: the lexicon rule, the learned weights, the plug-in model contract and plan shape."""
+
+import math
+import re
+
+import pytest
+
+from postlytics.operators import sentiment
+from postlytics.plans.inspect import plan_text, python_eval_nodes
+
+
+def _texts(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "tweet_id long, cleaned_tweet_text string")
+
+
+LEX_CASES = [
+    ("The cat and the dog", "Positive", round((1 + 3) / (1 + 3), 6)),       # the, and, the
+    ("La vie de der Mann", "Negative", round((1 + 3) / (1 + 3), 6)),         # la, de, der
+    ("the of", "Neutral", round(1 / 3, 6)),
+    ("nothing here", "Neutral", 1.0),
+    ("THE", "Positive", 1.0),                                               # (1+1)/(1+1)
+    ("theory other", "Neutral", 1.0),                                       # not whole tokens
+    ("x_the-9and", "Positive", round(3 / 3, 6)),                            # non-letters split
+    ("l'amour de la", "Negative", round(3 / 3, 6)),
+    ("", "Neutral", 1.0),
+    (None, None, None),
+]
+
+
+@pytest.mark.parametrize("path", ["dict", "table"])
+def test_lexicon_rule(spark, path):
+    df = _texts(spark, [c[0] for c in LEX_CASES])
+    if path == "dict":
+        out = sentiment.score_lexicon(df)
+    else:
+        from postlytics import config as C
+
+        table = spark.createDataFrame(list(C.FIXTURE_LEXICON.items()), "token string, weight double")
+        out = sentiment.score_lexicon(df, table)
+    got = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in out.collect()}
+    for i, (_, label, score) in enumerate(LEX_CASES):
+        assert got[i] == (label, score), (LEX_CASES[i], got[i])
+
+
+def test_lexicon_plan_has_no_python_and_no_shuffle(spark):
+    out = sentiment.score_lexicon(_texts(spark, ["a"]))
+    assert python_eval_nodes(out) == 0
+    assert "Exchange" not in plan_text(out, "simple")
+
+
+def test_model_path_matches_lexicon_and_runs_once_per_row(spark):
+    df = _texts(spark, [c[0] for c in LEX_CASES])
+    out = sentiment.score_model(df)
+    got = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in out.collect()}
+    for i, (_, label, score) in enumerate(LEX_CASES):
+        assert got[i] == (label, score)
+    assert plan_text(out, "simple").count("ArrowEvalPython") == 1
+
+
+def test_plugin_loader_is_used(spark):
+    class Always:
+        def predict(self, texts):
+            return [("Neutral", 0.5) for _ in texts]
+
+    out = sentiment.score_model(_texts(spark, ["a", "b"]), loader=lambda: Always())
+    assert {(r.sentiment_label, r.sentiment_score) for r in out.collect()} == {("Neutral", 0.5)}
+
+
+def test_naive_bayes_by_hand(spark):
+    docs = spark.createDataFrame(
+        [(1, "good good fine", "Positive"), (2, "bad awful", "Negative"), (3, "meh fine", "Neutral"),
+         (4, "good", "Positive")], "doc_id long, text string, label string")
+    model = sentiment.fit_naive_bayes(docs)
+    priors = sentiment.naive_bayes_priors(docs)
+    posts = _texts(spark, ["Good day", "awful BAD", "zzz", None])
+    got = {r.tweet_id: (r.sentiment_label, r.sentiment_score)
+           for r in sentiment.score_naive_bayes(posts, model, priors).collect()}
+
+    vocab = ["good", "fine", "bad", "awful", "meh"]
+    counts = {"Positive": {"good": 3, "fine": 1}, "Negative": {"bad": 1, "awful": 1}, "Neutral": {"meh": 1, "fine": 1}}
+    prior = {"Positive": 2 / 4, "Negative": 1 / 4, "Neutral": 1 / 4}
+
+    def expect(tokens):
+        logit = {}
+        for c in ("Negative", "Neutral", "Positive"):
+            n_c = sum(counts[c].values())
+            logit[c] = math.log(prior[c]) + sum(
+                math.log((counts[c].get(t, 0) + 1) / (n_c + len(vocab))) for t in tokens if t in vocab)
+        m = max(logit.values())
+        z = sum(math.exp(v - m) for v in logit.values())
+        best = next(c for c in ("Negative", "Neutral", "Positive") if logit[c] == m)
+        return best, round(1 / z, 6)
+
+    assert got[0] == expect(["good", "day"])
+    assert got[1] == expect(["awful", "bad"])
+    assert got[2] == expect([])                 # no known token: the prior decides
+    assert got[3] == (None, None)
+
+
+def test_naive_bayes_plan_reuses_one_partitioning(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        docs = spark.createDataFrame([(1, "good", "Positive"), (2, "bad", "Negative"), (3, "meh", "Neutral")],
+                                     "doc_id long, text string, label string")
+        out = sentiment.score_naive_bayes(_texts(spark, ["good"]), sentiment.fit_naive_bayes(docs),
+                                          sentiment.naive_bayes_priors(docs))
+        text = plan_text(out, "simple")
+        assert "BroadcastHashJoin" in text           # vocabulary broadcast after its size check
+        assert "ReusedExchange" in text              # the rows are partitioned once, read twice
+        assert not re.search(r"Exchange hashpartitioning\([^)]*\), ENSURE_REQUIREMENTS", text)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
