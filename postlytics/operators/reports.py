@@ -72,7 +72,11 @@ def latest_posts_of_posts(post_rows: DataFrame, enrich_fn, n: int = C.LATEST_POS
     from postlytics.functions.timeparts import epoch_ms_to_seconds, to_local_time
 
     keyed = post_rows.withColumn("_local", to_local_time(epoch_ms_to_seconds("created_at"), zone))
-    top = keyed.orderBy(F.col("_local").desc(), F.col("tweet_id").desc()).limit(n).drop("_local")
+    # the top-k runs as TakeOrderedAndProject on the raw rows; after the global limit the
+    # n rows sit in one partition, so coalesce(1) moves nothing -- it only keeps the
+    # optimizer from pushing the cleaning/scoring projections below the limit (which
+    # would turn the top-k into a full sort of every post)
+    top = keyed.orderBy(F.col("_local").desc(), F.col("tweet_id").desc()).limit(n).coalesce(1).drop("_local")
     return latest_posts(enrich_fn(top), n)
 
 
