@@ -65,8 +65,11 @@ def lookup_state(df: DataFrame, state: DataFrame, value_col: str = "last_id", de
 
 def above_watermark(df: DataFrame, state: DataFrame, value_col: str = "last_id",
                     key: str = "author_id", id_col: str = "tweet_id") -> DataFrame:
-    """Rows whose id is above their author's stored id (checked per row)."""
-    return lookup_state(df, state, value_col, 0, key).where(F.col(id_col) > F.col(value_col)).drop(value_col)
+    """Rows whose id is above their author's stored id (checked per row, not only for
+    the first row of a batch).  An author without a stored id has no watermark: all
+    of its rows are new."""
+    j = df.join(state.select(key, F.col(value_col).alias("_v")), key, "left")
+    return j.where(F.col("_v").isNull() | (F.col(id_col) > F.col("_v"))).drop("_v")
 
 
 def not_loaded(incoming: DataFrame, loaded: DataFrame, key: str = "tweet_id") -> DataFrame:
