@@ -64,9 +64,9 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
         # only lower-case ASCII words can ever equal a token
         usable = {w: float(v) for w, v in lexicon.items() if w.isascii() and w.isalpha() and w.islower()}
         if not usable:
-            s, h = F.lit(0.0), F.lit(0)
-            out = df.withColumns({"_s": s, "_h": h})
+            out = df.withColumns({"_s": F.lit(0.0), "_h": F.lit(0)})
         else:
+            # staged columns: the regex runs once, its hits feed both the sum and the count
             weights = F.create_map(*[x for k, v in usable.items() for x in (F.lit(k), F.lit(v))])
             hits = F.regexp_extract_all(text, F.lit(_hits_pattern(list(usable))), F.lit(0))
             out = df.withColumn("_hits", hits).withColumns({
@@ -244,3 +244,12 @@ def score_model(df: DataFrame, loader: Callable[[], object] = default_model_load
             .withColumns({"sentiment_label": F.col("_sentiment.label"),
                           "sentiment_score": F.col("_sentiment.score")})
             .drop("_sentiment"))
+
+
+def score_struct(df: DataFrame, text_col: str = "cleaned_tweet_text", out: str = "s",
+                 scorer=None) -> DataFrame:
+    """The scorer contract as one column `out`: struct<label string, score double>."""
+    scored = (scorer or score_lexicon)(df) if scorer else score_lexicon(df, text_col=text_col)
+    return (scored.withColumn(out, F.when(F.col("sentiment_label").isNotNull(), F.struct(
+        F.col("sentiment_label").alias("label"), F.col("sentiment_score").alias("score"))))
+        .drop("sentiment_label", "sentiment_score"))

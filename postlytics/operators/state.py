@@ -52,6 +52,20 @@ def processed_state(authors: DataFrame, processed_log: DataFrame) -> DataFrame:
                               F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+STATE_KINDS = ("pull", "raw", "processed")
+
+
+def state_of(kind: str, authors: DataFrame, log: DataFrame) -> DataFrame:
+    """Dispatch by state table; an unknown table name is an error (not a silent '0')."""
+    if kind == "pull":
+        return pull_state(authors, log)
+    if kind == "raw":
+        return raw_state(authors, log)
+    if kind == "processed":
+        return processed_state(authors, log)
+    raise ValueError(f"unknown state table {kind!r}; expected one of {STATE_KINDS}")
+
+
 def max_id_per_author(df: DataFrame) -> DataFrame:
     return df.groupBy("author_id").agg(F.max("tweet_id").alias("max_id"))
 

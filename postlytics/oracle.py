@@ -418,3 +418,6 @@ register("ext_multi_author", with_ctes(POSTS, body="""
 SELECT author_id, count(*) AS n_posts, max(tweet_id) AS max_id FROM posts
 WHERE author_id IN (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
 GROUP BY author_id"""))
+
+register("src_report_table", QUERIES["agg_daily_rounded"])
+register("prj_sentiment", QUERIES["sentiment_lexicon"])

@@ -534,3 +534,20 @@ def q_ext_multi_author(spark, sf_dir):
     followed = fixtures.followed_authors(spark, sf_dir)
     p = filters.by_author(fixtures.posts(spark, sf_dir), followed)
     return p.groupBy("author_id").agg(F.count(F.lit(1)).alias("n_posts"), F.max("tweet_id").alias("max_id"))
+
+
+@query("src_report_table")
+def q_src_report_table(spark, sf_dir):
+    """The report read back from the stored enriched table (the report's source)."""
+    silver = scratch_path(spark, "silver")
+    sinks.append_new(enrich(fixtures.posts(spark, sf_dir)), silver, partition_by=("year", "month"))
+    return reports.daily_rounded(reports.daily_sentiment(spark.read.parquet(silver)))
+
+
+@query("prj_sentiment")
+def q_prj_sentiment(spark, sf_dir):
+    """Label and score from one struct-valued scorer column, split with `select('s.*')`."""
+    cleaned = add_clean_text(fixtures.posts(spark, sf_dir))
+    scored = sentiment.score_struct(cleaned)
+    return scored.select("tweet_id", "s.*").withColumnsRenamed(
+        {"label": "sentiment_label", "score": "sentiment_score"})

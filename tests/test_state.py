@@ -40,3 +40,20 @@ def test_latest_per_key_is_an_aggregate_not_a_window(spark):
     df = spark.createDataFrame([(1, 1, 1)], "author_id long, id long, date_time long")
     text = plan_text(state.latest_per_key(df, "author_id", "date_time", ["id"]), "simple")
     assert "Window" not in text and "partial_max" in text
+
+
+def test_unknown_state_table_raises(spark):
+    import pytest
+
+    a = spark.createDataFrame([(1,)], "author_id long")
+    with pytest.raises(ValueError):
+        state.state_of("insert_log_typo", a, a)
+
+
+def test_marker_text_parses(spark):
+    from postlytics.functions.timeparts import epoch_seconds_of_ntz, parse_timestamp_text
+
+    df = spark.createDataFrame([("2022-10-31 16:48:57",), ("bad",)], "t string")
+    rows = df.select(parse_timestamp_text("t").alias("ts")).select("ts", epoch_seconds_of_ntz("ts").alias("s")).collect()
+    assert rows[0].ts == T(2022, 10, 31, 16, 48, 57) and rows[0].s == 1667234937
+    assert rows[1].ts is None
