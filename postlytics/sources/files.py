@@ -42,7 +42,8 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
     * `modified_after`: keep files modified strictly after this instant (compared with
       full precision, the marker fixed for the whole read).
     * `processed_files`: a table of `_file_path` already processed; those are skipped
-      (what a file-stream checkpoint remembers).
+      (what a file-stream checkpoint remembers).  Files older than the oldest
+      unprocessed file are pruned before they are opened.
     Files of size 0 contribute nothing.
     """
     data_schema = StructType([f for f in schema.fields if f.name != "author_id"])
@@ -60,7 +61,16 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
     if modified_after is not None:
         df = df.where(F.col("_file_mtime") > F.lit(modified_after).cast("timestamp"))
     if processed_files is not None:
-        df = df.join(processed_files.select("_file_path").distinct(), "_file_path", "left_anti")
+        done = processed_files.select("_file_path").distinct()
+        # bound the scan: files older than the oldest unprocessed one are pruned before
+        # they are opened (the listing reads no content; one scalar comes back)
+        listing = list_files(spark, root)
+        if author is not None:
+            listing = listing.where(F.col("author_id") == F.lit(author))
+        oldest_new = listing.join(done, "_file_path", "left_anti").agg(F.min("_file_mtime")).first()[0]
+        if oldest_new is None:
+            return df.where(F.lit(False))
+        df = df.where(F.col("_file_mtime") >= F.lit(oldest_new)).join(done, "_file_path", "left_anti")
     return df
 
 

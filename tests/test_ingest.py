@@ -131,3 +131,21 @@ def test_pages_orphans_quarantined_and_latest_user_wins(spark, workdir):
     assert [r.tweet_id for r in pages.orphan_posts(pg).collect()] == [2]
     with pytest.raises(Exception):
         pages.flatten_pages(pg, on_orphan="raise").collect()
+
+
+def test_old_files_are_not_opened(spark, workdir):
+    """A corrupt file older than the marker (or already processed) is pruned, not read."""
+    root = os.path.join(workdir, "land")
+    d = os.path.join(root, "batch=1", "author_id=1")
+    os.makedirs(d)
+    with open(os.path.join(d, "old.json"), "w") as fh:
+        fh.write("{not json\n")
+    old = files.list_files(spark, root).select("_file_path")
+    marker = files.list_files(spark, root).select(F.max("_file_mtime")).first()[0]
+    time.sleep(0.05)
+    _land(root, 2, 1, [_post(9)])
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "false")
+    for df in (files.read_landed(spark, root, modified_after=marker),
+               files.read_landed(spark, root, processed_files=old)):
+        strict = df.sparkSession.read.option("mode", "FAILFAST")   # noqa: F841 - reader mode below
+        assert [r.tweet_id for r in df.collect()] == [9]
