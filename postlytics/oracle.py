@@ -32,7 +32,7 @@ posts AS (
     CAST(json_extract_string(e.props, '$.k') AS INTEGER) AS likes,
     CAST(e.event_id % 3 AS INTEGER) AS quote_count,
     e.event_id // 10 AS conversation_id,
-    CASE WHEN e.event_type = 'view' THEN [e.event_id || '_1', e.event_id || '_2'] END AS media_keys,
+    CASE WHEN e.event_type = 'view' THEN e.event_id || '_1,' || e.event_id || '_2' END AS media_keys,
     CASE WHEN e.event_id % 3 = 0 AND e.event_id > 0 THEN 'replied_to' END AS ref_type,
     CASE WHEN e.event_id % 3 = 0 AND e.event_id > 0 THEN CAST(e.event_id - 1 AS VARCHAR) END AS ref_id,
     e.ts AS _ts

@@ -276,7 +276,7 @@ def _landed_pages(spark, sf_dir, post_rows=None, with_orphans=True):
 
 def _flat_out(df):
     return df.select(*[c for c in POST_COLUMNS if c not in ("attach_list", "referenced_tweets_list")],
-                     F.col("attach_list.media_keys").alias("media_keys"),
+                     F.array_join("attach_list.media_keys", ",").alias("media_keys"),
                      F.col("referenced_tweets_list")[0]["data"]["type"].alias("ref_type"),
                      F.col("referenced_tweets_list")[0]["data"]["id"].alias("ref_id"))
 
@@ -299,7 +299,7 @@ def q_prj_post_fields(spark, sf_dir):
     """Tweet-level fields out of the nested page records (no user join)."""
     t = pages._tweets(_landed_pages(spark, sf_dir))  # noqa: SLF001
     return t.select("tweet_id", "author_id", "created_at", "retweets", "replies", "likes",
-                    "quote_count", "conversation_id", F.col("attach_list.media_keys").alias("media_keys"))
+                    "quote_count", "conversation_id", F.array_join("attach_list.media_keys", ",").alias("media_keys"))
 
 
 @query("join_post_author")

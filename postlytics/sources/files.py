@@ -19,9 +19,15 @@ FILE_COLUMNS = ["_file_path", "_file_mtime", "_file_size"]
 
 
 def land_json(df: DataFrame, root: str, batch, partition_by: tuple[str, ...] = ("author_id",)) -> str:
-    """Write one pull as JSON lines under `<root>/batch=<batch>/` (fails if it exists)."""
+    """Write one pull as JSON lines under `<root>/batch=<batch>/` (fails if it exists).
+
+    A `rebalance` hint on the partition columns first: each task then writes the
+    files of a few authors (about one file per author and pull, instead of one per
+    author in every task), and AQE splits the partition of an author that holds a
+    large share of the rows and merges small ones.
+    """
     path = f"{root.rstrip('/')}/batch={batch}"
-    df.write.mode("error").partitionBy(*partition_by).json(path)
+    df.hint("rebalance", *partition_by).write.mode("error").partitionBy(*partition_by).json(path)
     return path
 
 
