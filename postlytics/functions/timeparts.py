@@ -18,10 +18,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def epoch_micros_of_ntz(ts: Column | str) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ read as UTC, from zone-free fields only.
+
+    (`timestampdiff` would cast NTZ to a zoned TIMESTAMP first, which moves wall
+    clocks that fall into a daylight-saving gap of the session zone.)
+    """
+    t = _col(ts)
+    day = F.unix_date(F.to_date(t)).cast("bigint")
+    second = F.date_part(F.lit("SECOND"), t)          # decimal(8,6): seconds with micros
+    return (day * F.lit(86_400_000_000) + F.hour(t).cast("bigint") * F.lit(3_600_000_000)
+            + F.minute(t).cast("bigint") * F.lit(60_000_000)
+            + (second * F.lit(1_000_000)).cast("bigint"))
+
+
 def epoch_ms_of_ntz(ts: Column | str) -> Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ read as UTC (no session zone involved)."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), _col(ts))
-    return F.floor(micros / F.lit(1000)).cast("bigint")
+    """Epoch milliseconds of a TIMESTAMP_NTZ read as UTC (floor; no session zone involved)."""
+    return F.floor(epoch_micros_of_ntz(ts) / F.lit(1000)).cast("bigint")
 
 
 def epoch_ms_to_seconds(ms_text: Column | str) -> Column:
@@ -55,7 +68,8 @@ def parse_timestamp_text(text: Column | str) -> Column:
 
 
 def epoch_seconds_of_ntz(ts: Column | str) -> Column:
-    return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), _col(ts))
+    """Whole epoch seconds of a TIMESTAMP_NTZ read as UTC (floor)."""
+    return F.floor(epoch_micros_of_ntz(ts) / F.lit(1_000_000)).cast("bigint")
 
 
 def day_of_ntz(ts: Column | str) -> Column:

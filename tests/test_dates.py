@@ -36,3 +36,23 @@ def test_malformed_created_at_is_counted(spark):
     df = spark.createDataFrame([("1",), ("abc",), ("",), (None,)], "created_at string")
     r = row_counts(df).first()
     assert (r.n_rows, r.n_bad_created_at) == (4, 3)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Belgrade", "America/Los_Angeles"])
+def test_epoch_ms_of_wall_clock_ignores_session_zone(spark, zone):
+    """Includes a wall clock that does not exist in Belgrade (DST gap 2024-03-31 02:30)."""
+    from postlytics.functions.timeparts import epoch_ms_of_ntz, epoch_seconds_of_ntz
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        vals = [dt.datetime(2024, 1, 15, 12, 0, 0, 123456), dt.datetime(2024, 3, 31, 2, 30),
+                dt.datetime(2024, 7, 15, 12, 0), dt.datetime(1969, 12, 31, 23, 59, 59, 500000)]
+        df = spark.createDataFrame([(v,) for v in vals], "ts timestamp_ntz")
+        got = [(r.ms, r.s) for r in df.select(epoch_ms_of_ntz("ts").alias("ms"),
+                                              epoch_seconds_of_ntz("ts").alias("s")).collect()]
+        epoch = dt.datetime(1970, 1, 1)
+        want = [((v - epoch) // dt.timedelta(milliseconds=1), (v - epoch) // dt.timedelta(seconds=1)) for v in vals]
+        assert got == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
