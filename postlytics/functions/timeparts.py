@@ -70,7 +70,3 @@ def parse_timestamp_text(text: Column | str) -> Column:
 def epoch_seconds_of_ntz(ts: Column | str) -> Column:
     """Whole epoch seconds of a TIMESTAMP_NTZ read as UTC (floor)."""
     return F.floor(epoch_micros_of_ntz(ts) / F.lit(1_000_000)).cast("bigint")
-
-
-def day_of_ntz(ts: Column | str) -> Column:
-    return F.to_date(_col(ts))

@@ -77,13 +77,3 @@ PROCESSED_LOG_SCHEMA = StructType([
     StructField("file_modified_date", TimestampNTZType(), True),
     StructField("date_time", TimestampNTZType(), True),
 ])
-
-ENRICHED_EXTRA = StructType([
-    StructField("cleaned_tweet_text", StringType(), True),
-    StructField("sentiment_label", StringType(), True),
-    StructField("sentiment_score", DoubleType(), True),
-    StructField("created_at_date", TimestampNTZType(), True),
-    StructField("year", IntegerType(), True),
-    StructField("month", IntegerType(), True),
-    StructField("dayofmonth", IntegerType(), True),
-])

@@ -8,8 +8,6 @@ transactions); the data is written before any state that points past it.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,10 +66,6 @@ def read_latest_log(spark: SparkSession, path: str, key: str, order_col: str,
     return latest_per_key(spark.read.parquet(path), key, order_col, value_cols)
 
 
-def path_join(*parts: str) -> str:
-    return os.path.join(*parts)
-
-
 def touch_empty(spark: SparkSession, path: str) -> str:
     """Create a zero-byte file (used to land an empty pull)."""
     jvm = spark.sparkContext._jvm  # noqa: SLF001

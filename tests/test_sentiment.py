@@ -6,7 +6,7 @@ import re
 import pytest
 
 from postlytics.operators import sentiment
-from postlytics.plans.inspect import plan_text, python_eval_nodes
+from postlytics.plans.inspect import plan_text, python_eval_nodes, shuffle_count
 
 
 def _texts(spark, texts):
@@ -45,7 +45,7 @@ def test_lexicon_rule(spark, path):
 def test_lexicon_plan_has_no_python_and_no_shuffle(spark):
     out = sentiment.score_lexicon(_texts(spark, ["a"]))
     assert python_eval_nodes(out) == 0
-    assert "Exchange" not in plan_text(out, "simple")
+    assert "Exchange" not in plan_text(out, "simple") and shuffle_count(out) == 0
 
 
 def test_model_path_matches_lexicon_and_runs_once_per_row(spark):

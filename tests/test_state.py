@@ -57,3 +57,14 @@ def test_marker_text_parses(spark):
     rows = df.select(parse_timestamp_text("t").alias("ts")).select("ts", epoch_seconds_of_ntz("ts").alias("s")).collect()
     assert rows[0].ts == T(2022, 10, 31, 16, 48, 57) and rows[0].s == 1667234937
     assert rows[1].ts is None
+
+
+def test_fixture_logs_have_the_state_schemas(spark):
+    from conftest import SF001
+    from postlytics.schema import ID_LOG_SCHEMA, PROCESSED_LOG_SCHEMA
+    from postlytics.sources import fixtures
+
+    p = fixtures.posts(spark, SF001)
+    strip = lambda sc: [(f.name, f.dataType) for f in sc.fields]
+    assert strip(fixtures.insert_log(p, "2024-01-15").schema) == strip(ID_LOG_SCHEMA)
+    assert strip(fixtures.processed_log(p, "2024-01-15").schema) == strip(PROCESSED_LOG_SCHEMA)
