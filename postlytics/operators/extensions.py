@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from postlytics.functions.text import extract_tickers
 
 
-def ticker_mentions(post_rows: DataFrame, aliases: DataFrame, text_col: str = "text") -> DataFrame:
-    """One row per (post, mentioned asset): `$SYMBOL` in the raw text, resolved by alias."""
-    m = post_rows.select("tweet_id", "author_id", F.explode(F.array_distinct(extract_tickers(text_col)))
-                         .alias("symbol"))
+def ticker_mentions(post_rows: DataFrame, aliases: DataFrame, text_col: str = "text",
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per (post, mentioned asset): `$SYMBOL` in the raw text, resolved by alias.
+
+    `keep` carries further post columns along, so callers never join the mentions
+    back to the posts they came from.
+    """
+    m = post_rows.select("tweet_id", "author_id", *keep,
+                         F.explode(F.array_distinct(extract_tickers(text_col))).alias("symbol"))
     return m.join(aliases.select("symbol", "asset_id"), "symbol", "inner")
 
 

@@ -499,9 +499,9 @@ def q_str_daily_sentiment(spark, sf_dir):
 # ------------------------------------------------------------------ extensions
 
 
-def _mentions(spark, sf_dir, post_rows=None):
+def _mentions(spark, sf_dir, post_rows=None, keep=()):
     p = fixtures.posts(spark, sf_dir) if post_rows is None else post_rows
-    return extensions.ticker_mentions(p, fixtures.assets(spark, sf_dir))
+    return extensions.ticker_mentions(p, fixtures.assets(spark, sf_dir), keep=keep)
 
 
 @query("ext_ticker_mentions")
@@ -513,17 +513,15 @@ def q_ext_ticker_mentions(spark, sf_dir):
 def q_ext_price_asof(spark, sf_dir):
     p = fixtures.posts(spark, sf_dir).withColumn(
         "ts", ntz_from_epoch_seconds(epoch_ms_to_seconds("created_at")))
-    m = _mentions(spark, sf_dir, p).join(p.select("tweet_id", "ts"), "tweet_id")
+    m = _mentions(spark, sf_dir, p, keep=("ts",))
     out = extensions.price_asof(m.select("tweet_id", "symbol", "ts"), fixtures.daily_prices(spark, sf_dir))
     return out.select("tweet_id", "symbol", "price_time", r9("price"))
 
 
 @query("ext_sentiment_price_corr")
 def q_ext_sentiment_price_corr(spark, sf_dir):
-    e = enrich(fixtures.posts(spark, sf_dir))
-    m = _mentions(spark, sf_dir, e).select("tweet_id", "symbol")
-    em = m.join(e.select("tweet_id", "created_at_date",
-                         extensions.polarity().alias("polarity")), "tweet_id")
+    e = enrich(fixtures.posts(spark, sf_dir)).withColumn("polarity", extensions.polarity())
+    em = _mentions(spark, sf_dir, e, keep=("created_at_date", "polarity"))
     out = extensions.sentiment_price_corr(em, fixtures.daily_prices(spark, sf_dir))
     return out.select("symbol", r9("corr"), "days")
 
