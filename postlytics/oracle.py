@@ -416,7 +416,7 @@ FROM daily d JOIN prices p ON d.symbol = p.symbol AND d.day = p.price_date
 GROUP BY d.symbol"""))
 register("ext_multi_author", with_ctes(POSTS, body="""
 SELECT author_id, count(*) AS n_posts, max(tweet_id) AS max_id FROM posts
-WHERE author_id IN (SELECT DISTINCT user_id FROM events WHERE user_id % 3 = 0)
+WHERE author_id IN (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup')
 GROUP BY author_id"""))
 
 register("src_report_table", QUERIES["agg_daily_rounded"])

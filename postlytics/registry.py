@@ -528,7 +528,7 @@ def q_ext_sentiment_price_corr(spark, sf_dir):
 
 @query("ext_multi_author")
 def q_ext_multi_author(spark, sf_dir):
-    """Many authors: a followed-author table (every third user) by semi-join, state per author."""
+    """Many authors: a followed-author table (users with a signup event) by semi-join, state per author."""
     followed = fixtures.followed_authors(spark, sf_dir)
     p = filters.by_author(fixtures.posts(spark, sf_dir), followed)
     return p.groupBy("author_id").agg(F.count(F.lit(1)).alias("n_posts"), F.max("tweet_id").alias("max_id"))
