@@ -145,10 +145,11 @@ counts AS (
 tot AS (SELECT count(*) AS vocab, sum(n_negative) AS t_neg, sum(n_neutral) AS t_neu,
                sum(n_positive) AS t_pos FROM counts),
 w AS (
-  SELECT token, ln((n_negative + 1) / (t_neg + vocab)) AS w_negative,
-         ln((n_neutral + 1) / (t_neu + vocab)) AS w_neutral,
-         ln((n_positive + 1) / (t_pos + vocab)) AS w_positive
-  FROM counts, tot
+  SELECT token,
+         ln((n_negative + 1) / ((SELECT t_neg FROM tot) + (SELECT vocab FROM tot))) AS w_negative,
+         ln((n_neutral + 1) / ((SELECT t_neu FROM tot) + (SELECT vocab FROM tot))) AS w_neutral,
+         ln((n_positive + 1) / ((SELECT t_pos FROM tot) + (SELECT vocab FROM tot))) AS w_positive
+  FROM counts
 ),
 pri AS (
   SELECT ln(sum(CASE WHEN label = 'Negative' THEN 1 ELSE 0 END) / count(*)) AS p_negative,
@@ -166,9 +167,10 @@ psums AS (
   FROM ptoks JOIN w USING (token) GROUP BY tweet_id
 ),
 logits AS (
-  SELECT c.tweet_id, p_negative + coalesce(s_neg, 0) AS a, p_neutral + coalesce(s_neu, 0) AS b,
-         p_positive + coalesce(s_pos, 0) AS c
-  FROM cleaned c LEFT JOIN psums USING (tweet_id) CROSS JOIN pri
+  SELECT c.tweet_id, (SELECT p_negative FROM pri) + coalesce(s_neg, 0) AS a,
+         (SELECT p_neutral FROM pri) + coalesce(s_neu, 0) AS b,
+         (SELECT p_positive FROM pri) + coalesce(s_pos, 0) AS c
+  FROM cleaned c LEFT JOIN psums USING (tweet_id)
 ),
 nb AS (
   SELECT tweet_id,

@@ -129,7 +129,7 @@ def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ state logs
-# The pipeline is taken to have loaded posts once per UTC day, at midnight after
+# Posts are taken to have been loaded once per UTC day, at midnight after
 # that day.  `before` is the first day not loaded yet.
 
 def post_day(created_at: Column | str = "created_at") -> Column:
