@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from postlytics import config as C
 from postlytics.functions.text import (
     count_matches, extract_hashtags, extract_mentions, remove_links, remove_punctuation,
-    remove_users,
 )
 
 
@@ -112,19 +111,20 @@ def mention_counts(post_rows: DataFrame, text_col: str = "text") -> DataFrame:
 def clean_audit(post_rows: DataFrame, text_col: str = "text") -> DataFrame:
     """Per author: links, handles, hashtags removed and characters lost by cleaning.
 
-    Matches are counted at the step of the chain where they are removed.
+    Matches are counted at the step of the chain where they are removed.  Each
+    step of the chain is its own column, so every regex pass runs once per row.
     """
-    t = F.col(text_col)
-    no_links = remove_links(t)
-    no_users = remove_users(no_links)
-    punct = remove_punctuation(no_users)
-    per_row = post_rows.select(
+    steps = (post_rows.select("author_id", F.col(text_col).alias("_t"))
+             .withColumn("_no_links", remove_links("_t"))
+             .withColumn("_no_rt", F.regexp_replace("_no_links", C.RETWEET_PATTERN, ""))
+             .withColumn("_no_users", F.regexp_replace("_no_rt", C.HANDLE_PATTERN, ""))
+             .withColumn("_no_punct", remove_punctuation("_no_users")))
+    per_row = steps.select(
         "author_id",
-        count_matches(t, C.LINK_PATTERN).alias("links"),
-        (count_matches(no_links, C.RETWEET_PATTERN)
-         + count_matches(F.regexp_replace(no_links, C.RETWEET_PATTERN, ""), C.HANDLE_PATTERN)).alias("handles"),
-        count_matches(punct, C.HASHTAG_PATTERN).alias("hashtags"),
-        (F.length(t) - F.length(F.regexp_replace(punct, C.HASHTAG_PATTERN, ""))).alias("chars_lost"),
+        count_matches("_t", C.LINK_PATTERN).alias("links"),
+        (count_matches("_no_links", C.RETWEET_PATTERN) + count_matches("_no_rt", C.HANDLE_PATTERN)).alias("handles"),
+        count_matches("_no_punct", C.HASHTAG_PATTERN).alias("hashtags"),
+        (F.length("_t") - F.length(F.regexp_replace("_no_punct", C.HASHTAG_PATTERN, ""))).alias("chars_lost"),
     )
     return per_row.groupBy("author_id").agg(
         F.count(F.lit(1)).alias("posts"),
