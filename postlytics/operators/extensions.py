@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlytics.functions.text import extract_tickers
+from postlytics.operators.reports import polarity  # noqa: F401  (signed score, used with mentions)
 
 
 def ticker_mentions(post_rows: DataFrame, aliases: DataFrame, text_col: str = "text",
@@ -63,9 +64,3 @@ def sentiment_price_corr(enriched_mentions: DataFrame, prices: DataFrame) -> Dat
     return j.groupBy("symbol").agg(F.corr("polarity", "price").alias("corr"),
                                    F.count(F.lit(1)).alias("days"))
 
-
-def polarity(label_col: str = "sentiment_label", score_col: str = "sentiment_score"):
-    """Signed score: +score for Positive, -score for Negative, 0 for Neutral."""
-    lab = F.col(label_col)
-    return (F.when(lab == "Positive", F.col(score_col))
-            .when(lab == "Negative", -F.col(score_col)).otherwise(F.lit(0.0)))

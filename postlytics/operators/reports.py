@@ -16,13 +16,27 @@ from postlytics.functions.text import (
 )
 
 
+def polarity(label_col: str = "sentiment_label", score_col: str = "sentiment_score"):
+    """Signed score: +score for Positive, -score for Negative, 0 for Neutral (null stays null)."""
+    lab = F.col(label_col)
+    return (F.when(lab == C.LABEL_POSITIVE, F.col(score_col))
+            .when(lab == C.LABEL_NEGATIVE, -F.col(score_col))
+            .when(lab == C.LABEL_NEUTRAL, F.lit(0.0)))
+
+
+def _measures():
+    # the mean of the winner's confidence (as the reference reports it) and, beside it,
+    # the mean signed polarity, which does not mix positive and negative confidence
+    return [F.count(F.lit(1)).alias("total_count"),
+            F.avg("sentiment_score").alias("avg_sentiment"),
+            F.avg(polarity()).alias("avg_polarity")]
+
+
 def daily_sentiment(enriched: DataFrame, days: list[int] | None = None) -> DataFrame:
     """Count and mean score per day of month (months and years share a day), days ascending."""
     days = C.REPORT_DAYS if days is None else days
     return (enriched.where(F.col("dayofmonth").isin(days))
-            .groupBy("dayofmonth")
-            .agg(F.count(F.lit(1)).alias("total_count"),
-                 F.avg("sentiment_score").alias("avg_sentiment"))
+            .groupBy("dayofmonth").agg(*_measures())
             .orderBy("dayofmonth"))
 
 
@@ -35,9 +49,7 @@ def daily_rounded(daily: DataFrame) -> DataFrame:
 
 def calendar_sentiment(enriched: DataFrame) -> DataFrame:
     """Same measures per real calendar day (year, month, dayofmonth)."""
-    return (enriched.groupBy("year", "month", "dayofmonth")
-            .agg(F.count(F.lit(1)).alias("total_count"),
-                 F.avg("sentiment_score").alias("avg_sentiment"))
+    return (enriched.groupBy("year", "month", "dayofmonth").agg(*_measures())
             .orderBy("year", "month", "dayofmonth"))
 
 

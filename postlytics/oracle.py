@@ -92,6 +92,9 @@ def with_ctes(*ctes: str, body: str) -> str:
 
 
 BASE = (POSTS, CLEANED, LEXICON, ENRICHED)
+POLARITY = ("round(avg(CASE WHEN sentiment_label = 'Positive' THEN sentiment_score "
+            "WHEN sentiment_label = 'Negative' THEN -sentiment_score "
+            "WHEN sentiment_label = 'Neutral' THEN 0.0 END), 9) AS avg_polarity")
 
 QUERIES: dict[str, str] = {}
 
@@ -101,7 +104,8 @@ def register(name: str, text: str) -> None:
 
 
 register("agg_daily_sentiment", with_ctes(*BASE, body=f"""
-SELECT dayofmonth, count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment
+SELECT dayofmonth, count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment,
+       {POLARITY}
 FROM enriched WHERE dayofmonth IN ({DAYS})
 GROUP BY dayofmonth ORDER BY dayofmonth"""))
 
@@ -179,7 +183,7 @@ nb AS (
   FROM (SELECT *, greatest(a, b, c) AS m FROM logits)
 )"""
 
-DAILY = "count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment"
+DAILY = "count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment, " + POLARITY
 
 register("prj_clean_text", with_ctes(POSTS, CLEANED, body="SELECT tweet_id, cleaned_tweet_text FROM cleaned"))
 register("prj_date_parts", with_ctes(*BASE, body="""

@@ -39,7 +39,7 @@ def enriched_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("agg_daily_sentiment")
 def q_agg_daily_sentiment(spark, sf_dir):
     d = reports.daily_sentiment(enriched_posts(spark, sf_dir))
-    return d.select("dayofmonth", "total_count", r9("avg_sentiment"))
+    return d.select("dayofmonth", "total_count", r9("avg_sentiment"), r9("avg_polarity"))
 
 
 # ------------------------------------------------------------------ cleaning, dates, scorers
@@ -103,13 +103,13 @@ def q_agg_daily_rounded(spark, sf_dir):
 @query("agg_calendar_sentiment")
 def q_agg_calendar_sentiment(spark, sf_dir):
     d = reports.calendar_sentiment(enriched_posts(spark, sf_dir))
-    return d.select("year", "month", "dayofmonth", "total_count", r9("avg_sentiment"))
+    return d.select("year", "month", "dayofmonth", "total_count", r9("avg_sentiment"), r9("avg_polarity"))
 
 
 @query("sort_day")
 def q_sort_day(spark, sf_dir):
     d = reports.daily_sentiment(enriched_posts(spark, sf_dir), days=list(range(1, 32)))
-    return d.select("dayofmonth", "total_count", r9("avg_sentiment")).orderBy("dayofmonth")
+    return d.select("dayofmonth", "total_count", r9("avg_sentiment"), r9("avg_polarity")).orderBy("dayofmonth")
 
 
 @query("agg_calendar_spine")

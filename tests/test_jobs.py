@@ -29,7 +29,8 @@ def test_ingest_pages_twice(spark):
 def test_transform_then_reports(spark):
     root = _land_batches(spark, SF001)
     silver, processed = scratch_path(spark, "silver"), scratch_path(spark, "processed")
-    jobs.transform(spark, root, silver, processed)
+    first = jobs.transform(spark, root, silver, processed)
+    assert first["bad_created_at"] == 0 and first["rows_read"] >= fixtures.posts(spark, SF001).count()
     jobs.transform(spark, root, silver, processed)          # nothing new
     s = spark.read.parquet(silver)
     assert s.count() == s.select("tweet_id").distinct().count() == fixtures.posts(spark, SF001).count()
