@@ -214,7 +214,7 @@ register("top_latest_posts", with_ctes(*BASE, body=f"""
 SELECT tweet_id, {', '.join(C.REPORT_COLUMNS)} FROM enriched
 ORDER BY created_at_date DESC, tweet_id DESC LIMIT {C.LATEST_POSTS_LIMIT}"""))
 register("prj_row_number", with_ctes(*BASE, body=f"""
-SELECT *, row_number() OVER (ORDER BY created_at_date DESC, tweet_id DESC) AS row_no FROM (
+SELECT *, CAST(row_number() OVER (ORDER BY created_at_date DESC, tweet_id DESC) AS INTEGER) AS row_no FROM (
 SELECT tweet_id, {', '.join(C.REPORT_COLUMNS)} FROM enriched
 ORDER BY created_at_date DESC, tweet_id DESC LIMIT {C.LATEST_POSTS_LIMIT})"""))
 register("prj_series", with_ctes(*BASE, body=f"""
@@ -237,8 +237,9 @@ _nrt = f"regexp_replace({_nl}, 'RT\\s@[A-Za-z]+[A-Za-z0-9_-]+', '', 'g')"
 _nu = f"regexp_replace({_nrt}, '@[A-Za-z]+[A-Za-z0-9_-]+', '', 'g')"
 _np = f"regexp_replace({_nu}, '{PUNCT_SQL}', ' ', 'g')"
 register("agg_clean_audit", with_ctes(POSTS, body=f"""
-SELECT author_id, count(*) AS posts, sum(links) AS links, sum(handles) AS handles,
-       sum(hashtags) AS hashtags, sum(chars_lost) AS chars_lost
+SELECT author_id, count(*) AS posts, CAST(sum(links) AS BIGINT) AS links,
+       CAST(sum(handles) AS BIGINT) AS handles, CAST(sum(hashtags) AS BIGINT) AS hashtags,
+       CAST(sum(chars_lost) AS BIGINT) AS chars_lost
 FROM (
   SELECT author_id,
          len(regexp_extract_all(text, 'http\\S+')) AS links,
@@ -249,7 +250,8 @@ FROM (
   FROM posts)
 GROUP BY author_id"""))
 register("agg_row_counts", with_ctes(POSTS, body="""
-SELECT count(*) AS n_rows, sum(CASE WHEN TRY_CAST(created_at AS BIGINT) IS NULL THEN 1 ELSE 0 END) AS n_bad_created_at
+SELECT count(*) AS n_rows,
+       CAST(sum(CASE WHEN TRY_CAST(created_at AS BIGINT) IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_created_at
 FROM posts"""))
 register("flt_hashtag", with_ctes(POSTS, body="""
 SELECT tweet_id, author_id FROM posts
@@ -336,7 +338,8 @@ F_BASE = (POSTS, STATE, LANDED)
 register("src_json_incremental", with_ctes(*F_BASE, body="SELECT tweet_id, author_id, batch FROM landed WHERE batch = 2"))
 register("flt_file_newer", QUERIES["src_json_incremental"])
 register("src_json_direct", with_ctes(*F_BASE, body="""
-SELECT tweet_id, author_id, username, likes, created_at FROM landed WHERE batch = 1"""))
+SELECT tweet_id, CAST(author_id AS INTEGER) AS author_id, username, CAST(likes AS BIGINT) AS likes, created_at
+FROM landed WHERE batch = 1"""))
 register("src_json_latest", with_ctes(*F_BASE, body="""
 SELECT l.tweet_id, l.author_id, l.batch FROM landed l
 JOIN (SELECT author_id, max(batch) AS b FROM landed GROUP BY author_id) m

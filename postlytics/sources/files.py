@@ -35,8 +35,11 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.json") -> DataFram
     """path, mtime, size and the partition columns of every landed file (content not read)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
              .drop("content"))
-    return files.withColumnRenamed("path", "_file_path") \
+    files = files.withColumnRenamed("path", "_file_path") \
         .withColumnRenamed("modificationTime", "_file_mtime").withColumnRenamed("length", "_file_size")
+    if "author_id" in files.columns:
+        files = files.withColumn("author_id", F.col("author_id").cast("bigint"))
+    return files
 
 
 def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA,

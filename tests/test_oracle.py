@@ -31,3 +31,28 @@ def test_every_query_has_oracle_or_is_declared_rows_only():
 def test_query_matches_duckdb(spark, con, name):
     msg, ok = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF01)
     assert ok, msg
+
+
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+                 "array<int>": "INTEGER[]", "array<double>": "DOUBLE[]"}
+
+
+@pytest.fixture(scope="module")
+def con_small():
+    from conftest import SF001
+
+    return duck(SF001)
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_column_types_match_duckdb(spark, con_small, name):
+    """Same column names and types on both sides (the driver compares schemas too)."""
+    from conftest import SF001
+
+    df = E.queries()[name](spark, SF001)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con_small.sql(E.oracle_sql()[name])
+    duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
