@@ -224,6 +224,31 @@ def default_model_loader() -> LexiconModel:
     return LexiconModel()
 
 
+def ship_model_file(spark, path: str) -> str:
+    """Ship a model file to every executor (`SparkContext.addFile`); returns its file name."""
+    import os
+
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shipped_weights_loader(file_name: str):
+    """Loader for `score_model`: reads a shipped JSON word-weights file on the worker.
+
+    The file is fetched once per worker through `SparkFiles`, never closed over
+    from the driver.
+    """
+    def load() -> LexiconModel:
+        import json
+
+        from pyspark import SparkFiles
+
+        with open(SparkFiles.get(file_name)) as fh:
+            return LexiconModel(json.load(fh))
+
+    return load
+
+
 def model_udf(loader: Callable[[], object] = default_model_loader):
     @F.pandas_udf(SENTIMENT_TYPE)
     def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

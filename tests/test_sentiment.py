@@ -110,3 +110,17 @@ def test_naive_bayes_plan_reuses_one_partitioning(spark):
         assert not re.search(r"Exchange hashpartitioning\([^)]*\), ENSURE_REQUIREMENTS", text)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_model_shipped_as_a_file(spark, workdir):
+    import json
+    import os
+
+    path = os.path.join(workdir, "weights_model.json")
+    with open(path, "w") as fh:
+        json.dump({"good": 2.0, "bad": -1.0}, fh)
+    name = sentiment.ship_model_file(spark, path)
+    out = sentiment.score_model(_texts(spark, ["good bad", "bad", "none"]),
+                                loader=sentiment.shipped_weights_loader(name))
+    got = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in out.collect()}
+    assert got == {0: ("Positive", round(2 / 3, 6)), 1: ("Negative", 1.0), 2: ("Neutral", 1.0)}
