@@ -39,3 +39,14 @@ def test_transform_then_reports(spark):
     assert [r.dayofmonth for r in daily] == [9, 10, 11, 12, 13, 14, 15]
     latest = jobs.latest_report(spark, silver).collect()
     assert [r.row_no for r in latest] == list(range(1, 21))
+
+
+def test_cli_transform_and_report(spark, capsys):
+    from postlytics.__main__ import main
+
+    root = _land_batches(spark, SF001)
+    silver, processed = scratch_path(spark, "silver"), scratch_path(spark, "processed")
+    assert main(["transform", "--landing", root, "--silver", silver, "--processed", processed]) == 0
+    assert main(["report", "--silver", silver, "--latest", "5"]) == 0
+    out = capsys.readouterr().out
+    assert "rows_read" in out and "dayofmonth" in out and "row_no" in out
