@@ -13,9 +13,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlytics.operators import reports
-from postlytics.operators.enrich import enrich
-from postlytics.sources import fixtures
+from postlytics import sinks
+from postlytics.functions.timeparts import epoch_ms_to_seconds, ntz_from_epoch_seconds
+from postlytics.operators import extensions, filters, reports, sentiment, state
+from postlytics.operators.enrich import add_clean_text, add_date_parts, enrich
+from postlytics.schema import POST_COLUMNS
+from postlytics.session import scratch_path
+from postlytics.sources import files, fixtures, pages
+from postlytics.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -44,10 +49,6 @@ def q_agg_daily_sentiment(spark, sf_dir):
 
 # ------------------------------------------------------------------ cleaning, dates, scorers
 
-from postlytics import config as C  # noqa: E402
-from postlytics.functions.timeparts import epoch_ms_to_seconds, ntz_from_epoch_seconds  # noqa: E402
-from postlytics.operators import filters, sentiment, state  # noqa: E402
-from postlytics.operators.enrich import add_clean_text, add_date_parts  # noqa: E402
 
 STATE_BEFORE = "2024-01-15"      # first UTC day not loaded yet in the state fixtures
 INCOMING_FROM = "2024-01-10"     # first UTC day of the overlapping second batch
@@ -260,12 +261,6 @@ def q_set_dedupe_posts(spark, sf_dir):
 
 # ------------------------------------------------------------------ landed pages -> flat posts
 
-from postlytics import sinks  # noqa: E402
-from postlytics.operators import extensions  # noqa: E402
-from postlytics.schema import POST_COLUMNS  # noqa: E402
-from postlytics.session import scratch_path  # noqa: E402
-from postlytics.sources import files, pages  # noqa: E402
-from postlytics.streaming import jobs  # noqa: E402
 
 
 def _landed_pages(spark, sf_dir, post_rows=None, with_orphans=True):

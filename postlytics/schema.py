@@ -1,7 +1,7 @@
 """Explicit schemas: the flat post, the landed API response page, state rows."""
 
 from pyspark.sql.types import (
-    ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    ArrayType, IntegerType, LongType, StringType, StructField, StructType,
     TimestampNTZType,
 )
 
