@@ -62,3 +62,5 @@ RAW_STATE_DEFAULT = 0         # last appended id when an author has no log row
 # --- engine limits (ours) ---
 # a side is only broadcast when it has at most this many rows (checked, not assumed)
 BROADCAST_MAX_ROWS = 2_000_000
+# a learned vocabulary is shipped as a broadcast dictionary only up to this many tokens
+NB_DICT_MAX_ROWS = 500_000

@@ -23,7 +23,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from postlytics import config as C
 from postlytics.functions.text import letter_runs, tokens
-from postlytics.operators.broadcast import broadcast_if_bounded
+from postlytics.operators.broadcast import bounded_rows, broadcast_if_bounded
 from postlytics.session import ensure_checkpoint_dir
 
 SENTIMENT_TYPE = StructType([
@@ -151,19 +151,73 @@ def naive_bayes_priors(docs: DataFrame, label_col: str = "label") -> DataFrame:
                       .alias(f"p_{lab.lower()}") for lab in C.LABELS])
 
 
+def _nb_dict_udf(weights_bc, priors: dict[str, float]):
+    """Arrow UDF scoring with a broadcast {token: (w_neg, w_neu, w_pos)} dict."""
+    order = [lab for lab in C.LABELS]
+    base = [priors[lab] for lab in order]
+
+    @F.pandas_udf(SENTIMENT_TYPE)
+    def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import math
+        import re
+
+        weights = weights_bc.value                 # fetched once per worker
+        runs = re.compile("[A-Za-z]+")
+        for texts in batches:
+            labels, scores = [], []
+            for t in texts:
+                if t is None or (isinstance(t, float) and math.isnan(t)):
+                    labels.append(None)
+                    scores.append(None)
+                    continue
+                z = list(base)
+                for tok in runs.findall(t):
+                    w = weights.get(tok.lower())
+                    if w is not None:
+                        z[0] += w[0]
+                        z[1] += w[1]
+                        z[2] += w[2]
+                top = max(z)
+                denom = math.exp(z[0] - top) + math.exp(z[1] - top) + math.exp(z[2] - top)
+                labels.append(order[z.index(top)])
+                scores.append(float(round(1.0 / denom, 6)))
+            yield pd.DataFrame({"label": labels, "score": scores})
+
+    return _score
+
+
 def score_naive_bayes(df: DataFrame, model: DataFrame, priors: DataFrame,
                       text_col: str = "cleaned_tweet_text", key: str = "tweet_id",
-                      max_broadcast_rows: int = C.BROADCAST_MAX_ROWS) -> DataFrame:
+                      max_broadcast_rows: int = C.BROADCAST_MAX_ROWS,
+                      method: str = "join", max_dict_rows: int = C.NB_DICT_MAX_ROWS) -> DataFrame:
     """Class sums = prior + weights of the known tokens (each occurrence counts);
     softmax; label = arg max; score = the winner's probability rounded to 6.
     A post without a known token keeps the priors (left join).
 
-    Plan: the rows are hash-partitioned by `key` once; the token branch and the
-    join-back both read that one exchange (reused), so the text is cleaned once
-    and neither the per-post aggregation nor the join-back shuffles again.  The
-    vocabulary is broadcast only when its row count is within `max_broadcast_rows`;
-    otherwise the token join shuffles and AQE splits skewed tokens.
+    method="join" (native): the rows are hash-partitioned by `key` once; the token
+    branch and the join-back both read that one exchange (reused), so the text is
+    cleaned once and neither the per-post aggregation nor the join-back shuffles
+    again.  The vocabulary is broadcast only when its row count is within
+    `max_broadcast_rows`; otherwise the token join shuffles and AQE splits skewed
+    tokens.
+
+    method="dict": no shuffle of the posts at all.  The vocabulary (checked to be
+    within `max_dict_rows`) goes out as a broadcast variable and an Arrow UDF adds
+    the weights per row.  If the vocabulary is larger, this falls back to "join".
     """
+    if method == "dict":
+        if bounded_rows(model, max_dict_rows):
+            pri = priors.first().asDict()
+            vocab = {r["token"]: (r["w_negative"], r["w_neutral"], r["w_positive"])
+                     for r in model.select("token", "w_negative", "w_neutral", "w_positive").toLocalIterator()}
+            bc = df.sparkSession.sparkContext.broadcast(vocab)
+            s = _nb_dict_udf(bc, {lab: pri[f"p_{lab.lower()}"] for lab in C.LABELS})(F.col(text_col))
+            return (df.withColumn("_nb", s)
+                    .withColumns({"sentiment_label": F.col("_nb.label"), "sentiment_score": F.col("_nb.score")})
+                    .drop("_nb"))
+        method = "join"
+    if method != "join":
+        raise ValueError("method must be 'join' or 'dict'")
     weights = broadcast_if_bounded(model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS]),
                                    max_broadcast_rows)
 

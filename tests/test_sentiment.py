@@ -124,3 +124,18 @@ def test_model_shipped_as_a_file(spark, workdir):
                                 loader=sentiment.shipped_weights_loader(name))
     got = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in out.collect()}
     assert got == {0: ("Positive", round(2 / 3, 6)), 1: ("Negative", 1.0), 2: ("Neutral", 1.0)}
+
+
+def test_naive_bayes_dict_path_equals_join_path(spark):
+    from conftest import SF001
+    from postlytics.operators.enrich import add_clean_text
+    from postlytics.sources import fixtures
+
+    docs = fixtures.labelled_documents(spark, SF001)
+    model, priors = sentiment.fit_naive_bayes(docs), sentiment.naive_bayes_priors(docs)
+    posts = add_clean_text(fixtures.posts(spark, SF001))
+    join = {r.tweet_id: (r.sentiment_label, r.sentiment_score)
+            for r in sentiment.score_naive_bayes(posts, model, priors).collect()}
+    out = sentiment.score_naive_bayes(posts, model, priors, method="dict")
+    assert "Exchange hashpartitioning" not in plan_text(out, "simple")   # posts are not shuffled
+    assert {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in out.collect()} == join
