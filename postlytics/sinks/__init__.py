@@ -27,12 +27,14 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> str:
     return path
 
 
-def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
-               order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> int | None:
-    """Append the rows of `batch` whose key is not in the Parquet table `target` yet.
+def new_rows(batch: DataFrame, target: str, key: str = "tweet_id",
+             order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of `batch` whose key is not in the Parquet table `target` yet.
 
     Duplicates inside the batch keep the copy with the largest `order_col` (or any
-    one copy when None, via max of the row).  Returns nothing; the write is the action.
+    one copy when None, via max of the row).  With `partition_by`, the partition
+    values must be a function of the row (as year/month of `created_at` are), so a
+    key is looked up only in the partitions the batch touches.
     """
     spark = batch.sparkSession
     if order_col is None:
@@ -41,13 +43,28 @@ def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
     else:
         unique = dedupe_latest(batch, key, order_col)
     if _exists(spark, target):
-        loaded = spark.read.parquet(target).select(key)
-        unique = unique.join(loaded, key, "left_anti")
+        stored = spark.read.parquet(target)
+        pcols = [c for c in partition_by if c in unique.columns and c in stored.columns]
+        if pcols:
+            # a key always lands in the same partition, so compare within the batch's
+            # partitions only: the semi-join on partition values lets dynamic partition
+            # pruning skip every other stored partition (months of history)
+            parts = batch.select(*pcols).distinct()        # pruned to the partition columns
+            loaded = stored.select(*pcols, key).join(parts, pcols, "left_semi")
+            unique = unique.join(loaded, [*pcols, key], "left_anti")
+        else:
+            unique = unique.join(stored.select(key), key, "left_anti")
+    return unique
+
+
+def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
+               order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> None:
+    """Append the rows of `batch` whose key is not stored yet (see `new_rows`)."""
+    unique = new_rows(batch, target, key, order_col, partition_by)
     writer = unique.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(target)
-    return None
 
 
 def overwrite_state(state: DataFrame, path: str) -> str:

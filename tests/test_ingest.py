@@ -148,3 +148,20 @@ def test_old_files_are_not_opened(spark, workdir):
     for df in (files.read_landed(spark, root, modified_after=marker),
                files.read_landed(spark, root, processed_files=old)):
         assert [r.tweet_id for r in df.collect()] == [9]
+
+
+def test_partitioned_append_reads_only_touched_partitions(spark, workdir):
+    from postlytics.operators.enrich import enrich
+    from postlytics.sources import fixtures
+
+    from conftest import SF001
+
+    e = enrich(fixtures.posts(spark, SF001))
+    target = os.path.join(workdir, "silver")
+    sinks.append_new(e.where(F.col("month") == 12), target, partition_by=("year", "month"))
+    rest = sinks.new_rows(e.where(F.col("month") == 1), target, partition_by=("year", "month"))
+    rest.write.format("noop").mode("overwrite").save()
+    assert "dynamicpruning" in rest._jdf.queryExecution().executedPlan().toString().lower()
+    sinks.append_new(e, target, partition_by=("year", "month"))
+    stored = spark.read.parquet(target)
+    assert stored.count() == stored.select("tweet_id").distinct().count() == e.count()
