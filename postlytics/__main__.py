@@ -1,11 +1,12 @@
 """Command line for the three jobs.
 
-    spark-submit -m postlytics ingest    --pages P --raw R --state S --quarantine Q
-    spark-submit -m postlytics transform --landing L --silver S --processed P [--author A]
-    spark-submit -m postlytics report    --silver S [--days 15,14,13,12,11,10,9] [--latest 20]
+    spark-submit postlytics/__main__.py ingest    --pages P --raw R --state S --quarantine Q
+    spark-submit postlytics/__main__.py transform --landing L --silver S --processed P [--author A]
+    spark-submit postlytics/__main__.py report    --silver S [--days 15,14,13,12,11,10,9] [--latest 20]
 
-The session comes from `spark-submit` (master, executors, `spark.checkpoint.dir`);
-nothing here sets a master.  `report` shows the daily series and the latest posts.
+(with the package shipped, e.g. `--py-files postlytics.zip`; locally `python -m
+postlytics ...` works too).  The session comes from `spark-submit` (master,
+executors, `spark.checkpoint.dir`); nothing here sets a master.  `report` shows the daily series and the latest posts.
 """
 
 from __future__ import annotations
