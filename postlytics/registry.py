@@ -423,8 +423,8 @@ def q_snk_raw_append(spark, sf_dir):
     target = scratch_path(spark, "raw")
     for b in (1, 2, 1):
         batch = files.read_landed(spark, root).where(F.col("batch") == b).drop(*files.FILE_COLUMNS, "batch")
-        sinks.append_new(batch, target)
-    return spark.read.parquet(target).select("tweet_id", "author_id", "likes")
+        sinks.append_new(batch, target, partition_by=sinks.RAW_PARTITIONS)
+    return sinks.read_table(spark, target).select("tweet_id", "author_id", "likes")
 
 
 @query("snk_enriched_append")
@@ -480,7 +480,7 @@ def q_str_ingest(spark, sf_dir):
     target, ckpt = scratch_path(spark, "stream_raw"), scratch_path(spark, "stream_ckpt")
     jobs.ingest_stream(spark, root, target, ckpt, max_files_per_trigger=1000)
     jobs.ingest_stream(spark, root, target, ckpt)
-    return spark.read.parquet(target).select("tweet_id", "author_id")
+    return sinks.read_table(spark, target).select("tweet_id", "author_id")
 
 
 @query("str_daily_sentiment")

@@ -61,10 +61,23 @@ def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
                order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> None:
     """Append the rows of `batch` whose key is not stored yet (see `new_rows`)."""
     unique = new_rows(batch, target, key, order_col, partition_by)
-    writer = unique.write.mode("append")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(target)
+        # few files per partition value; AQE splits a partition value that is hot
+        unique.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(target)
+    else:
+        unique.write.mode("append").parquet(target)
+
+
+RAW_PARTITIONS = ("author_id",)   # a post's author never changes, so a key stays in one partition
+
+
+def read_table(spark: SparkSession, path: str, id_cols: tuple[str, ...] = ("author_id",)) -> DataFrame:
+    """Read a stored table; id columns discovered from partition folders come back as Long."""
+    df = spark.read.parquet(path)
+    for c in id_cols:
+        if c in df.columns:
+            df = df.withColumn(c, F.col(c).cast("bigint"))
+    return df
 
 
 def overwrite_state(state: DataFrame, path: str) -> str:
