@@ -64,3 +64,5 @@ RAW_STATE_DEFAULT = 0         # last appended id when an author has no log row
 BROADCAST_MAX_ROWS = 2_000_000
 # a learned vocabulary is shipped as a broadcast dictionary only up to this many tokens
 NB_DICT_MAX_ROWS = 500_000
+# partition values of the raw table (author buckets); bounded whatever the number of authors
+RAW_AUTHOR_BUCKETS = 64

@@ -423,7 +423,7 @@ def q_snk_raw_append(spark, sf_dir):
     target = scratch_path(spark, "raw")
     for b in (1, 2, 1):
         batch = files.read_landed(spark, root).where(F.col("batch") == b).drop(*files.FILE_COLUMNS, "batch")
-        sinks.append_new(batch, target, partition_by=sinks.RAW_PARTITIONS)
+        sinks.append_raw(batch, target)
     return sinks.read_table(spark, target).select("tweet_id", "author_id", "likes")
 
 

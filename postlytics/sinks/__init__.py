@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlytics import config as C
 from postlytics.operators.state import dedupe_latest, latest_per_key
 
 
@@ -68,7 +69,19 @@ def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
         unique.write.mode("append").parquet(target)
 
 
-RAW_PARTITIONS = ("author_id",)   # a post's author never changes, so a key stays in one partition
+RAW_PARTITIONS = ("author_bucket",)
+
+
+def author_bucket(col: str = "author_id", buckets: int = C.RAW_AUTHOR_BUCKETS):
+    """A fixed number of partition values for the raw table.  A post's author never
+    changes, so a key always stays in one bucket; a pull of one author touches one
+    bucket, and the folder count does not grow with the number of authors."""
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+
+
+def append_raw(batch: DataFrame, target: str, key: str = "tweet_id") -> None:
+    """Key-idempotent append to the raw table, partitioned by author bucket."""
+    append_new(batch.withColumn("author_bucket", author_bucket()), target, key, partition_by=RAW_PARTITIONS)
 
 
 def read_table(spark: SparkSession, path: str, id_cols: tuple[str, ...] = ("author_id",)) -> DataFrame:
