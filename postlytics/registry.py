@@ -441,11 +441,12 @@ def q_snk_enriched_append(spark, sf_dir):
 
 @query("snk_state_latest")
 def q_snk_state_latest(spark, sf_dir):
+    """Per-author state objects (JSON), overwritten by a later run, read back typed."""
     p = fixtures.posts(spark, sf_dir)
     path = scratch_path(spark, "state")
-    sinks.overwrite_state(state.pull_state(_authors(p), fixtures.loaded_before(p, STATE_BEFORE)), path)
-    sinks.overwrite_state(state.pull_state(_authors(p), p), path)
-    return spark.read.parquet(path)
+    sinks.write_state_objects(state.pull_state(_authors(p), fixtures.loaded_before(p, STATE_BEFORE)), path)
+    sinks.write_state_objects(state.pull_state(_authors(p), p), path)
+    return sinks.read_state_objects(spark, path, "author_id long, last_id long")
 
 
 @query("snk_state_log_raw")

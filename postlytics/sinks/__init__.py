@@ -99,6 +99,17 @@ def overwrite_state(state: DataFrame, path: str) -> str:
     return path
 
 
+def write_state_objects(state: DataFrame, path: str) -> str:
+    """One JSON object per row (`to_json` of the row), the whole state replaced."""
+    state.select(F.to_json(F.struct(*state.columns)).alias("value")).write.mode("overwrite").text(path)
+    return path
+
+
+def read_state_objects(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The state objects back as typed columns (`from_json` with an explicit schema)."""
+    return spark.read.text(path).select(F.from_json("value", schema).alias("s")).select("s.*")
+
+
 def append_log(rows: DataFrame, path: str) -> str:
     rows.write.mode("append").parquet(path)
     return path
