@@ -25,7 +25,7 @@ HASHTAG_PATTERN = "#[A-Za-z]+[A-Za-z0-9_-]+"
 # ! " $ % & ' ( ) * + , - . / : ; < = > ? [ ] ^ _ ` { | } ~ @
 PUNCTUATION_CHARS = "!\"$%&'()*+,-./:;<=>?[]^_`{|}~@"
 PUNCTUATION_PATTERN = r"[!\"$%&'()*+,\-./:;<=>?\[\]^_`{|}~@]+"
-# ticker symbols ($ and 1-5 capitals) looked for in the raw text
+# ticker symbols: "$", a capital, then up to five capitals or digits, looked for in the raw text
 TICKER_PATTERN = r"\$([A-Z][A-Z0-9]{0,5})\b"
 
 # tokens for the word-weight scorers: letters only, lower case, split on one blank
