@@ -49,3 +49,16 @@ def test_ingest_stream_rerun_is_idempotent(spark):
     df = spark.read.parquet(target)
     assert df.count() == first == df.select("tweet_id").distinct().count()
     assert first == fixtures.posts(spark, SF001).count()
+
+
+def test_stream_days_do_not_depend_on_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Belgrade")
+    try:
+        root = _land_batches(spark, SF001, overlapping=False)
+        target, ckpt = scratch_path(spark, "t_daily"), scratch_path(spark, "t_ckpt")
+        jobs.daily_sentiment_stream(spark, root, target, ckpt, mode="complete")
+        got = {r.day: (r.total_count, round(r.avg_sentiment, 9)) for r in spark.read.parquet(target).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == _batch_daily(spark)
