@@ -1,7 +1,7 @@
 """Command line for the three jobs.
 
     spark-submit postlytics/__main__.py ingest    --pages P --raw R --state S --quarantine Q
-    spark-submit postlytics/__main__.py transform --landing L --silver S --processed P [--author A]
+    spark-submit postlytics/__main__.py transform --landing L --silver S --processed P [--author A] [--nb-model M]
     spark-submit postlytics/__main__.py report    --silver S [--days 15,14,13,12,11,10,9] [--latest 20]
 
 (with the package shipped, e.g. `--py-files postlytics.zip`; locally `python -m
@@ -17,6 +17,7 @@ import json
 from pyspark.sql import SparkSession
 
 from postlytics import config as C
+from postlytics.operators import sentiment
 from postlytics.plans import jobs
 
 
@@ -33,6 +34,7 @@ def main(argv: list[str] | None = None) -> int:
     t.add_argument("--silver", required=True)
     t.add_argument("--processed", required=True)
     t.add_argument("--author", type=int, default=None)
+    t.add_argument("--nb-model", default=None, help="stored naive-Bayes model (default: word weights)")
     r = sub.add_parser("report", help="daily counts and scores, latest posts")
     r.add_argument("--silver", required=True)
     r.add_argument("--days", default=",".join(str(d) for d in C.REPORT_DAYS))
@@ -43,7 +45,9 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "ingest":
         jobs.ingest_pages(spark, args.pages, args.raw, args.state, args.quarantine)
     elif args.cmd == "transform":
-        print(json.dumps(jobs.transform(spark, args.landing, args.silver, args.processed, author=args.author)))
+        scorer = sentiment.naive_bayes_scorer(spark, args.nb_model) if args.nb_model else None
+        print(json.dumps(jobs.transform(spark, args.landing, args.silver, args.processed,
+                                        scorer=scorer, author=args.author)))
     else:
         days = [int(d) for d in args.days.split(",") if d]
         jobs.daily_report(spark, args.silver, days).show(len(days), truncate=False)

@@ -144,6 +144,25 @@ def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "l
     return counts.select(*cols)
 
 
+def save_naive_bayes(model: DataFrame, priors: DataFrame, path: str) -> str:
+    """Store a fitted model (token weights and class priors) as two Parquet tables."""
+    model.write.mode("overwrite").parquet(f"{path.rstrip('/')}/weights")
+    priors.write.mode("overwrite").parquet(f"{path.rstrip('/')}/priors")
+    return path
+
+
+def load_naive_bayes(spark, path: str) -> tuple[DataFrame, DataFrame]:
+    """(weights, priors) of a stored model, for scoring later batches without refitting."""
+    return (spark.read.parquet(f"{path.rstrip('/')}/weights"),
+            spark.read.parquet(f"{path.rstrip('/')}/priors"))
+
+
+def naive_bayes_scorer(spark, path: str, **kw) -> Callable[[DataFrame], DataFrame]:
+    """A scorer for `enrich` / the transform job backed by a stored model."""
+    weights, priors = load_naive_bayes(spark, path)
+    return lambda df: score_naive_bayes(df, weights, priors, **kw)
+
+
 def naive_bayes_priors(docs: DataFrame, label_col: str = "label") -> DataFrame:
     """One row: ln(class share) for each class."""
     n = F.count(F.lit(1))

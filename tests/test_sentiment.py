@@ -139,3 +139,21 @@ def test_naive_bayes_dict_path_equals_join_path(spark):
     out = sentiment.score_naive_bayes(posts, model, priors, method="dict")
     assert "Exchange hashpartitioning" not in plan_text(out, "simple")   # posts are not shuffled
     assert {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in out.collect()} == join
+
+
+def test_stored_model_scores_the_same(spark, workdir):
+    import os
+
+    from conftest import SF001
+    from postlytics.operators.enrich import enrich
+    from postlytics.sources import fixtures
+
+    docs = fixtures.labelled_documents(spark, SF001)
+    model, priors = sentiment.fit_naive_bayes(docs), sentiment.naive_bayes_priors(docs)
+    path = sentiment.save_naive_bayes(model, priors, os.path.join(workdir, "nb"))
+    posts = fixtures.posts(spark, SF001)
+    fresh = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in
+             enrich(posts, lambda d: sentiment.score_naive_bayes(d, model, priors)).collect()}
+    stored = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in
+              enrich(posts, sentiment.naive_bayes_scorer(spark, path)).collect()}
+    assert stored == fresh and len(stored) == posts.count()
