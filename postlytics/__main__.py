@@ -6,7 +6,8 @@
 
 (with the package shipped, e.g. `--py-files postlytics.zip`; locally `python -m
 postlytics ...` works too).  The session comes from `spark-submit` (master,
-executors, `spark.checkpoint.dir`); nothing here sets a master.  `report` shows the daily series and the latest posts.
+executors, `spark.checkpoint.dir`); nothing here sets a master.  `report` shows
+the daily series and the latest posts.
 """
 
 from __future__ import annotations
