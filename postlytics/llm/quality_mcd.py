@@ -21,7 +21,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 MIN_WORDS, MAX_REPEAT = 50, 50
 #: Share of a group that a concentration step keeps, number of steps, and the robust distance
 #: (in standard deviations of the tight share, over all statistics) that rejects.
-SHARE, STEPS, CUTOFF = 0.75, 3, 12.0
+SHARE, STEPS, CUTOFF = 0.75, 3, 9.0
 #: Groups with fewer documents than this take the estimates of the whole table.
 MIN_GROUP = 50
 #: The statistics and the least standard deviation each is given (a statistic may be constant).
@@ -32,49 +32,47 @@ CHI2_MEDIAN = 4.351460191096
 STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def with_statistics(docs: DataFrame, text: str = "text", prefix: str = "") -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (bigint,
-    boolean), named with `prefix`.  Null, empty and blank texts have none of anything and fail."""
-    p = {k: prefix + k for k in ("w", "lines", "grams", "sorted", *STATS, "base_failed")}
-    t = F.coalesce(F.col(text), F.lit(""))
+def with_statistics(docs: DataFrame) -> DataFrame:
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (bigint) and
+    base_failed.  Null, empty and blank texts have none of anything and fail."""
+    t = F.coalesce("text", F.lit(""))
     d = docs.withColumns({
-        p["w"]: F.array_remove(F.split(t, SPACE), ""),
-        p["lines"]: F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
-        p["n_symbols"]: F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long"),
+        "w": F.array_remove(F.split(t, SPACE), ""),
+        "lines": F.filter(F.split(t, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")),
+        "n_symbols": F.length(F.regexp_replace(t, r"[^#*$%&|<>]+", "")).cast("long"),
     })
-    w = F.col(p["w"])
+    w = F.col("w")
     d = d.withColumns({
-        p["n_words"]: F.size(w).cast("long"),
-        p["word_chars"]: F.length(F.array_join(w, "")).cast("long"),
-        p["n_dup_lines"]: (F.size(p["lines"]) - F.size(F.array_distinct(p["lines"]))).cast("long"),
-        p["grams"]: F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))),
+        "n_words": F.size(w).cast("long"),
+        "word_chars": F.length(F.array_join(w, "")).cast("long"),
+        "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
+        "grams": F.transform(F.slice(w, 1, F.greatest(F.size(w) - 2, F.lit(0))),
                                 lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2))),
     })
-    g = F.col(p["grams"])
-    d = d.withColumn(p["sorted"], F.when(
+    g = F.col("grams")
+    d = d.withColumn("sorted", F.when(
         F.size(F.array_distinct(g)) < F.size(g),
         F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("g"), i.alias("i"))))))
-    s = F.col(p["sorted"])
+    s = F.col("sorted")
     again = F.filter(s, lambda x, k: F.coalesce(x["g"] == F.get(s, k - 1)["g"], F.lit(False))
                      | F.coalesce(x["g"] == F.get(s, k + 1)["g"], F.lit(False)))
     covered = F.array_distinct(F.flatten(F.transform(again, lambda x: F.array(x["i"], x["i"] + 1, x["i"] + 2))))
-    d = d.withColumn(p["n_repeat_words"], F.coalesce(F.size(F.when(s.isNotNull(), covered)), F.lit(0)).cast("long"))
-    d = d.withColumn(p["n_repeat_words"], F.greatest(p["n_repeat_words"], F.lit(0)).cast("long"))
-    failed = ((F.col(p["n_words"]) < MIN_WORDS)
-              | (100 * F.col(p["n_repeat_words"]) > MAX_REPEAT * F.col(p["n_words"])))
-    return d.withColumn(p["base_failed"], failed).drop(*[p[k] for k in ("w", "lines", "grams", "sorted")])
+    d = d.withColumn("n_repeat_words", F.when(s.isNotNull(), F.size(covered)).otherwise(0).cast("long"))
+    failed = ((F.col("n_words") < MIN_WORDS)
+              | (100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words")))
+    return d.withColumn("base_failed", failed).drop("w", "lines", "grams", "sorted")
 
 
-def vector(prefix: str = "") -> dict[str, Column]:
+def vector() -> dict[str, Column]:
     """The transformed statistics of a document: log length, mean word length, root of symbols a
     word, root of duplicate lines for each 20 words, share of repeated words."""
-    n = F.greatest(F.col(prefix + "n_words"), F.lit(1)).cast("double")
+    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
     return {
-        "v_words": F.log1p(F.col(prefix + "n_words").cast("double")),
-        "v_length": F.col(prefix + "word_chars") / n,
-        "v_symbols": F.sqrt(F.col(prefix + "n_symbols") / n),
-        "v_lines": F.sqrt(20 * F.col(prefix + "n_dup_lines") / n),
-        "v_repeat": F.col(prefix + "n_repeat_words") / n,
+        "v_words": F.log1p(F.col("n_words").cast("double")),
+        "v_length": F.col("word_chars") / n,
+        "v_symbols": F.sqrt(F.col("n_symbols") / n),
+        "v_lines": F.sqrt(20 * F.col("n_dup_lines") / n),
+        "v_repeat": F.col("n_repeat_words") / n,
     }
 
 
@@ -109,11 +107,11 @@ def _with_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", total).drop(*[f"z_{a}" for a in FLOORS])
 
 
-def _group_key(prefix: str = "") -> Column:
+def _group_key() -> Column:
     """Language and source as one string; null is a value of its own."""
     def part(c):
         return F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("="), F.col(c).cast("string")))
-    return F.to_json(F.array(part(prefix + "lang"), part(prefix + "source")))
+    return F.to_json(F.array(part("lang"), part("source")))
 
 
 ALL = "*"
@@ -151,17 +149,17 @@ def fit(stats: DataFrame) -> DataFrame:
     return written(params.join(scale, "grp"), "mcd-estimates")
 
 
-def judge(rows: DataFrame, params: DataFrame, prefix: str = "") -> DataFrame:
+def judge(rows: DataFrame, params: DataFrame) -> DataFrame:
     """rows (with lang, source, the statistics) and `kept`, `mcd_distance` (null where the base
     rule failed or no group has estimates; then kept is false, or true)."""
     cols = rows.columns
-    use = (rows.withColumns(vector(prefix)).withColumn("grp", _group_key())
+    use = (rows.withColumns(vector()).withColumn("grp", _group_key())
            .join(params.where((F.col("n_docs") >= MIN_GROUP) & (F.col("grp") != ALL)), "grp", "left"))
     whole = params.where(F.col("grp") == ALL).select([F.col(c).alias(f"all_{c}") for c in params.columns])
     use = use.join(F.broadcast(whole.limit(1)), F.lit(True), "left")  # one row
     names = [c for c in params.columns if c not in ("grp", "n_docs")]
     use = use.withColumns({c: F.coalesce(F.col(c), F.col(f"all_{c}")) for c in names})
-    failed = F.col(prefix + "base_failed")
+    failed = F.col("base_failed")
     use = _with_distance(use).withColumn("mcd_distance", F.when(~failed, F.sqrt(F.col("d2") / F.col("scale"))))
     return use.select(
         *[F.col(f"`{c}`") for c in cols], "mcd_distance",
@@ -183,5 +181,6 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that quality() keeps.  The texts are read twice (estimates,
     verdicts) and never shuffled unless the estimates are too large to broadcast."""
     base = written(with_statistics(pick(docs, "text", "lang", "source")).drop("text"), "quality-statistics")
-    rows = with_statistics(docs, prefix="__")
-    return judge(rows, fit(base), "__").where("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    own = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)]
+    good = judge(with_statistics(docs.select(*own, "text", "lang", "source")), fit(base)).where("kept")
+    return good.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -1,0 +1,59 @@
+"""Main text of small pages, block by block."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from postlytics.llm.html_text import extract, main_text
+from llm_fixtures import SF001, make_docs  # noqa: F401
+
+P = ["First paragraph of the story, with commas, and enough words to count as prose.",
+     "Second paragraph of the story, which goes on, and on, for some more words.", "Short."]
+ARTICLE = "".join(f"<p>{p}</p>" for p in P)
+WANT = "\n\n".join(P)
+
+PAGES = {
+    "article": (f"<html><body><nav><a href=x>Home</a></nav><article>{ARTICLE}</article><footer>f</footer></body></html>", WANT),
+    "divs": (f"<body><div class='menu'><a>a</a></div><div id=content>{ARTICLE}</div><div class=sidebar><p>{P[0]}</p></div></body>", WANT),
+    "comments": (f"<article><h1>Title</h1>{ARTICLE}<section id='comments'><p>{P[0]}</p></section></article>", "Title\n\n" + WANT),
+    "entities": ("<article><p>Fish &amp; chips &lt;b&gt; caf&eacute; &#8212; &#x41;&nbsp;B &am</p></article>", "Fish & chips <b> café — A B &am"),
+    "space": ("<article><p>  two \n\t words<br>and <b>bo</b>ld  </p> tail </article>", "two words and bold\n\ntail"),
+    "unclosed": ("<article><p><b>One.<br><p>Two.</b><p>Three.", "One.\n\nTwo.\n\nThree."),
+    "script": ("<article><script>var a='<p>no</p>';</script><style>p{}</style><p>Yes.</p><!-- <p>no</p> --></article>", "Yes."),
+    "form": (f"<main>{ARTICLE}<form><p>{P[0]}</p><button>Go</button></form><div class='cookie-notice'>Cookies!</div></main>", WANT),
+    "ads": (f"<article><div class=ad>Buy</div>{ARTICLE}<div class='shadow header-x'>Kept box.</div></article>", WANT + "\n\nKept box."),
+    "header": (f"<header><p>Site</p></header><article><header><h1>T</h1></header>{ARTICLE}</article>", "T\n\n" + WANT),
+    "list": ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one\n\ntwo\n\na\n\nb"),
+    "hidden": (f"<article><p style='display: none'>no</p><p hidden>no</p>{ARTICLE}</article>", WANT),
+    "plain": ("just text", "just text"), "empty": ("", ""), "tags": ("<div></div>", ""), "null": (None, ""),
+    "siblings": (f"<body><div><div><p>{P[0]}</p><p>{P[1]}</p></div><p>Prose after the box, not in it.</p>"
+                 f"<div><a href=1>link one</a> <a href=2>link two</a></div></div></body>", f"{P[0]}\n\n{P[1]}\n\nProse after the box, not in it."),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_page(name):
+    html, want = PAGES[name]
+    assert main_text(html) == want
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 20000 + "<p>" + "x, " * 100000 + "</p>"
+    assert main_text(deep) == " ".join(["x,"] * 100000)
+
+
+def test_extract_rows(spark):
+    rows = [(i, f"u{i}", h) for i, (h, _) in enumerate(PAGES.values())] + [(0, "u0", PAGES["article"][0]), (None, None, PAGES["article"][0])]
+    df = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("x"))
+    got = sorted(((r.page_id, r.url, r.text, r.n_chars) for r in extract(df).collect()), key=repr)
+    want = [w for _, w in PAGES.values()] + [WANT, WANT]
+    assert got == sorted([(p, u, w, len(w)) for (p, u, _), w in zip(rows, want)], key=repr)
+    assert extract(df.limit(0)).count() == 0
+
+
+def test_given_pages_hold_no_boilerplate(spark):
+    src = spark.read.parquet(f"{SF001}/pages.parquet")
+    for r in extract(src).join(src.select("page_id", "html"), "page_id").collect():
+        ad = r.html.split('<div class="ad">')[1].split("<")[0]
+        title = " ".join(r.html.split("<h1>")[1].split("<")[0].split()) if "<h1>" in r.html else ""
+        assert "track(" not in r.text and "©" not in r.text and "\n\n" + ad not in r.text and "<p" not in r.text
+        assert "&" in title or r.text.startswith(title)

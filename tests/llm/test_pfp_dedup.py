@@ -1,0 +1,91 @@
+"""Removed bytes against brute force over every window."""
+
+import hashlib
+import random
+from collections import Counter
+
+import pytest
+
+from postlytics.llm import pfp_dedup
+from llm_fixtures import SF001, make_docs  # noqa: F401
+
+
+def brute(texts, length):
+    seen = Counter()
+    bodies = [(t or "").encode() for t in texts]
+    for b in bodies:
+        seen.update(b[i:i + length] for i in range(len(b) - length + 1))
+    out = []
+    for b in bodies:
+        gone = bytearray(len(b))
+        for i in range(len(b) - length + 1):
+            if seen[b[i:i + length]] > 1:
+                gone[i:i + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
+
+
+def check(make_docs, rows, length, gram, **kw):
+    got = sorted(map(tuple, pfp_dedup.removed_bytes(make_docs(rows, **kw), length, gram).collect()), key=repr)
+    want = sorted([(i, *x) for (i, _), x in zip(rows, brute([t for _, t in rows], length))], key=repr)
+    assert got == want
+
+
+def passages(seed, n=60):
+    rnd = random.Random(seed)
+    prose = lambda k: " ".join(f"{rnd.choice('aébcdß')}{rnd.randrange(900)}" for _ in range(k))
+    shared = [prose(rnd.randrange(3, 25)) for _ in range(6)]
+    out = []
+    for _ in range(n):
+        parts = [prose(rnd.randrange(0, 20)) for _ in range(3)]
+        for _ in range(rnd.randrange(3)):
+            s = rnd.choice(shared)
+            cut = rnd.randrange(len(s))
+            parts.insert(rnd.randrange(len(parts)), s[:cut] if rnd.random() < .5 else s[cut:])
+        out.append(" ".join(parts))
+    return out
+
+
+@pytest.mark.parametrize("length,gram,seed", [(40, 10, 1), (40, 10, 2), (30, 12, 3), (64, 16, 4)])
+def test_random_passages(make_docs, length, gram, seed):
+    check(make_docs, list(enumerate(passages(seed))), length, gram, extra=True, partitions=3)
+
+
+def test_odd_rows(make_docs):
+    long = passages(7, 30)
+    rows = [*enumerate([None, "", "a" * 100, "ab" * 60, "a" * 39, "a" * 40, " ".join(long), long[3], long[3], "é" * 50])]
+    check(make_docs, [*rows, (3, "ab" * 60), (None, long[4]), (None, None)], 40, 10)
+
+
+def test_chunks_of_long_texts(make_docs, monkeypatch):
+    body = ("x" * 30 + " ".join(passages(5, 20))).encode()
+    whole = [(f, last) for _, _, f, last in pfp_dedup.phrases(body, 40, 10)]
+    parts = [(f, last) for _, _, f, last in pfp_dedup.phrases(body, 40, 10, chunk=97)]
+    starts = lambda runs: [i for f, last in runs for i in range(f, last + 1)]
+    assert starts(whole) == starts(parts) == list(range(len(body) - 39))
+
+
+def test_production_length_on_the_small_table(spark, make_docs):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = sorted(map(tuple, pfp_dedup.removed_bytes(docs).collect()))
+    assert got == sorted((i, *x) for (i, _), x in zip(rows, brute([t for _, t in rows], 400)))
+
+
+def test_remove_repeats_keeps_rows_columns_and_characters(make_docs):
+    t = "é" + passages(8, 1)[0][:60]
+    rows = [(1, "Anfang ü " + t + " end one"), (2, "b" + t + "ß two"), (3, None), (4, "short")]
+    docs = make_docs(rows, extra=True)
+    out = pfp_dedup.remove_repeats(docs, 40, 10)
+    assert out.columns == docs.columns
+    got = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
+    assert got[3] == (None, 0) and got[4] == ("short", 5) and set(got) == {1, 2, 3, 4}
+    assert t not in got[1][0] and got[1][0].startswith("Anfang ü") and got[2][0].startswith("b")
+    assert all(n == len(x or "") for x, n in got.values())
+
+
+def test_empty_table(make_docs):
+    assert pfp_dedup.removed_bytes(make_docs([])).count() == 0
+    assert pfp_dedup.remove_repeats(make_docs([])).count() == 0
