@@ -1,5 +1,42 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express.
+
+The others are compared with brute force in tests/llm: language models, tokenizers, XXH64
+fingerprints, HTML trees, iterated estimates and boosted trees have no SQL form, and a CRC-32 or
+all 400-byte windows of every text (sharding, repeated strings) take DuckDB minutes.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict[str, str] = {}
+from postlytics.llm.decontaminate import WINDOW
+
+QUERIES: dict[str, str] = {
+    "op10_decontamination": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+),
+i AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM benchmark
+),
+win AS (
+  SELECT DISTINCT item, least(len(w), {WINDOW}) AS n, array_to_string(w[p:p + least(len(w), {WINDOW}) - 1], ' ') AS words
+  FROM i, unnest(range(1, greatest(len(w) - {WINDOW} + 1, 1) + 1)) t(p) WHERE len(w) > 0
+),
+lens AS (SELECT DISTINCT n FROM win),
+docwin AS (
+  SELECT k, p, n, array_to_string(w[p:p + n - 1], ' ') AS words
+  FROM d, lens, unnest(range(1, len(w) - n + 2)) t(p) WHERE len(w) >= n
+),
+hits AS (SELECT k, p, n, item FROM docwin JOIN win USING (n, words)),
+found AS (SELECT k, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hits GROUP BY k),
+covered AS (SELECT k, count(DISTINCT q) AS n_hit FROM (SELECT DISTINCT k, p, n FROM hits), unnest(range(p, p + n)) t(q) GROUP BY k)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN found USING (k) LEFT JOIN covered USING (k)
+""",
+}
