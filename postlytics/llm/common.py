@@ -29,14 +29,23 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return safe.select(*[F.col(f"c{at[n]}").alias(n) for n in names])
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written as Parquet in the shared folder and read again: lineage ends there.
 
-    A lost executor costs at most the tasks that run, never what is already written.
+    A lost executor costs at most the tasks that run, never what is already written.  The
+    shuffle files behind the rows are removed as the write ends, so disk holds one step's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

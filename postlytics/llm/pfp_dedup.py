@@ -10,10 +10,12 @@ neighbouring phrases overlap, and the phrases of a text in order are its parse.
 
 Corpus order is needed only as far as it puts equal `length`-byte prefixes of suffixes side by
 side.  For a phrase that occurs twice all its suffixes do.  A phrase that occurs once can share
-only part of them, and only with phrases of the same trigger gram: for these (few) dictionary
-entries every suffix is listed, cut at `length` bytes, and equal ones are brought together.
-Digests of 128 bits stand for the strings, so all steps are sums and joins by key, without
-one global sort or a group that one task must hold.
+only part of them, and only with phrases of the same trigger gram.  Such dictionary entries are
+cut into blocks of suffixes, aligned at the trigger: all suffixes of a block hold its core, and
+its union holds them all.  A core that occurs once settles the block (nothing repeats), a union
+that occurs twice too (everything does); only for the rest every suffix is listed, cut at
+`length` bytes, and equal ones are brought together.  Digests of 128 bits stand for the strings,
+so all steps are sums and joins by key, without a global sort or a group one task must hold.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from postlytics.llm.common import pick, worker_cache, written
 
 #: Bytes of a repeated string, of a trigger gram; window starts handled at once in a long text.
 LENGTH, GRAM, CHUNK = 400, 100, 1 << 18
+#: Suffixes of a block.
+BLOCK = 16
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -73,18 +77,18 @@ def phrases(body: bytes, length: int = LENGTH, gram: int = GRAM,
 
 
 def _parse(length: int, gram: int):
-    names = ["gram", "phrase", "key", "first", "last"]
+    names = ["gram", "phrase", "key", "trigger", "first", "last"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(rows):
-            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
+            kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
         rows: list[tuple] = []
         for b in batches:
             for key, body in zip(b.column("key").to_pylist(), b.column("body").to_pylist()):
-                for g, _, first, last in phrases(body, length, gram):
-                    rows.append((g, xxhash.xxh3_128_digest(body[first:last + length]), key, first, last))
+                for g, t, first, last in phrases(body, length, gram):
+                    rows.append((g, xxhash.xxh3_128_digest(body[first:last + length]), key, t, first, last))
                     if len(rows) >= 50_000:
                         yield out(rows)
                         rows = []
@@ -102,33 +106,62 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["key", "packed"])
 
 
-def _suffixes(length: int):
-    """The suffixes, cut at `length` bytes, of the dictionary entries of each text."""
+def _listed(rows_of, schema: pa.Schema, length: int):
+    """Rows (of `schema`) that rows_of makes from a text and each of its entries."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdDecompressor()
+        rows: list[tuple] = []
         for b in batches:
-            out: list[list] = [[], [], [], []]
             for key, packed, entries in zip(*(b.column(c).to_pylist() for c in ("key", "packed", "entries"))):
                 body = z.decompress(packed)
                 for e in entries:
-                    starts = range(e["first"], e["last"] + 1)
-                    out[0] += [xxhash.xxh3_128_digest(body[i:i + length]) for i in starts]
-                    out[1] += [key if e["n"] == 1 else None] * len(starts)
-                    out[2] += starts
-                    out[3] += [e["n"]] * len(starts)
-                    if len(out[0]) >= 50_000:
-                        yield batch(out)
-                        out = [[], [], [], []]
-            yield batch(out)
-
-    def batch(out):
-        kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)],
-                                          names=["suffix", "key", "start", "n"])
+                    rows += rows_of(body, key, e, length)
+                    if len(rows) >= 50_000:
+                        yield batch(rows)
+                        rows = []
+        if rows:
+            yield batch(rows)
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
 
 
+def _blocks(body: bytes, key: bytes, e: dict, length: int) -> list[tuple]:
+    """(core, union, key, n, first, last) of the blocks of a phrase; n is how often the phrase occurs."""
+    t, first, last, out = e["trigger"], e["first"], e["last"], []
+    for q in range((t - last) // BLOCK, (t - first) // BLOCK + 1):
+        hi = t - q * BLOCK  # the latest start of the block, were it whole
+        lo = hi - BLOCK + 1
+        a, z = max(first, lo), min(last, hi)
+        out.append((xxhash.xxh3_128_digest(body[hi:lo + length]), xxhash.xxh3_128_digest(body[a:z + length]), key, e["n"], a, z))
+    return out
+
+
+def _suffixes(body: bytes, key: bytes, e: dict, length: int) -> list[tuple]:
+    """(suffix, key or null, start, n) of the suffixes of a block; a key only where n is 1, for
+    more often they are known to repeat and only matter as partners."""
+    own = key if e["n"] == 1 else None
+    return [(xxhash.xxh3_128_digest(body[i:i + length]), own, i, e["n"]) for i in range(e["first"], e["last"] + 1)]
+
+
+BLOCK_ROWS = pa.schema([("core", pa.binary()), ("union", pa.binary()), ("key", pa.binary()), ("n", pa.int64()),
+                        ("first", pa.int64()), ("last", pa.int64())])
+SUFFIX_ROWS = pa.schema([("suffix", pa.binary()), ("key", pa.binary()), ("start", pa.int64()), ("n", pa.int64())])
+
+
+def _often(df: DataFrame, key: str, n: str = "1") -> DataFrame:
+    """The keys whose sum of n is two or more."""
+    return df.groupBy(key).agg(F.sum(F.expr(n)).alias("c")).where("c > 1").select(key)
+
+
+def _by_text(texts: DataFrame, entries: DataFrame) -> DataFrame:
+    """Distinct texts, compressed for the shuffle, that have entries, with the list of them."""
+    packed = texts.mapInArrow(_packed, "key binary, packed binary").dropDuplicates(["key"])
+    return packed.join(entries.groupBy("key").agg(F.collect_list("e").alias("entries")), "key")
+
+
 def text_key(text: str = "text"):
     return F.unhex(F.substring(F.sha2(F.col(text), 256), 1, 32))
 
@@ -144,26 +177,33 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         raise ValueError("gram must be 1 to length")
     texts = (pick(docs, "text").where(F.octet_length("text") >= length)
              .select(text_key().alias("key"), F.encode("text", "UTF-8").alias("body")))
-    parse = written(texts.mapInArrow(_parse(length, gram), "gram bigint, phrase binary, key binary, first bigint, last bigint"),
-                    "pfp-parse")
-    often = parse.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    shared = written(parse.join(often, "gram", "left_semi"), "pfp-shared")
+    parse = written(texts.mapInArrow(
+        _parse(length, gram), "gram bigint, phrase binary, key binary, trigger bigint, first bigint, last bigint"), "pfp-parse")
+    shared = written(parse.join(_often(parse, "gram"), "gram", "left_semi"), "pfp-shared")
     dictionary = written(shared.groupBy("gram", "phrase").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "first", "last")).alias("at")), "pfp-dictionary")
-    whole = (shared.join(dictionary.where("n > 1").select("gram", "phrase"), ["gram", "phrase"], "left_semi")
-             .select("key", "first", (F.col("last") + length).alias("end")).distinct())
-    split = dictionary.groupBy("gram").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("gram")
-    entries = (dictionary.join(split, "gram", "left_semi")
-               .select("at.key", F.struct("at.first", "at.last", "n").alias("e"))
-               .groupBy("key").agg(F.collect_list("e").alias("entries")))
-    packed = texts.mapInArrow(_packed, "key binary, packed binary").dropDuplicates(["key"])
-    suffixes = written(packed.join(entries, "key").mapInArrow(
-        _suffixes(length), "suffix binary, key binary, start bigint, n bigint"), "pfp-suffixes")
-    twice = suffixes.groupBy("suffix").agg(F.sum("n").alias("c")).where("c > 1").select("suffix")
-    part = (suffixes.where("key is not null").join(twice, "suffix", "left_semi")
-            .select("key", F.col("start").alias("first"), (F.col("start") + length).alias("end")))
-    return (whole.union(part).groupBy("key")
-            .agg(F.flatten(F.collect_list(F.array("first", "end"))).alias("spans")))
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "trigger", "first", "last")).alias("at")), "pfp-dictionary")
+    spans = [shared.join(dictionary.where("n > 1").select("gram", "phrase"), ["gram", "phrase"], "left_semi")
+             .select("key", "first", (F.col("last") + length).alias("end")).distinct()]
+
+    entries = (dictionary.join(_often(dictionary, "gram"), "gram", "left_semi")
+               .select("at.key", F.struct("at.trigger", "at.first", "at.last", "n").alias("e")))
+    blocks = written(_by_text(texts, entries).mapInArrow(
+        _listed(_blocks, BLOCK_ROWS, length),
+        "core binary, union binary, key binary, n bigint, first bigint, last bigint"), "pfp-blocks")
+    unions = written(blocks.groupBy("core", "union").agg(
+        F.sum("n").alias("n"), F.min(F.struct("key", "first", "last")).alias("at")), "pfp-unions")
+    spans.append(blocks.where("n = 1").join(unions.where("n > 1").select("core", "union"), ["core", "union"], "left_semi")
+                 .select("key", "first", (F.col("last") + length).alias("end")))
+
+    open_cores = unions.groupBy("core").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low")).where("c > 1 and low = 1")
+    entries = (unions.join(open_cores.select("core"), "core", "left_semi")
+               .select("at.key", F.struct("at.first", "at.last", "n").alias("e")))
+    suffixes = written(_by_text(texts, entries).mapInArrow(
+        _listed(_suffixes, SUFFIX_ROWS, length), "suffix binary, key binary, start bigint, n bigint"), "pfp-suffixes")
+    spans.append(suffixes.where("key is not null").join(_often(suffixes, "suffix", "n"), "suffix", "left_semi")
+                 .select("key", F.col("start").alias("first"), (F.col("start") + length).alias("end")))
+    return written(spans[0].union(spans[1]).union(spans[2]).groupBy("key")
+                   .agg(F.flatten(F.collect_list(F.array("first", "end"))).alias("spans")), "pfp-spans")
 
 
 def merged(flat: list[int] | None) -> list[tuple[int, int]]:
