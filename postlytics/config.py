@@ -16,6 +16,7 @@ PY_NONSPACE = r"[^\s\x{1c}-\x{1f}\x{85}\p{Z}]"
 
 # links: case-sensitive "http" followed by at least one non-blank character
 LINK_PATTERN = "http" + PY_NONSPACE + "+"
+# (the classes end in 0-9_- , the same set as 0-9-_ , in the order every regex engine accepts)
 # retweet marker with a handle, then any handle (first char a letter, two chars at least)
 RETWEET_PATTERN = "RT" + PY_SPACE + "@[A-Za-z]+[A-Za-z0-9_-]+"
 HANDLE_PATTERN = "@[A-Za-z]+[A-Za-z0-9_-]+"
@@ -25,8 +26,9 @@ HASHTAG_PATTERN = "#[A-Za-z]+[A-Za-z0-9_-]+"
 # ! " $ % & ' ( ) * + , - . / : ; < = > ? [ ] ^ _ ` { | } ~ @
 PUNCTUATION_CHARS = "!\"$%&'()*+,-./:;<=>?[]^_`{|}~@"
 PUNCTUATION_PATTERN = r"[!\"$%&'()*+,\-./:;<=>?\[\]^_`{|}~@]+"
-# ticker symbols: "$", a capital, then up to five capitals or digits, looked for in the raw text
-TICKER_PATTERN = r"\$([A-Z][A-Z0-9]{0,5})\b"
+# ticker symbols, looked for in the raw text: "$", a capital, then capitals and digits, and further
+# parts after a dot (BRK.B); of any length, the alias table decides what is an asset
+TICKER_PATTERN = r"\$([A-Z][A-Z0-9]*(?:\.[A-Z0-9]+)*)\b"
 
 # tokens for the word-weight scorers: letters only, lower case, split on one blank
 TOKEN_NON_LETTERS = "[^A-Za-z]+"
@@ -60,9 +62,5 @@ PULL_STATE_DEFAULT = 1        # last pulled id when an author has no state
 RAW_STATE_DEFAULT = 0         # last appended id when an author has no log row
 
 # --- engine limits (ours) ---
-# a side is only broadcast when it has at most this many rows (checked, not assumed)
-BROADCAST_MAX_ROWS = 2_000_000
-# a learned vocabulary is shipped as a broadcast dictionary only up to this many tokens
-NB_DICT_MAX_ROWS = 500_000
 # partition values of the raw table (author buckets); bounded whatever the number of authors
 RAW_AUTHOR_BUCKETS = 64

@@ -23,7 +23,6 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from postlytics import config as C
 from postlytics.functions.text import letter_runs, tokens
-from postlytics.operators.broadcast import bounded_rows, broadcast_if_bounded
 from postlytics.session import ensure_checkpoint_dir
 
 SENTIMENT_TYPE = StructType([
@@ -38,8 +37,9 @@ def _label_of_sum(s: Column) -> Column:
             .otherwise(F.lit(C.LABEL_NEUTRAL)))
 
 
-def _lexicon_score(s: Column, hits: Column) -> Column:
-    return F.round((F.lit(1.0) + F.abs(s)) / (F.lit(1.0) + hits), 6)
+def _lexicon_score(s: Column, weight: Column) -> Column:
+    """`weight` is the sum of the hits' absolute weights, so the score stays within [0, 1]."""
+    return F.round((F.lit(1.0) + F.abs(s)) / (F.lit(1.0) + weight), 6)
 
 
 def _hits_pattern(words: list[str]) -> str:
@@ -48,8 +48,8 @@ def _hits_pattern(words: list[str]) -> str:
 
 def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None = None,
                   text_col: str = "cleaned_tweet_text", key: str = "tweet_id") -> DataFrame:
-    """Sum of word weights s and hit count h: label by the sign of s,
-    score = round((1 + |s|) / (1 + h), 6).  Null text gives null label and score.
+    """Sum of word weights s and of their absolute values w: label by the sign of s,
+    score = round((1 + |s|) / (1 + w), 6).  Null text gives null label and score.
 
     Tokens are the maximal runs of ASCII letters, lower-cased.  A dict lexicon is
     scored per row without explode or shuffle: one regex pass extracts the runs
@@ -64,7 +64,7 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
         # only lower-case ASCII words can ever equal a token
         usable = {w: float(v) for w, v in lexicon.items() if w.isascii() and w.isalpha() and w.islower()}
         if not usable:
-            out = df.withColumns({"_s": F.lit(0.0), "_h": F.lit(0)})
+            out = df.withColumns({"_s": F.lit(0.0), "_h": F.lit(0.0)})
         else:
             # staged columns: the regex runs once, its hits feed both the sum and the count
             weights = F.create_map(*[x for k, v in usable.items() for x in (F.lit(k), F.lit(v))])
@@ -72,7 +72,8 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
             out = df.withColumn("_hits", hits).withColumns({
                 "_s": F.aggregate("_hits", F.lit(0.0),
                                   lambda acc, t: acc + F.try_element_at(weights, F.lower(t))),
-                "_h": F.size("_hits"),
+                "_h": F.aggregate("_hits", F.lit(0.0),
+                                  lambda acc, t: acc + F.abs(F.try_element_at(weights, F.lower(t)))),
             })
         return out.withColumns({
             "sentiment_label": F.when(text.isNotNull(), _label_of_sum(F.col("_s"))),
@@ -80,16 +81,9 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
         }).drop("_hits", "_s", "_h")
     # weight table (token, weight) of unknown size: explode -> join -> aggregate -> join back,
     # all on one hash partitioning by key (see score_naive_bayes)
-    table = broadcast_if_bounded(lexicon.select("token", F.col("weight").cast("double")))
-
-    def sums_of(base: DataFrame) -> DataFrame:
-        toks = (base.select(key, F.explode(letter_runs(text)).alias("t"))
-                .select(key, F.lower("t").alias("token")))
-        return (toks.join(table, "token")
-                .groupBy(key).agg(F.sum("weight").alias("_s"), F.count(F.lit(1)).alias("_h")))
-
-    out = _keyed_sums(df, key, sums_of)
-    s, h = F.coalesce(F.col("_s"), F.lit(0.0)), F.coalesce(F.col("_h"), F.lit(0))
+    table = lexicon.select("token", F.col("weight").cast("double"))   # AQE broadcasts it if it measures small
+    out = _text_sums(df, key, text_col, table, {"_s": F.sum("weight"), "_h": F.sum(F.abs("weight"))})
+    s, h = F.coalesce(F.col("_s"), F.lit(0.0)), F.coalesce(F.col("_h"), F.lit(0.0))
     return out.withColumns({
         "sentiment_label": F.when(text.isNotNull(), _label_of_sum(s)),
         "sentiment_score": F.when(text.isNotNull(), _lexicon_score(s, h)),
@@ -99,24 +93,21 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
 # ---------------------------------------------------------------- naive Bayes
 
 
-def _keyed_sums(df: DataFrame, key: str, sums_of) -> DataFrame:
-    """Attach per-key sums computed from the rows themselves, shuffling the rows once.
+def _text_sums(df: DataFrame, key: str, text_col: str, weights: DataFrame, sums: dict[str, Column]) -> DataFrame:
+    """Attach sums over the known tokens of each row's text, shuffling the rows once.
 
-    Rows with a key are hash-partitioned by it once; `sums_of(base)` (explode ->
-    broadcast join -> aggregate) and the join-back both read that exchange, which
-    Spark reuses, so the rows are computed once and nothing else is shuffled.  The
-    key filter sits *above* the shared exchange on both sides (it is applied first),
-    so the optimizer cannot push different filters under the two branches.  Rows
-    whose key is null get null sums and are kept (a union, their filter goes down to
-    the scan).
+    Sums are taken once per distinct (key, text), so copies of a post (overlapping pulls) each
+    get the sums of one copy, and rows without a key are scored like any other.  Rows are
+    hash-partitioned by (key, text digest) once: the join-back needs no further shuffle of them.
+    The token branch (distinct, explode, token join, aggregate) reads key and text alone.
     """
-    keyed = df.where(F.col(key).isNotNull()).repartition(key)
-    sums = sums_of(keyed)
-    out = keyed.join(sums, key, "left")
-    extra = [c for c in sums.columns if c != key]
-    nulls = df.where(F.col(key).isNull()).select(
-        "*", *[F.lit(None).cast(sums.schema[c].dataType).alias(c) for c in extra])
-    return out.unionByName(nulls)
+    rows = df.withColumns({"_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
+                           "_doc": F.coalesce(F.sha2(F.col(text_col), 256), F.lit(""))}).repartition("_key", "_doc")
+    once = rows.select("_key", "_doc", text_col).dropDuplicates(["_key", "_doc"])
+    toks = (once.select("_key", "_doc", F.explode(letter_runs(F.col(text_col))).alias("t"))
+            .select("_key", "_doc", F.lower("t").alias("token")))
+    per_text = toks.join(weights, "token").groupBy("_key", "_doc").agg(*[c.alias(n) for n, c in sums.items()])
+    return rows.join(per_text, ["_key", "_doc"], "left").drop("_key", "_doc")
 
 
 def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
@@ -135,13 +126,12 @@ def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "l
         F.sum(F.when(F.col("label") == lab, 1).otherwise(0)).alias(f"n_{lab.lower()}")
         for lab in C.LABELS
     ]).checkpoint(eager=True)
-    vocab = counts.select(F.count(F.lit(1))).scalar()
-    cols = [F.col("token")]
-    for lab in C.LABELS:
-        low = lab.lower()
-        total = counts.select(F.sum(f"n_{low}")).scalar()
-        cols.append(F.ln((F.col(f"n_{low}") + 1) / (total + vocab)).alias(f"w_{low}"))
-    return counts.select(*cols)
+    lows = [lab.lower() for lab in C.LABELS]
+    totals = counts.select(F.struct(F.count(F.lit(1)).alias("vocab"),
+                                    *[F.sum(f"n_{low}").alias(low) for low in lows])).scalar()   # one row
+    return counts.select("token", *[
+        F.ln((F.col(f"n_{low}") + 1) / (totals.getField(low) + totals.getField("vocab"))).alias(f"w_{low}")
+        for low in lows])
 
 
 def save_naive_bayes(model: DataFrame, priors: DataFrame, path: str) -> str:
@@ -164,90 +154,27 @@ def naive_bayes_scorer(spark, path: str, **kw) -> Callable[[DataFrame], DataFram
 
 
 def naive_bayes_priors(docs: DataFrame, label_col: str = "label") -> DataFrame:
-    """One row: ln(class share) for each class."""
+    """One row: ln(class share) for each class; null for a class without documents."""
     n = F.count(F.lit(1))
     return docs.agg(*[F.ln(F.sum(F.when(F.col(label_col) == lab, 1).otherwise(0)) / n)
                       .alias(f"p_{lab.lower()}") for lab in C.LABELS])
 
 
-def _nb_dict_udf(weights_bc, priors: dict[str, float]):
-    """Arrow UDF scoring with a broadcast {token: (w_neg, w_neu, w_pos)} dict."""
-    order = [lab for lab in C.LABELS]
-    base = [priors[lab] for lab in order]
-
-    @F.pandas_udf(SENTIMENT_TYPE)
-    def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        import math
-        import re
-
-        weights = weights_bc.value                 # fetched once per worker
-        runs = re.compile("[A-Za-z]+")
-        for texts in batches:
-            labels, scores = [], []
-            for t in texts:
-                if t is None or (isinstance(t, float) and math.isnan(t)):
-                    labels.append(None)
-                    scores.append(None)
-                    continue
-                z = list(base)
-                for tok in runs.findall(t):
-                    w = weights.get(tok.lower())
-                    if w is not None:
-                        z[0] += w[0]
-                        z[1] += w[1]
-                        z[2] += w[2]
-                top = max(z)
-                denom = math.exp(z[0] - top) + math.exp(z[1] - top) + math.exp(z[2] - top)
-                labels.append(order[z.index(top)])
-                scores.append(float(round(1.0 / denom, 6)))
-            yield pd.DataFrame({"label": labels, "score": scores})
-
-    return _score
-
-
 def score_naive_bayes(df: DataFrame, model: DataFrame, priors: DataFrame,
-                      text_col: str = "cleaned_tweet_text", key: str = "tweet_id",
-                      max_broadcast_rows: int = C.BROADCAST_MAX_ROWS,
-                      method: str = "join", max_dict_rows: int = C.NB_DICT_MAX_ROWS) -> DataFrame:
+                      text_col: str = "cleaned_tweet_text", key: str = "tweet_id") -> DataFrame:
     """Class sums = prior + weights of the known tokens (each occurrence counts);
     softmax; label = arg max; score = the winner's probability rounded to 6.
-    A post without a known token keeps the priors (left join).
-
-    method="join" (native): the rows are hash-partitioned by `key` once; the token
-    branch and the join-back both read that one exchange (reused), so the text is
-    cleaned once and neither the per-post aggregation nor the join-back shuffles
-    again.  The vocabulary is broadcast only when its row count is within
-    `max_broadcast_rows`; otherwise the token join shuffles and AQE splits skewed
-    tokens.
-
-    method="dict": no shuffle of the posts at all.  The vocabulary (checked to be
-    within `max_dict_rows`) goes out as a broadcast variable and an Arrow UDF adds
-    the weights per row.  If the vocabulary is larger, this falls back to "join".
+    A post without a known token keeps the priors (left join); a class that had no document
+    (null prior) cannot win and has probability zero; without any class label and score are null.
+
+    The rows are hash-partitioned once (see `_text_sums`).  The vocabulary join is left to AQE:
+    it broadcasts a vocabulary that it measures to be small, else shuffles and splits hot tokens.
     """
-    if method == "dict":
-        if bounded_rows(model, max_dict_rows):
-            pri = priors.first().asDict()
-            vocab = {r["token"]: (r["w_negative"], r["w_neutral"], r["w_positive"])
-                     for r in model.select("token", "w_negative", "w_neutral", "w_positive").toLocalIterator()}
-            bc = df.sparkSession.sparkContext.broadcast(vocab)
-            s = _nb_dict_udf(bc, {lab: pri[f"p_{lab.lower()}"] for lab in C.LABELS})(F.col(text_col))
-            return (df.withColumn("_nb", s)
-                    .withColumns({"sentiment_label": F.col("_nb.label"), "sentiment_score": F.col("_nb.score")})
-                    .drop("_nb"))
-        method = "join"
-    if method != "join":
-        raise ValueError("method must be 'join' or 'dict'")
-    weights = broadcast_if_bounded(model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS]),
-                                   max_broadcast_rows)
-
-    def sums_of(base: DataFrame) -> DataFrame:
-        toks = (base.select(key, F.explode(letter_runs(F.col(text_col))).alias("t"))
-                .select(key, F.lower("t").alias("token")))
-        return (toks.join(weights, "token")
-                .groupBy(key).agg(*[F.sum(f"w_{lab.lower()}").alias(f"_s_{lab.lower()}") for lab in C.LABELS]))
-
-    pri = {lab: priors.select(f"p_{lab.lower()}").scalar() for lab in C.LABELS}
-    out = _keyed_sums(df, key, sums_of)
+    weights = model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS])
+    out = _text_sums(df, key, text_col, weights,
+                     {f"_s_{lab.lower()}": F.sum(f"w_{lab.lower()}") for lab in C.LABELS})
+    one = priors.select(F.struct(*[f"p_{lab.lower()}" for lab in C.LABELS])).scalar()
+    pri = {lab: F.coalesce(one.getField(f"p_{lab.lower()}"), F.lit(float("-inf"))) for lab in C.LABELS}
     logits = {lab: pri[lab] + F.coalesce(F.col(f"_s_{lab.lower()}"), F.lit(0.0)) for lab in C.LABELS}
     top = F.greatest(*logits.values())
     denom = sum((F.exp(v - top) for v in logits.values()), F.lit(0.0))
@@ -255,10 +182,10 @@ def score_naive_bayes(df: DataFrame, model: DataFrame, priors: DataFrame,
     label = F.when(logits[C.LABEL_NEGATIVE] == top, F.lit(C.LABEL_NEGATIVE)) \
         .when(logits[C.LABEL_NEUTRAL] == top, F.lit(C.LABEL_NEUTRAL)) \
         .otherwise(F.lit(C.LABEL_POSITIVE))
-    text = F.col(text_col)
+    known = F.col(text_col).isNotNull() & (top > float("-inf"))
     return (out.withColumns({
-        "sentiment_label": F.when(text.isNotNull(), label),
-        "sentiment_score": F.when(text.isNotNull(), F.round(F.lit(1.0) / denom, 6)),
+        "sentiment_label": F.when(known, label),
+        "sentiment_score": F.when(known, F.round(F.lit(1.0) / denom, 6)),
     }).drop(*[f"_s_{lab.lower()}" for lab in C.LABELS]))
 
 
@@ -286,8 +213,8 @@ class LexiconModel:
                 out.append((None, None))
                 continue
             toks = self._non_letters.sub(" ", t).lower().split(" ")
-            s = sum(self.weights.get(x, 0.0) for x in toks)
-            h = sum(1 for x in toks if x in self.weights)
+            hits = [self.weights[x] for x in toks if x in self.weights]
+            s, h = sum(hits), sum(map(abs, hits))
             label = C.LABEL_POSITIVE if s > 0 else C.LABEL_NEGATIVE if s < 0 else C.LABEL_NEUTRAL
             out.append((label, round((1.0 + abs(s)) / (1.0 + h), 6)))
         return out

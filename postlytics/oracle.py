@@ -62,7 +62,7 @@ toks AS (
   FROM cleaned
 ),
 lex_sums AS (
-  SELECT tweet_id, sum(weight) AS s, count(*) AS h FROM toks JOIN lex USING (token) GROUP BY tweet_id
+  SELECT tweet_id, sum(weight) AS s, sum(abs(weight)) AS h FROM toks JOIN lex USING (token) GROUP BY tweet_id
 ),
 scored AS (
   SELECT c.*,
@@ -74,6 +74,10 @@ scored AS (
 
 LOCAL = ("timezone('America/Los_Angeles', to_timestamp(TRY_CAST(created_at AS BIGINT) // 1000))")
 
+# the dates alone, without cleaning and scoring
+DATED = f"""
+post_dates AS (SELECT tweet_id, {LOCAL} AS created_at_date FROM posts)"""
+
 ENRICHED = f"""
 dated AS (
   SELECT *, {LOCAL} AS created_at_date FROM scored
@@ -186,15 +190,18 @@ nb AS (
 DAILY = "count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment, " + POLARITY
 
 register("prj_clean_text", with_ctes(POSTS, CLEANED, body="SELECT tweet_id, cleaned_tweet_text FROM cleaned"))
-register("prj_date_parts", with_ctes(*BASE, body="""
-SELECT tweet_id, created_at_date, year, month, dayofmonth FROM enriched"""))
+register("prj_date_parts", with_ctes(POSTS, DATED, body="""
+SELECT tweet_id, created_at_date, CAST(year(created_at_date) AS INTEGER) AS year,
+       CAST(month(created_at_date) AS INTEGER) AS month, CAST(day(created_at_date) AS INTEGER) AS dayofmonth
+FROM post_dates"""))
 register("sentiment_lexicon", with_ctes(POSTS, CLEANED, LEXICON, body="""
 SELECT tweet_id, sentiment_label, sentiment_score FROM scored"""))
 register("sentiment_model", QUERIES["sentiment_lexicon"])
 register("sentiment_fit_nb", with_ctes(POSTS, CLEANED, NB, body="""
 SELECT tweet_id, sentiment_label, sentiment_score FROM nb"""))
-register("flt_day_in", with_ctes(*BASE, body=f"""
-SELECT tweet_id, dayofmonth FROM enriched WHERE dayofmonth IN ({DAYS})"""))
+register("flt_day_in", with_ctes(POSTS, DATED, body=f"""
+SELECT tweet_id, CAST(day(created_at_date) AS INTEGER) AS dayofmonth FROM post_dates
+WHERE day(created_at_date) IN ({DAYS})"""))
 register("agg_daily_rounded", with_ctes(*BASE, body=f"""
 SELECT dayofmonth, round(CAST(count(*) AS DOUBLE), 2) AS total_count,
        round(avg(sentiment_score), 2) AS avg_sentiment
@@ -287,8 +294,9 @@ WHERE p.tweet_id > coalesce(s.last_id, 0)"""))
 register("join_state_lookup", with_ctes(POSTS, STATE, body="""
 SELECT p.tweet_id, p.author_id, coalesce(s.last_id, 0) AS last_id FROM posts p LEFT JOIN raw_state s USING (author_id)"""))
 register("join_dedupe_anti", with_ctes(POSTS, STATE, body="""
-SELECT tweet_id FROM days d WHERE _day >= DATE '2024-01-10'
-AND NOT EXISTS (SELECT 1 FROM days l WHERE l._day < DATE '2024-01-15' AND l.tweet_id = d.tweet_id)"""))
+SELECT d.tweet_id FROM days d
+ANTI JOIN (SELECT tweet_id FROM days WHERE _day < DATE '2024-01-15') l ON l.tweet_id = d.tweet_id
+WHERE d._day >= DATE '2024-01-10'"""))
 register("set_dedupe_posts", with_ctes(POSTS, STATE, body="""
 , both_batches AS (
   SELECT tweet_id, likes, 1 AS load_ts FROM days WHERE _day < DATE '2024-01-15'
@@ -348,6 +356,8 @@ register("set_union_files", with_ctes(*F_BASE, body="SELECT tweet_id, batch FROM
 register("flt_file_prefix", with_ctes(*F_BASE, body="SELECT tweet_id, author_id, batch FROM landed WHERE author_id = 1"))
 register("flt_file_nonempty", with_ctes(*F_BASE, body="SELECT batch, count(*) AS n FROM landed GROUP BY batch"))
 register("prj_file_keys", with_ctes(*F_BASE, body="SELECT DISTINCT batch, author_id FROM landed"))
+register("agg_max_file_time", with_ctes(*F_BASE, body="""
+SELECT author_id, max(batch) AS newest_batch FROM landed GROUP BY author_id"""))
 register("top_latest_file", with_ctes(*F_BASE, body="SELECT max(batch) AS batch FROM landed"))
 
 # ------------------------------------------------------------------ sinks
