@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlytics import config as C
@@ -18,14 +18,19 @@ def by_author(df: DataFrame, authors, col: str = "author_id") -> DataFrame:
     return df.where(F.col(col) == F.lit(authors))
 
 
-def since_id(df: DataFrame, since: int, col: str = "tweet_id") -> DataFrame:
-    return df.where(F.col(col) > F.lit(since))
+def _value(x) -> Column:
+    return x if isinstance(x, Column) else F.lit(x)
+
+
+def since_id(df: DataFrame, since: int | Column, col: str = "tweet_id") -> DataFrame:
+    """Rows with a larger id; `since` may be a scalar subquery."""
+    return df.where(F.col(col) > _value(since))
 
 
 def time_range(df: DataFrame, start, end, col: str) -> DataFrame:
     """Half-open [start, end)."""
     c = F.col(col)
-    return df.where((c >= F.lit(start)) & (c < F.lit(end)))
+    return df.where((c >= _value(start)) & (c < _value(end)))
 
 
 def hashtag(df: DataFrame, tag: str, text_col: str = "text") -> DataFrame:

@@ -165,8 +165,8 @@ def q_flt_hashtag(spark, sf_dir):
 @query("flt_since_id")
 def q_flt_since_id(spark, sf_dir):
     p = fixtures.posts(spark, sf_dir)
-    since = p.select((F.max("tweet_id") / 2).cast("bigint")).scalar()
-    return p.where(F.col("tweet_id") > since).select("tweet_id", "author_id")
+    since = p.select(F.expr("max(tweet_id) div 2")).scalar()
+    return filters.since_id(p, since).select("tweet_id", "author_id")
 
 
 @query("flt_time_range")
@@ -177,7 +177,7 @@ def q_flt_time_range(spark, sf_dir):
     today = p.select(F.max(F.to_date("_utc")).cast("timestamp_ntz")).scalar()
     start = F.timestamp_add("DAY", F.lit(-10), today)
     end = F.timestamp_add("HOUR", F.lit(12), today)
-    return p.where((F.col("_utc") >= start) & (F.col("_utc") < end)).select("tweet_id", "author_id")
+    return filters.time_range(p, start, end, "_utc").select("tweet_id", "author_id")
 
 
 @query("flt_author")
@@ -384,9 +384,10 @@ def q_prj_file_keys(spark, sf_dir):
 
 @query("agg_max_file_time")
 def q_agg_max_file_time(spark, sf_dir):
-    """Newest file time per author (wall-clock values: rows-only check)."""
+    """The batch of each author's newest file (its time itself is the wall clock's)."""
     root = _land_batches(spark, sf_dir)
-    return files.newest_file_time(files.list_files(spark, root))
+    newest = files.newest_file_time(files.list_files(spark, root)).where("newest_file_time is not null")
+    return newest.select("author_id", F.col("newest_batch").cast("int").alias("newest_batch"))
 
 
 @query("top_latest_file")
@@ -486,7 +487,8 @@ def q_str_ingest(spark, sf_dir):
 
 @query("str_daily_sentiment")
 def q_str_daily_sentiment(spark, sf_dir):
-    root = _land_batches(spark, sf_dir, overlapping=False)
+    """Daily counts over two overlapping pulls: a post landed twice counts once."""
+    root = _land_batches(spark, sf_dir)
     target, ckpt = scratch_path(spark, "stream_daily"), scratch_path(spark, "stream_ckpt")
     jobs.daily_sentiment_stream(spark, root, target, ckpt, mode="complete", max_files_per_trigger=1000)
     return spark.read.parquet(target).select("day", "total_count", r9("avg_sentiment"))

@@ -17,12 +17,17 @@ from postlytics.sources.tables import table
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat posts (POST_SCHEMA): events joined to documents by `event_id % n_docs`."""
+    """Flat posts (POST_SCHEMA): events joined to documents by `event_id % n_docs`.
+
+    Both sides are dealt by doc_id over a stated number of partitions, so the text work on the
+    posts is spread however few row groups the documents have, and posts are never broadcast.
+    """
     events = table(spark, sf_dir, "events")
     docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("doc_text"), "lang")
     n_docs = docs.select(F.count(F.lit(1))).scalar()       # scalar subquery, stays in the plan
     keyed = events.withColumn("doc_id", F.col("event_id") % n_docs)
-    joined = keyed.join(docs, "doc_id", "inner")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    joined = keyed.repartition(parts, "doc_id").join(docs.repartition(parts, "doc_id").hint("merge"), "doc_id", "inner")
     e, u = F.col("event_id"), F.col("user_id")
     ticker = F.when(e % 4 == 0, F.concat(F.lit(" $P"), ((e / 4).cast("bigint") % 5 + 1).cast("string"))) \
         .otherwise(F.lit(""))
