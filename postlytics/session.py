@@ -4,7 +4,8 @@ The library never creates a session inside an operator.  `local_session` is for
 tests, the bench and the examples; on a cluster the caller brings its own
 session.  Shared scratch space (landed files, checkpoints, state tables) always
 lives under the folder the cluster names in `spark.checkpoint.dir`; only when that
-setting is unset (local tests) is a fresh temporary folder taken and registered.
+setting is unset and the master is local (tests) is a fresh temporary folder taken and
+registered.  On a cluster without the setting it is an error.
 """
 
 from __future__ import annotations
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - not set at all
             configured = None
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; with master {sc.master} executors need a shared folder")
         configured = tempfile.mkdtemp(prefix="postlytics-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -1,13 +1,17 @@
 """Sinks: JSON/Parquet writes, key-idempotent appends and state tables.
 
-Appends are idempotent on the key: a batch is first reduced to one row per key,
-then anti-joined against what the target already holds, then appended.  Re-running
-a batch appends nothing.  One writer per table is assumed (plain Parquet has no
+Appends are idempotent on the key: rows whose key the target holds are dropped first
+(only keys are read), what is left is reduced to one row per key and appended.
+Re-running a batch appends nothing, and shuffles no text.  A row without a key has no
+identity to be idempotent on: it goes to the quarantine table, where whole rows are
+compared.  An empty batch is a no-op, also as the first one.  One writer per table is assumed (plain Parquet has no
 transactions); the data is written before any state that points past it.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,45 +32,69 @@ def write_json(df: DataFrame, path: str, mode: str = "error") -> str:
     return path
 
 
+def _stored(spark: SparkSession, target: str, like: DataFrame) -> DataFrame | None:
+    """The table at `target` with the batch's schema (so a folder without data files is an empty
+    table), or None if there is no folder."""
+    return spark.read.schema(like.schema).parquet(target) if _exists(spark, target) else None
+
+
 def new_rows(batch: DataFrame, target: str, key: str = "tweet_id",
              order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """The rows of `batch` whose key is not in the Parquet table `target` yet.
+    """The rows of `batch` with a key that is not in the Parquet table `target` yet.
 
     Duplicates inside the batch keep the copy with the largest `order_col` (or any
     one copy when None, via max of the row).  With `partition_by`, the partition
     values must be a function of the row (as year/month of `created_at` are), so a
-    key is looked up only in the partitions the batch touches.
+    key is looked up only in the partitions the batch touches; null partition values
+    compare as equal.
     """
     spark = batch.sparkSession
-    if order_col is None:
-        batch = batch.withColumn("_one", F.lit(0))
-        unique = dedupe_latest(batch, key, "_one").drop("_one")
-    else:
-        unique = dedupe_latest(batch, key, order_col)
-    if _exists(spark, target):
-        stored = spark.read.parquet(target)
-        pcols = [c for c in partition_by if c in unique.columns and c in stored.columns]
+    batch = batch.where(F.col(key).isNotNull())
+    stored = _stored(spark, target, batch)
+    if stored is not None:
+        pcols = [c for c in partition_by if c in batch.columns]
         if pcols:
             # a key always lands in the same partition, so compare within the batch's
             # partitions only: the semi-join on partition values lets dynamic partition
             # pruning skip every other stored partition (months of history)
             parts = batch.select(*pcols).distinct()        # pruned to the partition columns
-            loaded = stored.select(*pcols, key).join(parts, pcols, "left_semi")
-            unique = unique.join(loaded, [*pcols, key], "left_anti")
+            known = stored.select(*pcols, key)
+            loaded = known.join(parts.dropna(subset=pcols), pcols, "left_semi").select(F.col(key).alias("_key"))
+            # rows without a partition value all lie in the folders of the null value
+            some_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in pcols))
+            loaded = loaded.union(known.where(some_null).select(key))
         else:
-            unique = unique.join(stored.select(key), key, "left_anti")
-    return unique
+            loaded = stored.select(F.col(key).alias("_key"))
+        batch = batch.join(loaded, batch[key] == loaded["_key"], "left_anti")
+    if order_col is None:
+        return dedupe_latest(batch.withColumn("_one", F.lit(0)), key, "_one").drop("_one")
+    return dedupe_latest(batch, key, order_col)
 
 
 def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
-               order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> None:
-    """Append the rows of `batch` whose key is not stored yet (see `new_rows`)."""
+               order_col: str | None = None, partition_by: tuple[str, ...] = (),
+               quarantine: str | None = None) -> None:
+    """Append the rows of `batch` whose key is not stored yet (see `new_rows`); rows without a
+    key go to `quarantine` (by default beside the target), each distinct row once."""
     unique = new_rows(batch, target, key, order_col, partition_by)
     if partition_by:
         # few files per partition value; AQE splits a partition value that is hot
-        unique.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(target)
+        unique = unique.hint("rebalance", *partition_by)
+        unique.write.mode("append").partitionBy(*partition_by).parquet(target)
     else:
         unique.write.mode("append").parquet(target)
+    quarantine_rows(batch.where(F.col(key).isNull()), quarantine or target.rstrip("/") + "_no_key")
+
+
+def quarantine_rows(rows: DataFrame, path: str) -> None:
+    """Append each row (as JSON text, with its digest) that the quarantine does not hold yet."""
+    spark = rows.sparkSession
+    kept = rows.select(F.to_json(F.struct(*rows.columns)).alias("row")).withColumn("digest", F.sha2("row", 256))
+    kept = kept.dropDuplicates(["digest"])
+    stored = _stored(spark, path, kept)
+    if stored is not None:
+        kept = kept.join(stored.select("digest"), "digest", "left_anti")
+    kept.write.mode("append").parquet(path)
 
 
 RAW_PARTITIONS = ("author_bucket",)

@@ -9,13 +9,19 @@ from a driver-side loop over objects.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from postlytics.schema import POST_SCHEMA
 
 FILE_COLUMNS = ["_file_path", "_file_mtime", "_file_size"]
+CORRUPT = "_corrupt_record"
+
+
+def plain_path(path: Column) -> Column:
+    """A path as `binaryFile` writes it: `_metadata` percent-encodes blanks and other characters."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
 def land_json(df: DataFrame, root: str, batch, partition_by: tuple[str, ...] = ("author_id",)) -> str:
@@ -44,7 +50,7 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.json") -> DataFram
 
 def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA,
                 author=None, modified_after=None, processed_files: DataFrame | None = None,
-                multi_line: bool = False) -> DataFrame:
+                multi_line: bool = False, corrupt: bool = False) -> DataFrame:
     """Rows of landed files with their file facts.
 
     * `author`: exact author id (partition pruning).
@@ -53,13 +59,18 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
     * `processed_files`: a table of `_file_path` already processed; those are skipped
       (what a file-stream checkpoint remembers).  Files older than the oldest
       unprocessed file are pruned before they are opened.
+    * `multi_line`: files are JSON arrays or documents over several lines.
+    * `corrupt`: add the text of records that are not valid JSON as `_corrupt_record`.
     Files of size 0 contribute nothing.
     """
     data_schema = StructType([f for f in schema.fields if f.name != "author_id"])
+    if corrupt:
+        data_schema = StructType(data_schema.fields + [StructField(CORRUPT, StringType(), True)])
     df = (spark.read.schema(data_schema).option("multiLine", multi_line)
+          .option("columnNameOfCorruptRecord", CORRUPT)
           .option("pathGlobFilter", "*.json").json(root))
     df = df.select("*",
-                   F.col("_metadata.file_path").alias("_file_path"),
+                   plain_path(F.col("_metadata.file_path")).alias("_file_path"),
                    F.col("_metadata.file_modification_time").alias("_file_mtime"),
                    F.col("_metadata.file_size").alias("_file_size"))
     if "author_id" in df.columns:
@@ -76,10 +87,8 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
         listing = list_files(spark, root)
         if author is not None:
             listing = listing.where(F.col("author_id") == F.lit(author))
-        oldest_new = listing.join(done, "_file_path", "left_anti").agg(F.min("_file_mtime")).first()[0]
-        if oldest_new is None:
-            return df.where(F.lit(False))
-        df = df.where(F.col("_file_mtime") >= F.lit(oldest_new)).join(done, "_file_path", "left_anti")
+        oldest_new = listing.join(done, "_file_path", "left_anti").select(F.min("_file_mtime")).scalar()
+        df = df.where(F.col("_file_mtime") >= oldest_new).join(done, "_file_path", "left_anti")
     return df
 
 

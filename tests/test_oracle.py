@@ -7,14 +7,14 @@ import os
 
 import pytest
 
-import __spark_entry__ as E
 from check_oracle import compare, duck
+from postlytics import oracle, registry
 
 from conftest import SF01
 
 QUICK = ["agg_daily_sentiment", "prj_clean_text", "sentiment_fit_nb", "top_latest_posts",
          "src_flatten_timeline", "snk_raw_append", "str_daily_sentiment", "ext_price_asof"]
-NAMES = QUICK if os.environ.get("POSTLYTICS_QUICK") else sorted(E.queries())
+NAMES = QUICK if os.environ.get("POSTLYTICS_QUICK") else sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -22,14 +22,14 @@ def con():
     return duck(SF01)
 
 
-def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"agg_max_file_time"}
+def test_every_query_has_an_oracle():
+    without = set(registry.QUERIES) - set(oracle.QUERIES)
+    assert without == set()
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_duckdb(spark, con, name):
-    msg, ok = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF01)
+    msg, ok = compare(spark, con, name, registry.QUERIES[name], oracle.QUERIES.get(name), SF01)
     assert ok, msg
 
 
@@ -45,14 +45,14 @@ def con_small():
     return duck(SF001)
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.QUERIES))
 def test_column_types_match_duckdb(spark, con_small, name):
     """Same column names and types on both sides (the driver compares schemas too)."""
     from conftest import SF001
 
-    df = E.queries()[name](spark, SF001)
+    df = registry.QUERIES[name](spark, SF001)
     spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
                    for f in df.schema.fields}
-    rel = con_small.sql(E.oracle_sql()[name])
+    rel = con_small.sql(oracle.QUERIES[name])
     duck_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert spark_types == duck_types
