@@ -62,5 +62,5 @@ PULL_STATE_DEFAULT = 1        # last pulled id when an author has no state
 RAW_STATE_DEFAULT = 0         # last appended id when an author has no log row
 
 # --- engine limits (ours) ---
-# partition values of the raw table (author buckets); bounded whatever the number of authors
-RAW_AUTHOR_BUCKETS = 64
+# folders of a landed pull (author buckets); bounded whatever the number of authors
+LANDING_AUTHOR_BUCKETS = 16

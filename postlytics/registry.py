@@ -371,7 +371,7 @@ def q_flt_file_prefix(spark, sf_dir):
 def q_flt_file_nonempty(spark, sf_dir):
     """An empty file landed beside the pulls is skipped without error."""
     root = _land_batches(spark, sf_dir)
-    sinks.touch_empty(spark, f"{root}/batch=3/author_id=1/part-empty.json")
+    sinks.touch_empty(spark, f"{root}/batch=3/author_bucket=1/part-empty.json")
     rows = files.read_landed(spark, root)
     return rows.groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
 
@@ -379,14 +379,14 @@ def q_flt_file_nonempty(spark, sf_dir):
 @query("prj_file_keys")
 def q_prj_file_keys(spark, sf_dir):
     root = _land_batches(spark, sf_dir)
-    return files.list_files(spark, root).select("batch", "author_id").distinct()
+    return files.author_files(spark, root).select("batch", "author_id").distinct()
 
 
 @query("agg_max_file_time")
 def q_agg_max_file_time(spark, sf_dir):
     """The batch of each author's newest file (its time itself is the wall clock's)."""
     root = _land_batches(spark, sf_dir)
-    newest = files.newest_file_time(files.list_files(spark, root)).where("newest_file_time is not null")
+    newest = files.newest_file_time(files.author_files(spark, root))
     return newest.select("author_id", F.col("newest_batch").cast("int").alias("newest_batch"))
 
 

@@ -97,19 +97,19 @@ def quarantine_rows(rows: DataFrame, path: str) -> None:
     kept.write.mode("append").parquet(path)
 
 
-RAW_PARTITIONS = ("author_bucket",)
+RAW_PARTITIONS = ("post_date",)
 
 
-def author_bucket(col: str = "author_id", buckets: int = C.RAW_AUTHOR_BUCKETS):
-    """A fixed number of partition values for the raw table.  A post's author never
-    changes, so a key always stays in one bucket; a pull of one author touches one
-    bucket, and the folder count does not grow with the number of authors."""
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(buckets)).cast("int")
+def post_date(created_at: str = "created_at"):
+    """The UTC date of a post, null where `created_at` is not an epoch-ms number.  It never
+    changes, so a key stays in one partition, and an append reads the keys of the dates it carries."""
+    ms = F.col(created_at).try_cast("bigint")
+    return F.date_from_unix_date(F.floor(ms / 86_400_000).cast("int"))
 
 
 def append_raw(batch: DataFrame, target: str, key: str = "tweet_id") -> None:
-    """Key-idempotent append to the raw table, partitioned by author bucket."""
-    append_new(batch.withColumn("author_bucket", author_bucket()), target, key, partition_by=RAW_PARTITIONS)
+    """Key-idempotent append to the raw table, partitioned by post date."""
+    append_new(batch.withColumn("post_date", post_date()), target, key, partition_by=RAW_PARTITIONS)
 
 
 def read_table(spark: SparkSession, path: str, id_cols: tuple[str, ...] = ("author_id",)) -> DataFrame:

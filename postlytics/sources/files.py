@@ -1,10 +1,12 @@
 """Landed JSON files: layout, listing, incremental and latest-batch reads.
 
-Layout: `<root>/batch=<b>/author_id=<a>/part-*.json` (JSON lines).  An author
-filter is then partition pruning on an exact value (author 1 never matches
-author 12's files), and a batch is one pull.  File facts come from Spark's
-`_metadata` column or from a `binaryFile` listing (content never read), never
-from a driver-side loop over objects.
+Layout: `<root>/batch=<b>/author_bucket=<k>/part-*.json` (JSON lines, `author_id` inside).  The
+number of folders depends on the pulls alone, not on how many authors there are.  An author
+filter prunes to one bucket and then compares the id itself (author 1 never matches author 12);
+a batch is one pull.  Also read are folders `author_id=<a>` and plain files
+`id_<author>_<time>.json` that hold an array of records.  File facts come from Spark's
+`_metadata` column or from a `binaryFile` listing (content never read), never from a
+driver-side loop over objects.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from postlytics import config as C
 from postlytics.schema import POST_SCHEMA
 
 FILE_COLUMNS = ["_file_path", "_file_mtime", "_file_size"]
@@ -24,19 +27,33 @@ def plain_path(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def land_json(df: DataFrame, root: str, batch, partition_by: tuple[str, ...] = ("author_id",)) -> str:
+def author_bucket(author: Column) -> Column:
+    """The landing bucket of an author."""
+    return F.pmod(F.xxhash64(author.cast("bigint")), F.lit(C.LANDING_AUTHOR_BUCKETS)).cast("int")
+
+
+def land_json(df: DataFrame, root: str, batch) -> str:
     """Write one pull as JSON lines under `<root>/batch=<batch>/` (fails if it exists).
 
-    A `rebalance` hint on the partition columns first: each task then writes the
-    files of a few authors (about one file per author and pull, instead of one per
-    author in every task), and AQE splits the partition of an author that holds a
-    large share of the rows and merges small ones.
+    A `rebalance` hint on the bucket first: each task then writes the files of a few buckets,
+    and AQE splits the bucket of an author that holds a large share of the rows and merges
+    small ones.
     """
     path = f"{root.rstrip('/')}/batch={batch}"
-    df.hint("rebalance", *partition_by).write.mode("error").partitionBy(*partition_by).json(path)
+    df = df.withColumn("author_bucket", author_bucket(F.col("author_id")))
+    df.hint("rebalance", "author_bucket").write.mode("error").partitionBy("author_bucket").json(path)
     return path
 
 
+def _of_author(df: DataFrame, author) -> DataFrame:
+    """Rows or files of one author: its folder or bucket, and its id where there is one."""
+    if author is None:
+        return df
+    if "author_bucket" in df.columns:
+        df = df.where(F.col("author_bucket") == author_bucket(F.lit(author)))
+    return df.where(F.col("author_id") == F.lit(author)) if "author_id" in df.columns else df
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*.json") -> DataFrame:
     """path, mtime, size and the partition columns of every landed file (content not read)."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(root)
@@ -50,10 +67,10 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.json") -> DataFram
 
 def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA,
                 author=None, modified_after=None, processed_files: DataFrame | None = None,
-                multi_line: bool = False, corrupt: bool = False) -> DataFrame:
+                multi_line: bool = False, corrupt: bool = False, glob: str = "*.json") -> DataFrame:
     """Rows of landed files with their file facts.
 
-    * `author`: exact author id (partition pruning).
+    * `author`: exact author id (partition pruning, then the id itself).
     * `modified_after`: keep files modified strictly after this instant (compared with
       full precision, the marker fixed for the whole read).
     * `processed_files`: a table of `_file_path` already processed; those are skipped
@@ -63,30 +80,24 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
     * `corrupt`: add the text of records that are not valid JSON as `_corrupt_record`.
     Files of size 0 contribute nothing.
     """
-    data_schema = StructType([f for f in schema.fields if f.name != "author_id"])
+    data_schema = schema
     if corrupt:
-        data_schema = StructType(data_schema.fields + [StructField(CORRUPT, StringType(), True)])
+        data_schema = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
     df = (spark.read.schema(data_schema).option("multiLine", multi_line)
           .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("pathGlobFilter", "*.json").json(root))
+          .option("pathGlobFilter", glob).json(root))
     df = df.select("*",
                    plain_path(F.col("_metadata.file_path")).alias("_file_path"),
                    F.col("_metadata.file_modification_time").alias("_file_mtime"),
                    F.col("_metadata.file_size").alias("_file_size"))
-    if "author_id" in df.columns:
-        df = df.withColumn("author_id", F.col("author_id").cast("bigint"))
-    if author is not None:
-        df = df.where(F.col("author_id") == F.lit(author))
-    df = df.where(F.col("_file_size") > 0)
+    df = _of_author(df, author).drop("author_bucket").where(F.col("_file_size") > 0)
     if modified_after is not None:
         df = df.where(F.col("_file_mtime") > F.lit(modified_after).cast("timestamp"))
     if processed_files is not None:
         done = processed_files.select("_file_path").distinct()
         # bound the scan: files older than the oldest unprocessed one are pruned before
         # they are opened (the listing reads no content; one scalar comes back)
-        listing = list_files(spark, root)
-        if author is not None:
-            listing = listing.where(F.col("author_id") == F.lit(author))
+        listing = _of_author(list_files(spark, root, glob), author)
         oldest_new = listing.join(done, "_file_path", "left_anti").select(F.min("_file_mtime")).scalar()
         df = df.where(F.col("_file_mtime") >= oldest_new).join(done, "_file_path", "left_anti")
     return df
@@ -97,6 +108,19 @@ def read_json_direct(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.json").json(path)
 
 
+def read_author_files(spark: SparkSession, root: str, author=None, **kw) -> DataFrame:
+    """Rows of files `id_<author>_<time>.json`, each an array of records with `author_id` inside;
+    further arguments as for `read_landed`."""
+    glob = "id_*_*.json" if author is None else f"id_{author}_*.json"
+    return read_landed(spark, root, author=author, glob=glob, **{"multi_line": True, **kw})
+
+
+def author_files(spark: SparkSession, root: str, author=None) -> DataFrame:
+    """author_id, batch and the facts of every file that holds rows of the author (only the id is parsed)."""
+    rows = read_landed(spark, root, author=author)
+    return rows.select("author_id", "batch", *FILE_COLUMNS).distinct()
+
+
 def newest_file_time(files: DataFrame, key: str = "author_id") -> DataFrame:
     """Per key: the newest file time and the batch it belongs to."""
     best = F.max(F.struct("_file_mtime", "batch"))
@@ -107,9 +131,7 @@ def newest_file_time(files: DataFrame, key: str = "author_id") -> DataFrame:
 def latest_batch_rows(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA,
                       author=None) -> DataFrame:
     """For each author, all rows of its newest pull (the batch of its newest file)."""
-    files = list_files(spark, root)
-    if author is not None:
-        files = files.where(F.col("author_id") == F.lit(author))
-    newest = newest_file_time(files).select("author_id", F.col("newest_batch").alias("batch"))
+    newest = newest_file_time(author_files(spark, root, author)).select(
+        "author_id", F.col("newest_batch").alias("batch"))
     rows = read_landed(spark, root, schema, author=author)
     return rows.join(newest, ["author_id", "batch"], "left_semi")

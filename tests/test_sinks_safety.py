@@ -116,3 +116,34 @@ def test_tickers_of_any_length():
 
     from postlytics import config as C
     assert re.findall(C.TICKER_PATTERN, "$TSLA $LONGNAM $BTCUSDT $BRK.B. $a $A1x") == ["TSLA", "LONGNAM", "BTCUSDT", "BRK.B"]
+
+
+def test_author_files_with_arrays_batch_and_stream(spark, workdir):
+    root = f"{workdir}/tweet"
+    os.makedirs(root)
+    for author, name in ((1, "id_1_20240115.json"), (12, "id_12_20240115.json")):
+        with open(f"{root}/{name}", "w") as fh:
+            json.dump([{**_json(author * 10 + k), "author_id": author} for k in range(3)], fh)
+    with open(f"{root}/other.json", "w") as fh:
+        fh.write("[{]")
+    got = files.read_author_files(spark, root, 1)
+    assert sorted((r.author_id, r.tweet_id) for r in got.collect()) == [(1, 10), (1, 11), (1, 12)]
+    assert files.read_author_files(spark, root).count() == 6
+    target, ckpt = f"{workdir}/raw", f"{workdir}/ckpt"
+    for _ in range(2):
+        streams.ingest_stream(spark, root, target, ckpt, multi_line=True, glob="id_*_*.json")
+    assert sorted(r.tweet_id for r in spark.read.parquet(target).collect()) == [10, 11, 12, 120, 121, 122]
+
+
+def test_landing_folders_do_not_grow_with_authors_and_appends_read_their_dates_only(spark, workdir):
+    posts = _posts(spark, [_post(i, author=i, created=str(1705300000000 + i % 5 * 86_400_000)) for i in range(300)])
+    files.land_json(posts, f"{workdir}/land", 1)
+    assert len([d for d in os.listdir(f"{workdir}/land/batch=1") if d.startswith("author_bucket=")]) <= 16
+    rows = files.read_landed(spark, f"{workdir}/land", author=7)
+    assert [r.tweet_id for r in rows.collect()] == [7]
+    assert "author_bucket" in str(rows._jdf.queryExecution().executedPlan()).split("PartitionFilters: [")[1].split("]")[0]
+    target = f"{workdir}/raw"
+    sinks.append_raw(posts, target)
+    batch = posts.where("tweet_id % 5 = 0").withColumn("post_date", sinks.post_date())
+    new = sinks.new_rows(batch, target, partition_by=sinks.RAW_PARTITIONS)
+    assert "dynamicpruning" in new._jdf.queryExecution().executedPlan().toString().lower() and new.count() == 0
