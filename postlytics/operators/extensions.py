@@ -38,18 +38,20 @@ def price_asof(events: DataFrame, prices: DataFrame, ts_col: str = "ts",
     w = Window.partitionBy(key).orderBy("_from")
     intervals = (prices.select(key, F.col(price_ts_col).cast("timestamp_ntz").alias("_from"), "price")
                  .withColumn("_to", F.lead("_from").over(w)))
-    # one bucket per day an interval touches; the newest interval of a symbol is
-    # open-ended and runs to the newest event day (a scalar subquery, no join)
-    newest_day = events.select(F.max(F.to_date(ts_col))).scalar()
-    start_day = F.to_date("_from")
-    end_day = F.greatest(start_day, F.coalesce(F.to_date("_to"), newest_day))
-    buckets = intervals.withColumn("_day", F.explode(F.sequence(start_day, end_day)))
+    # one bucket per day a closed interval touches; the newest interval of a symbol is open-ended
+    # and is one row per symbol, so the events are read once and no newest day is needed
+    closed = intervals.where(F.col("_to").isNotNull())
+    buckets = closed.withColumn("_day", F.explode(F.sequence(F.to_date("_from"), F.to_date("_to"))))
+    newest = intervals.where(F.col("_to").isNull()).select(
+        F.col(key).alias("_symbol"), F.col("_from").alias("_open_from"), F.col("price").alias("_open_price"))
     ev = events.withColumn("_ts", F.col(ts_col).cast("timestamp_ntz")).withColumn("_day", F.to_date("_ts"))
     cond = [ev[key] == buckets[key], ev["_day"] == buckets["_day"],
-            ev["_ts"] >= buckets["_from"], buckets["_to"].isNull() | (ev["_ts"] < buckets["_to"])]
-    out = ev.join(buckets, cond, "left")
-    return out.select(*[ev[c] for c in events.columns], buckets["_from"].alias("price_time"),
-                      buckets["price"].alias("price"))
+            ev["_ts"] >= buckets["_from"], ev["_ts"] < buckets["_to"]]
+    out = ev.join(buckets, cond, "left").join(newest, ev[key] == newest["_symbol"], "left")
+    is_open = F.col("_open_from") <= ev["_ts"]
+    return out.select(*[ev[c] for c in events.columns],
+                      F.when(is_open, F.col("_open_from")).otherwise(buckets["_from"]).alias("price_time"),
+                      F.when(is_open, F.col("_open_price")).otherwise(buckets["price"]).alias("price"))
 
 
 def sentiment_price_corr(enriched_mentions: DataFrame, prices: DataFrame) -> DataFrame:
