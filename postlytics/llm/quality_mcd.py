@@ -178,9 +178,14 @@ def quality(docs: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows of docs, all columns, that quality() keeps.  The texts are read twice (estimates,
-    verdicts) and never shuffled unless the estimates are too large to broadcast."""
-    base = written(with_statistics(pick(docs, "text", "lang", "source")).drop("text"), "quality-statistics")
+    """The rows of docs, all columns, that quality() keeps.
+
+    Rows are written once with their statistics: estimates read the narrow columns, the verdict
+    is taken as the rows are read again, and texts are shuffled only if the estimates of very
+    many groups are too large to broadcast.
+    """
     own = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)]
-    good = judge(with_statistics(docs.select(*own, "text", "lang", "source")), fit(base)).where("kept")
+    rows = written(with_statistics(docs.select(*own, "text", "lang", "source")).drop("text"), "quality-rows")
+    # the row number keeps the optimizer from copying the whole verdict into a filter on the scan
+    good = judge(rows, fit(rows)).withColumn("__row", F.monotonically_increasing_id()).where("kept and __row >= 0")
     return good.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
