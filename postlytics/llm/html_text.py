@@ -8,6 +8,7 @@ read as prose; where it lies in an article or main element, that element is the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -33,10 +34,12 @@ ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd"
 #: Words of class, id and role that mark what is not the article.
 SIGNS = frozenset("""ad ads advert adverts advertisement advertising adsense adbox banner sponsor sponsored promo promotion
     promoted nav navbar navigation menu menubar topbar toolbar breadcrumb breadcrumbs sidebar sidebars aside rail widget
-    widgets footer masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay paywall
+    widgets footer masthead dialog cookie cookies consent gdpr notice notices notification alert popup modal overlay paywall
     newsletter subscribe subscription signup login comment comments commentlist discussion disqus replies reply respond
     feedback share sharing social related recommended recommendations trending popular pagination pager skip hidden
     complementary contentinfo search searchbox""".split())
+#: First or last words of a class name that only says how the page is laid out.
+LAYOUT = frozenset("has no with without enabled disabled".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -102,8 +105,14 @@ def parse(html: str) -> Node:
 
 
 def _signs(node: Node) -> set[str]:
-    said = " ".join(v for k in ("class", "id", "role") if (v := node.attrs.get(k)))
-    return set(said.lower().replace("-", " ").replace("_", " ").split())
+    """The words of class, id and role (split at dashes and inner capitals)."""
+    out: set[str] = set()
+    for k in ("class", "id", "role"):
+        for name in (node.attrs.get(k) or "").split():
+            words = re.sub(r"([a-z0-9])([A-Z])", r"\1-\2", name).lower().replace("_", "-").split("-")
+            if not {words[0], words[-1]} & LAYOUT:
+                out.update(words)
+    return out
 
 
 def _dropped(node: Node, in_article: bool) -> bool:
@@ -116,7 +125,10 @@ def _dropped(node: Node, in_article: bool) -> bool:
     if "hidden" in a or a.get("aria-hidden") == "true":
         return True
     style = (a.get("style") or "").replace(" ", "").lower()
-    return "display:none" in style or "visibility:hidden" in style or bool(_signs(node) & SIGNS)
+    if "display:none" in style or "visibility:hidden" in style:
+        return True
+    signs = _signs(node)
+    return bool(signs & SIGNS) or "header" in signs and not in_article
 
 
 def prune(root: Node) -> None:

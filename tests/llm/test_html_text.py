@@ -20,10 +20,12 @@ PAGES = {
     "unclosed": ("<article><p><b>One.<br><p>Two.</b><p>Three.", "One.\n\nTwo.\n\nThree."),
     "script": ("<article><script>var a='<p>no</p>';</script><style>p{}</style><p>Yes.</p><!-- <p>no</p> --></article>", "Yes."),
     "form": (f"<main>{ARTICLE}<form><p>{P[0]}</p><button>Go</button></form><div class='cookie-notice'>Cookies!</div></main>", WANT),
-    "ads": (f"<article><div class=ad>Buy</div>{ARTICLE}<div class='shadow header-x'>Kept box.</div></article>", WANT + "\n\nKept box."),
+    "ads": (f"<article><div class=ad>Buy</div>{ARTICLE}<div class='shadow box-x'>Kept box.</div></article>", WANT + "\n\nKept box."),
     "header": (f"<header><p>Site</p></header><article><header><h1>T</h1></header>{ARTICLE}</article>", "T\n\n" + WANT),
     "list": ("<article><ul><li>one<li>two</ul><table><tr><td>a<td>b</table></article>", "one\n\ntwo\n\na\n\nb"),
     "hidden": (f"<article><p style='display: none'>no</p><p hidden>no</p>{ARTICLE}</article>", WANT),
+    "names": (f"<body class='no-sidebar'><div class='has-sidebar comments-enabled'><div class=siteHeader>H</div><div class=site_footer>F</div>"
+              f"<div class=content>{ARTICLE}</div><ol class=commentList><li>{P[0]}</li></ol></div></body>", WANT),
     "plain": ("just text", "just text"), "empty": ("", ""), "tags": ("<div></div>", ""), "null": (None, ""),
     "siblings": (f"<body><div><div><p>{P[0]}</p><p>{P[1]}</p></div><p>Prose after the box, not in it.</p>"
                  f"<div><a href=1>link one</a> <a href=2>link two</a></div></div></body>", f"{P[0]}\n\n{P[1]}\n\nProse after the box, not in it."),
