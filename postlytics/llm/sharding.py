@@ -48,9 +48,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame
         by_text.alias("h"), by_row.alias("h2")), "shard-rows")
     counts = rows.groupBy("src", "b", "s").agg(F.count(F.lit(1)).alias("c"))
     upto = Window.partitionBy("src").orderBy("b", "s").rowsBetween(Window.unboundedPreceding, -1)
-    starts = written(counts.select(
-        "src", "b", "s", F.coalesce(F.sum("c").over(upto), F.lit(0)).alias("before"),
-        F.sum("c").over(Window.partitionBy("src")).alias("n")), "shard-starts")
+    starts = counts.select("src", "b", "s", F.coalesce(F.sum("c").over(upto), F.lit(0)).alias("before"),
+                           F.sum("c").over(Window.partitionBy("src")).alias("n"))
     place = F.row_number().over(Window.partitionBy("src", "b", "s").orderBy("h", "h2", "doc_id", "text_crc32"))
     ranked = rows.withColumn("place", place).join(starts, ["src", "b", "s"])
     odd = 2 * (F.col("before") + F.col("place")) - 1          # fractional rank is odd / (2 n)
