@@ -13,6 +13,7 @@ REFERENCED = ArrayType(StructType([
     ]), True),
 ]))
 
+# --- fixed values: the 16 field names of the flat post and their order are the data format ---
 # The flat post as landed (raw / bronze). Ids are Long; counters Int.
 POST_SCHEMA = StructType([
     StructField("author_id", LongType(), True),
