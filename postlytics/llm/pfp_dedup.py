@@ -152,8 +152,9 @@ SUFFIX_ROWS = pa.schema([("suffix", pa.binary()), ("key", pa.binary()), ("start"
 
 
 def _often(df: DataFrame, key: str, n: str = "1") -> DataFrame:
-    """The keys whose sum of n is two or more."""
-    return df.groupBy(key).agg(F.sum(F.expr(n)).alias("c")).where("c > 1").select(key)
+    """The keys whose sum of n is two or more; written, so that a join with them is of two plain
+    shuffles and AQE can split a hot key."""
+    return written(df.groupBy(key).agg(F.sum(F.expr(n)).alias("c")).where("c > 1").select(key), f"pfp-often-{key}")
 
 
 def _by_text(texts: DataFrame, entries: DataFrame) -> DataFrame:
@@ -196,7 +197,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                  .select("key", "first", (F.col("last") + length).alias("end")))
 
     open_cores = unions.groupBy("core").agg(F.count(F.lit(1)).alias("c"), F.min("n").alias("low")).where("c > 1 and low = 1")
-    entries = (unions.join(open_cores.select("core"), "core", "left_semi")
+    entries = (unions.join(written(open_cores.select("core"), "pfp-open"), "core", "left_semi")
                .select("at.key", F.struct("at.first", "at.last", "n").alias("e")))
     suffixes = written(_by_text(texts, entries).mapInArrow(
         _listed(_suffixes, SUFFIX_ROWS, length), "suffix binary, key binary, start bigint, n bigint"), "pfp-suffixes")
