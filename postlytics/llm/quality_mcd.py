@@ -115,6 +115,13 @@ def _group_key() -> Column:
 
 
 ALL = "*"
+#: Estimates are broadcast up to so many groups, of some 300 bytes each; beyond, their join shuffles.
+SMALL = 20_000
+
+
+def _small(groups: DataFrame) -> DataFrame:
+    """One row per group, with a broadcast hint if they are counted to be few."""
+    return F.broadcast(groups) if groups.limit(SMALL + 1).count() <= SMALL else groups
 
 
 def fit(stats: DataFrame) -> DataFrame:
@@ -134,16 +141,16 @@ def fit(stats: DataFrame) -> DataFrame:
     quart = quart.withColumns({f"m_{a}": F.get(f"q_{a}", F.lit(1)) for a in FLOORS})
     params = _with_roots(quart, start).select("grp", "n_docs", *means, *ROOTS)
     for _ in range(STEPS):
-        params = written(params, "mcd-estimates")
+        params = _small(written(params, "mcd-estimates"))
         d = _with_distance(v.join(params, "grp"))
-        near = written(d.groupBy("grp").agg(F.percentile_approx("d2", SHARE, 10000).alias("most")), "mcd-share")
+        near = _small(written(d.groupBy("grp").agg(F.percentile_approx("d2", SHARE, 10000).alias("most")), "mcd-share"))
         kept = d.join(near, "grp").where("d2 <= most")
         sums = kept.groupBy("grp", "n_docs").agg(
             *[F.avg(a).alias(f"m_{a}") for a in FLOORS],
             *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in _pairs()])
         cov = {(a, b): F.col(f"c_{a}_{b}") + (FLOORS[a] ** 2 if a == b else 0.0) for a, b in _pairs()}
         params = _with_roots(sums, cov).select("grp", "n_docs", *means, *ROOTS)
-    params = written(params, "mcd-estimates")
+    params = _small(written(params, "mcd-estimates"))
     scale = (_with_distance(v.join(params, "grp")).groupBy("grp").agg(F.percentile_approx("d2", 0.5, 10000).alias("mid"))
              .select("grp", F.greatest(F.col("mid") / CHI2_MEDIAN, F.lit(1.0)).alias("scale")))
     return written(params.join(scale, "grp"), "mcd-estimates")
@@ -154,7 +161,7 @@ def judge(rows: DataFrame, params: DataFrame) -> DataFrame:
     rule failed or no group has estimates; then kept is false, or true)."""
     cols = rows.columns
     use = (rows.withColumns(vector()).withColumn("grp", _group_key())
-           .join(params.where((F.col("n_docs") >= MIN_GROUP) & (F.col("grp") != ALL)), "grp", "left"))
+           .join(_small(params.where((F.col("n_docs") >= MIN_GROUP) & (F.col("grp") != ALL))), "grp", "left"))
     whole = params.where(F.col("grp") == ALL).select([F.col(c).alias(f"all_{c}") for c in params.columns])
     use = use.join(F.broadcast(whole.limit(1)), F.lit(True), "left")  # one row
     names = [c for c in params.columns if c not in ("grp", "n_docs")]
