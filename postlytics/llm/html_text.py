@@ -4,6 +4,8 @@ Paragraphs pass points for their length and commas to their ancestors, full to t
 to its parent and less further up; an ancestor's sum is discounted by the share of its text that
 lies in links.  The best container is kept, with those of its siblings that score near it or
 read as prose; where it lies in an article or main element, that element is the container.
+Nodes marked by their class, id or role as something else, and forms, go before that, but a marked
+node that wraps the article stays and only what is marked below it goes.
 """
 
 from __future__ import annotations
@@ -38,6 +40,10 @@ SIGNS = frozenset("""ad ads advert adverts advertisement advertising adsense adb
     newsletter subscribe subscription signup login comment comments commentlist discussion disqus replies reply respond
     feedback share sharing social related recommended recommendations trending popular pagination pager skip hidden
     complementary contentinfo search searchbox""".split())
+#: Of these, words for text of others or about others: an article element below does not make it the page's own.
+FOREIGN = frozenset("""ad ads advert adverts advertisement advertising adsense adbox sponsor sponsored promo promotion promoted
+    cookie cookies consent gdpr newsletter comment comments commentlist discussion disqus replies reply respond feedback
+    related recommended recommendations trending popular""".split())
 #: First or last words of a class name that only says how the page is laid out.
 LAYOUT = frozenset("has no with without enabled disabled".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -116,8 +122,8 @@ def _signs(node: Node) -> set[str]:
 
 
 def _dropped(node: Node, in_article: bool) -> bool:
-    """Whether a node is no part of the article, whatever it scores."""
-    if node.tag in DROP or node.tag == "header" and not in_article:
+    """Whether a node is no part of the article, whatever it holds."""
+    if node.tag in DROP and node.tag != "form" or node.tag == "header" and not in_article:
         return True
     if not node.attrs or node.tag in ("html", "body", "article", "main"):
         return False
@@ -125,22 +131,90 @@ def _dropped(node: Node, in_article: bool) -> bool:
     if "hidden" in a or a.get("aria-hidden") == "true":
         return True
     style = (a.get("style") or "").replace(" ", "").lower()
-    if "display:none" in style or "visibility:hidden" in style:
-        return True
-    signs = _signs(node)
-    return bool(signs & SIGNS) or "header" in signs and not in_article
+    return "display:none" in style or "visibility:hidden" in style
 
 
-def prune(root: Node) -> None:
-    """Take dropped nodes out of the tree."""
+def _marks(node: Node, in_article: bool) -> set[str]:
+    """What marks a node as not the article, unless it holds the article: its tag if a form, its signs."""
+    out = {"form"} if node.tag == "form" else set()
+    if node.attrs and node.tag not in ("html", "body", "article", "main"):
+        signs = _signs(node)
+        out |= signs & SIGNS
+        if "header" in signs and not in_article:
+            out.add("header")
+    return out
+
+
+def _remove(root: Node, dropped) -> None:
+    """Take nodes out of the tree for which dropped(node, whether it lies in an article or main) holds."""
     todo = [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or node.tag in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not _dropped(c, inside)]
+        node.children = [c for c in node.children if isinstance(c, str) or not dropped(c, inside)]
         todo += [(c, inside) for c in node.children if not isinstance(c, str)]
 
 
+def _wrappers(root: Node) -> tuple[dict[Node, set[str]], set[Node]]:
+    """Marks of marked nodes, and those of the nodes that are wrappers of the article.
+
+    A marked node is a wrapper if it holds a main element; or more than half of the page's paragraph
+    points, links discounted; or, outside of articles, an article element and no fewer points
+    than all that is not marked.  Points in foreign text count for foreign nodes only, and these
+    are wrappers by their points only if no other article or main element has a paragraph.
+    """
+    nodes = _order(root)
+    marks: dict[Node, set[str]] = {}
+    within: dict[Node, tuple[bool, bool, bool]] = {}  # in an article or main, a marked node, a foreign node
+    for node in nodes:
+        inside, marked, foreign = within[node.parent] if node.parent is not None else (False, False, False)
+        if m := _marks(node, inside):
+            marks[node] = m
+        within[node] = (inside or node.tag in ("article", "main"), marked or bool(m), foreign or bool(m & FOREIGN))
+    if not marks:
+        return marks, set()
+    chars = _chars(nodes)
+    every, firm = dict.fromkeys(nodes, 0.0), dict.fromkeys(nodes, 0.0)
+    mains, articles = set(), set()
+    plain, own_article = 0.0, False
+    for node in reversed(nodes):
+        inside, marked, foreign = within[node]
+        if text := _paragraph(node):
+            n, links = chars[node]
+            w = _worth(text) * (1 - links / n)
+            every[node] += w
+            if not foreign:
+                firm[node] += w
+                own_article = own_article or inside
+            if not marked:
+                plain += w
+        if node.parent is not None:
+            every[node.parent] += every[node]
+            firm[node.parent] += firm[node]
+            if node.tag == "main" or node in mains:
+                mains.add(node.parent)
+            if node.tag == "article" or node in articles:
+                articles.add(node.parent)
+    out = set()
+    for node, m in marks.items():
+        if node in mains:
+            out.add(node)
+        elif m & FOREIGN or within[node][2]:
+            if not own_article and every[node] > every[root] / 2:
+                out.add(node)
+        elif firm[node] > firm[root] / 2 or node in articles and not within[node][0] and firm[node] >= plain:
+            out.add(node)
+    return marks, out
+
+
+def prune(root: Node) -> None:
+    """Take dropped nodes out of the tree, then marked ones; of a wrapper only what is marked below it."""
+    _remove(root, _dropped)
+    marks, wrappers = _wrappers(root)
+    if marks:
+        _remove(root, lambda c, _: c in marks and c not in wrappers)
+
+
 def blocks(node: Node) -> list[str]:
     """Texts of the blocks below a node, white space turned into single spaces, in page order."""
     out: list[str] = []
@@ -194,19 +268,35 @@ def _order(root: Node) -> list[Node]:
     return out
 
 
-def scores(root: Node) -> tuple[dict[Node, float], dict[Node, tuple[int, int]]]:
-    """Discounted points of every ancestor of a paragraph; characters and link characters of every node."""
-    nodes = _order(root)
+def _chars(nodes: list[Node]) -> dict[Node, tuple[int, int]]:
+    """Characters and link characters of every node; parents come first in nodes."""
     chars: dict[Node, tuple[int, int]] = {}
     for node in reversed(nodes):
         n = sum(len(c.strip()) if isinstance(c, str) else chars[c][0] for c in node.children)
         links = n if node.tag == "a" else sum(chars[c][1] for c in node.children if not isinstance(c, str))
         chars[node] = (n, links)
+    return chars
+
+
+def _paragraph(node: Node) -> str:
+    """Own text of a block that is no heading, else ''."""
+    return _own_text(node) if node.tag in BLOCKS and node.tag not in HEADINGS else ""
+
+
+def _worth(text: str) -> float:
+    """Points of a paragraph."""
+    return 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+
+
+def scores(root: Node) -> tuple[dict[Node, float], dict[Node, tuple[int, int]]]:
+    """Discounted points of every ancestor of a paragraph; characters and link characters of every node."""
+    nodes = _order(root)
+    chars = _chars(nodes)
     points: dict[Node, float] = {}
     for node in nodes:
-        if node.tag not in BLOCKS or not (text := _own_text(node)) or node.tag in HEADINGS:
+        if not (text := _paragraph(node)):
             continue
-        worth = 1 + text.count(",") + text.count("，") + min(len(text) / 100, 3)
+        worth = _worth(text)
         up, level = node.parent if node.tag not in ("div", "section", "article", "main", "body") else node, 0
         while up is not None and level < 6:
             points[up] = points.get(up, 0) + worth / (1 if level == 0 else 2 if level == 1 else 3 * level)

@@ -32,6 +32,34 @@ PAGES = {
 }
 
 
+LONG = "".join(f"<p>Paragraph {i} of the story, with commas, and enough words to count as prose.</p>" for i in range(4))
+LONG_WANT = "\n\n".join(f"Paragraph {i} of the story, with commas, and enough words to count as prose." for i in range(4))
+SIDE = f"<div class=sidebar><p>{P[0]}</p></div><ul class=menu><li><a href=1>one</a><li><a href=2>two</a></ul>"
+COMMENTS = "<div id=comments><ol class=commentlist>" + 9 * f"<li class=comment><article class=comment-body><p>{P[0]}</p></article>" + "</ol></div>"
+
+#: A node with a sign word, or a form, around the article.
+WRAPPED = {
+    "genesis": (f"<body><div class=content-sidebar-wrap><main><article>{LONG}</article></main>{SIDE}</div></body>", LONG_WANT),
+    "article": (f"<body><div class=content-sidebar-wrap><article>{LONG}</article>{SIDE}</div></body>", LONG_WANT),
+    "in main": (f"<main><div class=sidebar-layout><article>{LONG}</article>{SIDE}</div></main>", LONG_WANT),
+    "points": (f"<body><div class=page-search-results><div id=text>{LONG}</div>{SIDE}</div></body>", LONG_WANT),
+    "form": (f"<body><form id=aspnetForm><input name=x><div class=page>{LONG}</div>{SIDE}<select><option>a</select></form></body>", LONG_WANT),
+    "form main": (f"<body><form><main>{ARTICLE}<div class=share><p>Share</p></div></main><p>{P[2]}</p></form></body>", WANT),
+    "nested": (f"<body><form><div class=modal-page><div class=banner-wrap>{LONG}</div></div>{SIDE}</form></body>", LONG_WANT),
+    "short article": (f"<div class=content-sidebar-wrap><article>{ARTICLE}</article></div>{COMMENTS}", WANT),
+    "long comments": (f"<main>{ARTICLE}{COMMENTS}</main>", WANT),
+    "comments of divs": (f"<div id=content>{ARTICLE}</div>{COMMENTS.replace('article', 'div')}", WANT),
+    "related cards": (f"<div id=content>{LONG}</div><div class=sidebar><article><p>{P[0]}</p></article></div>", LONG_WANT),
+    "long ad": (f"<article><p>{P[2]}</p><div class=ad><p>{P[0]}</p></div></article>", P[2]),
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_marked_wrapper(name):
+    html, want = WRAPPED[name]
+    assert main_text(html) == want
+
+
 @pytest.mark.parametrize("name", PAGES)
 def test_page(name):
     html, want = PAGES[name]
