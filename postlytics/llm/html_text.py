@@ -3,7 +3,7 @@
 Paragraphs pass points for their length and commas to their ancestors, full to the parent, half
 to its parent and less further up; an ancestor's sum is discounted by the share of its text that
 lies in links.  The best container is kept, with those of its siblings that score near it or
-read as prose; where it lies in an article or main element, that element is the container.
+have text that is not mostly links, and the bare text between them; where it lies in an article or main element, that element is the container.
 Nodes marked by their class, id or role as something else, and forms, go before that, but a marked
 node that wraps the article stays and only what is marked below it goes.
 """
@@ -327,15 +327,23 @@ def main_text(html: str | None) -> str:
     if best.parent is None or best.tag in ("body", "html", "#root"):
         return "\n\n".join(blocks(best))
     out: list[str] = []
+    run = Node("p", {}, None)  # text and inline nodes between the siblings that are blocks
+
+    def end() -> None:
+        n = sum(len(c.strip()) if isinstance(c, str) else chars[c][0] for c in run.children)
+        if n and sum(chars[c][1] for c in run.children if not isinstance(c, str)) / n < 0.25:
+            out.extend(blocks(run))
+        run.children = []
+
     for c in best.parent.children:
-        if isinstance(c, str):
+        if isinstance(c, str) or c.tag not in BLOCKS and c is not best:
+            run.children.append(c)
             continue
+        end()
         n, links = chars[c]
-        density = links / n if n else 0
-        near = got.get(c, 0) >= 0.2 * got[best]
-        prose = c.tag in ("p", "pre", "blockquote", *HEADINGS) and n and density < 0.25
-        if c is best or near or prose:
+        if c is best or got.get(c, 0) >= 0.2 * got[best] or n and links / n < 0.25:
             out += blocks(c)
+    end()
     return "\n\n".join(out)
 
 

@@ -60,6 +60,25 @@ def test_marked_wrapper(name):
     assert main_text(html) == want
 
 
+BOX = f"<div><p>{'a word, ' * 10}{'and more words ' * 30}</p></div>"
+BOX_WANT = ("a word, " * 10 + "and more words " * 30).strip()
+
+#: Siblings of the best block in a page without article or main.
+SIBLINGS = {
+    "short block": (f"<div id=content>{BOX}<div><p>Short closing line.</p></div></div>", BOX_WANT + "\n\nShort closing line."),
+    "list and table": (f"<div id=content><ul><li>one<li>two</ul>{BOX}<table><tr><td>a<td>b</table></div>", f"one\n\ntwo\n\n{BOX_WANT}\n\na\n\nb"),
+    "bare text": (f"<div id=content>Lead with a <b>bold</b> word.{BOX} The <a href=x>end</a> of this story.</div>",
+                  f"Lead with a bold word.\n\n{BOX_WANT}\n\nThe end of this story."),
+    "links": (f"<div id=content><a href=1>one</a> | <a href=2>two</a>{BOX}<ul><li><a href=3>three</a></ul><div></div></div>", BOX_WANT),
+}
+
+
+@pytest.mark.parametrize("name", SIBLINGS)
+def test_siblings_of_the_best_block(name):
+    html, want = SIBLINGS[name]
+    assert main_text(html) == want
+
+
 @pytest.mark.parametrize("name", PAGES)
 def test_page(name):
     html, want = PAGES[name]
