@@ -2,13 +2,15 @@
 
 Each partition's documents form one token stream in the order the partition holds them.  Cuts
 are chosen at document and sentence ends (free, or at a small price) or inside a sentence (at a
-higher price), so that padding plus penalties is least.  A window of L tokens is padded to
+higher price, every STEP tokens from its start; at every place of the last two windows of a
+partition), so that padding plus penalties is least.  A window of L tokens is padded to
 `window` unless L is a power of two, so a cut at position p costs
 
     cost[p] = price(p) + SEQUENCE + min( min over p - window <= q < p of cost[q] + q  + window - p,
                                          min over k of cost[p - 2**k] )
 
-The first minimum is over a sliding window and kept in a monotone queue.  No shuffle: a
+where p and all q are such places and 2**k takes every power of two from 1 to `window`.  The
+first minimum is over a sliding window and kept in a monotone queue.  No shuffle: a
 partition is packed as it streams by, in blocks that bound memory; the last windows of a block
 are planned again with the next one.
 """
@@ -31,8 +33,8 @@ from postlytics.llm.common import pick, worker_cache
 
 #: Prices in units of one padding token: a cut at a sentence end, a cut inside a sentence, a sequence.
 SENTENCE, INSIDE, SEQUENCE = 2, 12, 1
-#: Inside a sentence a cut is possible after so many tokens; the shortest unpadded sequence but at the end.
-STEP, SHORTEST = 32, 64
+#: Inside a sentence a cut is possible after so many tokens.
+STEP = 32
 #: Tokens planned at once, and words kept with their ids by a Python worker.
 BLOCK, KEPT_WORDS = 1 << 19, 1_000_000
 #: Fixed value: the split pattern of byte-level tokenizers.
@@ -172,28 +174,30 @@ def candidates(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, tail: in
     return pos, price[pos]
 
 
-def plan_cuts(pos: np.ndarray, price: np.ndarray, window: int, shortest: int = 1, tail: int = 0) -> list[int]:
+def plan_cuts(pos: np.ndarray, price: np.ndarray, window: int) -> list[int]:
     """The cheapest ascending cuts from 0 to pos[-1], no two further apart than `window`.
 
-    `pos` must have no gap over `window`.  A sequence may be unpadded at a power of two of at
-    least `shortest` tokens, in the last `tail` tokens at any power.  Ties take the earliest
-    start of the last sequence.
+    `pos` must have no gap over `window`.  A sequence may be unpadded at any power of two.  Ties
+    take the earliest start of the last sequence if it is padded, else its shortest length.
     """
-    inf = float("inf")
     n = int(pos[-1]) if len(pos) else 0
-    at = [inf] * (n + 1)
+    at = [0] * (n + 1)
     back = [0] * (n + 1)
-    at[0] = 0
     queue: deque[tuple[float, int]] = deque([(0, 0)])  # (cost[q] + q, q), ascending in both
-    every = [1 << k for k in range(window.bit_length()) if 1 << k <= window]
-    powers = [x for x in every if x >= shortest]
-    for p, pay in zip(pos.tolist(), price.tolist()):
+    possible = np.zeros(n + 1, dtype=bool)
+    possible[0] = True
+    possible[pos] = True
+    fits = np.zeros(len(pos), dtype=np.int64)  # bit k: a sequence of 2**k tokens may end here
+    for k in range(window.bit_length()):
+        fits |= (possible[np.maximum(pos - (1 << k), 0)] & (pos >= 1 << k)).astype(np.int64) << k
+    lengths: dict[int, list[int]] = {}
+    for bits in np.unique(fits).tolist():
+        lengths[bits] = [1 << k for k in range(bits.bit_length()) if bits >> k & 1]
+    for p, pay, bits in zip(pos.tolist(), price.tolist(), fits.tolist()):
         while queue[0][1] < p - window:
             queue.popleft()
         best, q = queue[0][0] + window - p, queue[0][1]
-        for L in powers if p <= n - tail else every:
-            if L > p:
-                break
+        for L in lengths[bits]:
             if at[p - L] < best:
                 best, q = at[p - L], p - L
         at[p] = cost = best + pay + SEQUENCE
@@ -239,7 +243,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 1024, end_id: int =
             ids = np.concatenate([h[1] for h in held])
             doc_ends = np.cumsum([len(h[1]) for h in held])
             tail = 2 * window if final else 0
-            cuts = plan_cuts(*candidates(ids, doc_ends, enc.ends, tail), window, SHORTEST, tail)
+            cuts = plan_cuts(*candidates(ids, doc_ends, enc.ends, tail), window)
             if not final:  # the last windows meet more text: plan them again
                 cuts = [c for c in cuts if c <= len(ids) - 8 * window]
             out: list[list] = [[], [], [], [], [], [], [], []]

@@ -100,3 +100,21 @@ def test_plan_is_the_cheapest(seed):
     cost = sum(at[c] + packing.SEQUENCE + (0 if (c - b) & (c - b - 1) == 0 else window - (c - b)) for b, c in zip([0, *cuts], cuts))
     assert cuts[-1] == 200 and all(0 < c - b <= window for b, c in zip([0, *cuts], cuts))
     assert cost == cheapest(pos, price, window)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_packed_plan_is_the_cheapest(make_docs, seed):
+    rnd = random.Random(seed)
+    texts = [" ".join(rnd.choice(["a", "bc", "x.", "y!", "word"]) for _ in range(rnd.randrange(1, 90))) for _ in range(40)]
+    docs = make_docs(texts).coalesce(1)
+    enc = packing.Encoder(PATH)
+    ids = [np.append(x, np.uint32(0)) for x in enc.encode(texts)]
+    window, ends = 128, np.cumsum([len(x) for x in ids])
+    pos, price = packing.candidates(np.concatenate(ids), ends, enc.ends, 2 * window)
+    at = dict(zip(pos.tolist(), price.tolist()))
+    sizes = {}
+    for r in packing.pack(docs, PATH, window=window).collect():
+        sizes[r.sequence_id] = sizes.get(r.sequence_id, 0) + r.length
+    cuts = np.cumsum([sizes[k] for k in sorted(sizes)]).tolist()
+    cost = sum(at[c] + packing.SEQUENCE + (0 if (c - b) & (c - b - 1) == 0 else window - (c - b)) for b, c in zip([0, *cuts], cuts))
+    assert cost == cheapest(pos, price, window)
