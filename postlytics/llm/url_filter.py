@@ -18,7 +18,7 @@ from postlytics.llm.common import pick, written
 #: (host and path, verdict) of the production query.
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"),
          ("com/fr/", "allow"), ("com/de/", "block"))
-#: The trees learn from about so many labelled URLs, drawn by hash of the URL and row id.
+#: The trees learn from about so many labelled URLs, drawn by hash of the URL and row id: up to half of each label.
 TRAIN_ROWS = 20_000
 #: Pseudo-count of a suffix's block rate.
 PRIOR = 20.0
@@ -98,8 +98,9 @@ def fit(rows: DataFrame, train_rows: int = TRAIN_ROWS, trees: int = 10, depth: i
     n, blocked = labelled.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not n or blocked in (0, n):
         return stats, "block" if n and blocked == n else "allow"
-    share = min(1.0, train_rows / n)
-    drawn = labelled.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    below = [int(min(1.0, train_rows / 2 / k) * (1 << 20)) + 1 for k in (n - blocked, blocked)]
+    drawn = labelled.where(F.pmod(F.xxhash64("url", "page_id"), F.lit(1 << 20))
+                           < F.when(F.col("label") == 1, below[1]).otherwise(below[0]))
     train = _assembler().transform(_with_suffixes(drawn, stats)).select("features", "label")
     train = written(train.repartition(4), "url-train")
     if train.select("label").distinct().count() < 2:
@@ -113,7 +114,9 @@ def judge_urls(pages: DataFrame, rules=RULES, train_rows: int = TRAIN_ROWS) -> D
     """page_id, host, path, rule, verdict, block_score per row of pages.
 
     The longest fitting rule decides; else the trees, `block` above a probability of one half
-    (block_score, null where a rule decided or there are no trees).  Null URLs and URLs without
+    (block_score, null where a rule decided or there are no trees).  The trees learn from about
+    `train_rows` / 2 URLs of each label, all if fewer, so a rare label is learnt too; block_score
+    is a probability by the shares of that sample.  Null URLs and URLs without
     :// have an empty host and path, fit no rule and are judged by their features.  Repeated
     rows are judged alike; an empty table gives no rows.  Rules are a short parameter list; a
     rule must have a '/'.

@@ -59,6 +59,15 @@ def test_trees_learn_from_the_labelled_urls(spark):
     assert [got[240].rule, got[241].rule] == [None, None]
 
 
+def test_a_rare_label_is_learnt(spark):
+    good = [f"http://news{i % 9}.good.org/story-{chr(97 + i % 26)}{i}" for i in range(4000)]
+    bad = [f"http://x{i}-{i * 7919 % 1000}.bad.com/{i * 31337}/{i * 271}?a={i}&b={i}&c={i}&id={i * 99991}" for i in range(4)]
+    new = ["http://press.other.net/story-q1", "http://y9-77.other.net/77123/812?a=1&b=2&c=3&id=812831"]
+    rules = (("org/", "allow"), ("com/", "block"))
+    got = {r.page_id: r for r in url_filter.judge_urls(pages(spark, good + bad + new), rules, train_rows=40).collect()}
+    assert got[4004].block_score is not None and [got[4004].verdict, got[4005].verdict] == ["allow", "block"]
+
+
 def test_one_kind_of_label_none_and_an_empty_table(spark):
     assert [r.verdict for r in url_filter.judge_urls(pages(spark, ["http://a.org/x", "http://b.net/y"])).collect()] == ["allow"] * 2
     only = url_filter.judge_urls(pages(spark, ["http://a.com/x", "http://b.net/y"]), (("com/", "block"),))
