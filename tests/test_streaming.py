@@ -62,3 +62,18 @@ def test_stream_days_do_not_depend_on_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == _batch_daily(spark)
+
+
+def test_posts_without_an_id_are_copies_only_if_equal(spark, workdir):
+    posts = fixtures.posts(spark, SF001).limit(1)
+    rows = [r.asDict(True) | {"tweet_id": None, "text": t} for r in posts.collect() for t in ("good one", "bad one", "good one")]
+    for batch in (1, 2):  # landed by two pulls
+        spark.createDataFrame(rows, posts.schema).write.json(f"{workdir}/in/batch={batch}/author_bucket=0")
+    for mode in ("complete", "append"):
+        target, ckpt = scratch_path(spark, "t_daily"), scratch_path(spark, "t_ckpt")
+        if mode == "append":  # a later post closes the day
+            late = rows[0] | {"tweet_id": 1, "created_at": str(int(rows[0]["created_at"]) + 10 * 86_400_000)}
+            spark.createDataFrame([late], posts.schema).write.json(f"{workdir}/in/batch=3/author_bucket=0")
+        jobs.daily_sentiment_stream(spark, f"{workdir}/in", target, ckpt, mode=mode)
+        got = [r.total_count for r in spark.read.parquet(target).collect()]
+        assert got == [2]
