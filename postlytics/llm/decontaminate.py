@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -113,26 +114,62 @@ def _merged(flat: list[int]) -> list[int]:
     return out
 
 
+def _index(texts: DataFrame, block: list[tuple[str, bytes]]):
+    """The broadcast index of a block of windows, by how rare their words are in the texts."""
+    context = texts.sparkSession.sparkContext
+    vocabulary = context.broadcast({x for _, v in block for x in v.split(b" ")})
+    counts = texts.mapInArrow(_counter(vocabulary), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    rarity = {bytes(r.word): r.n for r in counts.toLocalIterator()} if block else {}
+    vocabulary.destroy()
+    return context.broadcast(build_index(block, rarity))
+
+
+def _merge_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        spans = [_merged([x for part in row for x in part]) for row in b.column("spans").to_pylist()]
+        found = [sorted({x for part in row for x in part}) for row in b.column("found").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [b.column("row_key"), pa.array(spans, pa.list_(pa.int32())), pa.array(found, pa.list_(pa.string()))],
+            names=["row_key", "spans", "found"])
+
+
 def _probed(rows: DataFrame, items: DataFrame, window: int, block_bytes: int, keep_text: bool) -> DataFrame:
-    """rows (with `text`) and n_words, spans, found; without text unless it is to be kept."""
-    spark = rows.sparkSession
+    """rows (with `text`) and n_words, spans, found; without text unless it is to be kept.
+
+    Windows of more than one block: rows are written once with a key, each block's hits are written
+    and its index destroyed before the next is built, and hits are merged by key.
+    """
     w = written(item_windows(items, window), "benchmark-windows")
     total = w.agg(F.sum(F.octet_length("words") + F.octet_length("item") + 64)).first()[0] or 0
     blocks = max(1, -(-total // block_bytes))
-    texts, rest = rows.select("text"), [f"`{c}` {k}" for c, k in rows.dtypes if c != "text"]
-    rows = rows.withColumns({"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"),
-                             "found": F.array().cast("array<string>")})
+    none = {"n_words": F.lit(0).cast("long"), "spans": F.array().cast("array<int>"), "found": F.array().cast("array<string>")}
+
+    def windows(k: int) -> list[tuple[str, bytes]]:
+        return [(r.item, bytes(r.words)) for r in w.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k).toLocalIterator()]
+
+    def probe(d: DataFrame, index, with_text: bool) -> DataFrame:
+        kept = [f"`{c}` {t}" for c, t in d.dtypes if with_text or c != "text"]
+        return d.withColumns(none).mapInArrow(
+            _prober(index, with_text), ", ".join([*kept, "n_words bigint", "spans array<int>", "found array<string>"]))
+
+    if blocks == 1:
+        return probe(rows, _index(rows.select("text"), windows(0)), keep_text)
+    rows = written(rows.withColumn("row_key", F.monotonically_increasing_id()), "benchmark-rows")
+    texts = rows.select("row_key", "text")
+    hits = []
     for k in range(blocks):
-        block = [(r.item, bytes(r.words)) for r in
-                 w.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == k).toLocalIterator()]
-        vocabulary = spark.sparkContext.broadcast({x for _, v in block for x in v.split(b" ")})
-        counts = texts.mapInArrow(_counter(vocabulary), "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-        rarity = {bytes(r.word): r.n for r in counts.toLocalIterator()} if block else {}
-        index = spark.sparkContext.broadcast(build_index(block, rarity))
-        with_text = keep_text or k < blocks - 1
-        rows = rows.mapInArrow(_prober(index, with_text), ", ".join(
-            [*rest, *["text string"] * with_text, "n_words bigint", "spans array<int>", "found array<string>"]))
-    return rows
+        if not (block := windows(k)):
+            continue
+        index = _index(texts.select("text"), block)
+        found = probe(texts, index, False).where(F.size("spans") > 0)
+        hits.append(written(found.select("row_key", "spans", "found"), "benchmark-hits"))
+        index.destroy()
+    every = reduce(DataFrame.union, hits).groupBy("row_key").agg(
+        F.collect_list("spans").alias("spans"), F.collect_list("found").alias("found"))
+    merged = written(every.mapInArrow(_merge_hits, "row_key bigint, spans array<int>, found array<string>"), "benchmark-hits")
+    nothing = rows.sparkSession.sparkContext.broadcast(({}, []))
+    sized = probe(rows, nothing, keep_text).drop("spans", "found").join(merged, "row_key", "left")
+    return sized.withColumns({c: F.coalesce(c, none[c]) for c in ("spans", "found")}).drop("row_key")
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -141,8 +178,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
     Null and empty texts have no words and no hit; repeated rows each get their row; items with
     equal text or id are found under each id once.  No items: nothing is contaminated.  Windows
-    are dealt by hash into blocks of about `block_bytes`; each block is broadcast in turn and
-    the documents stream through all of them in one scan, so a benchmark of any size works.
+    are dealt by hash into blocks of about `block_bytes`; one block at a time is on the driver and
+    broadcast.  Each block scans the texts twice, for rarity and for hits, so time grows with the
+    benchmark, the memory for windows does not.
     """
     rows = _probed(pick(docs, "doc_id", "text"), items, window, block_bytes, keep_text=False)
     hit = F.aggregate(F.sequence(F.lit(0), F.size("spans") - 1), F.lit(0).cast("long"),
@@ -152,7 +190,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of docs, all columns, that hold no benchmark window; no shuffle of the texts."""
+    """The rows of docs, all columns, that hold no benchmark window; texts are shuffled only if
+    there is more than one block and the rows that have hits are too many to broadcast."""
     rest = [c for c in docs.columns if c != "text"]
     rows = docs.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(rest)], "text")
     clean = _probed(rows, items, window, block_bytes, keep_text=True).where(F.size("spans") == 0)

@@ -65,3 +65,20 @@ def test_drop_and_empty_tables(spark, make_docs):
     assert decontaminate.contamination(make_docs([]), items).count() == 0
     none = decontaminate.contamination(docs, items.limit(0))
     assert none.where("contaminated or n_hit > 0").count() == 0 and none.count() == len(DOCS)
+
+
+def test_blocks_run_one_after_another(spark, make_docs, monkeypatch):
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    build, events = decontaminate.build_index, []
+    kind = type(spark.sparkContext.broadcast(0))
+    destroy = kind.destroy
+    monkeypatch.setattr(decontaminate, "build_index", lambda *a: events.append("built") or build(*a))
+    monkeypatch.setattr(kind, "destroy", lambda self, *a: events.append("freed") or destroy(self, *a))
+    docs = make_docs(DOCS, extra=True, partitions=3)
+    got = decontaminate.contamination(docs, items, block_bytes=200)
+    # of each block the words are freed, the index built, used and freed before the next
+    assert len(events) > 6 and events == ["freed", "built", "freed"] * (len(events) // 3)
+    assert digested(got) == brute(DOCS, ITEMS)
+    clean = decontaminate.drop_contaminated(docs, items, block_bytes=200)
+    assert clean.columns == docs.columns
+    assert sorted(clean.collect(), key=repr) == sorted(decontaminate.drop_contaminated(docs, items).collect(), key=repr)
