@@ -8,15 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlytics.llm import (decontaminate, html_text, langid, packing, pfp_dedup, quality_mcd, sharding, simhash,
-                            token_cache, url_filter)
+from postlytics.llm import (decontaminate, html_text, langid, packing, pfp_dedup, prefix_trie, quality_mcd, quality_pu,
+                            sharding, simhash, token_cache, url_filter, whitening)
 from postlytics.session import scratch_path
 from postlytics.sources.tables import table
 
 
-def held_out() -> F.Column:
-    """Whether crc32 of the doc_id as text leaves 1 when divided by 3 (a null doc_id: no)."""
-    return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 1, F.lit(False))
+def held_out(parts: int = 3, part: int = 1) -> F.Column:
+    """Whether crc32 of the doc_id as text leaves `part` when divided by `parts` (a null doc_id: no)."""
+    return F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % parts == part, F.lit(False))
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,6 +67,19 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_pu.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out(5, 0))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_language_id, op2_token_counts, op3_url_filter, op4_html_text, op5_packing, op6_simhash,
-                            op7_quality, op8_suffix_dedup, op9_sharding, op10_decontamination)}
+                            op7_quality, op8_suffix_dedup, op9_sharding, op10_decontamination, op11_whitening,
+                            op12_quality_classifier, op13_prefix_trie)}
