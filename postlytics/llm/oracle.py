@@ -53,8 +53,8 @@ own AS (
 ),
 heads AS (
   SELECT conv_id, seq, xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(
-           range(1, length(conv_id::VARCHAR) + 1), i -> [ascii(conv_id::VARCHAR[i]) + 1000, 0, 0, 0, 0, 0, 0, 0, 0]))),
-           (crc, op) -> CASE WHEN op >= 1000 THEN xor(crc, op - 1000)
+           range(1, length(conv_id::VARCHAR) + 1), lambda i: [ascii(substr(conv_id::VARCHAR, i::INT, 1)) + 1000, 0, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda crc, op: CASE WHEN op >= 1000 THEN xor(crc, op - 1000)
                              ELSE xor(crc >> 1, (crc & 1) * 3988292384) END)) % 4 AS h
   FROM own
 ),
@@ -63,7 +63,7 @@ built AS (
   FROM heads c LEFT JOIN own g ON g.conv_id = c.conv_id - c.conv_id % 20
 ),
 pre AS (
-  SELECT conv_id, d, len(seq) AS m, array_to_string(list_transform(seq[1:d], x -> x.k), '') AS path,
+  SELECT conv_id, d, len(seq) AS m, array_to_string(list_transform(seq[1:d], lambda x: x.k), '') AS path,
          CASE WHEN d > 0 THEN seq[d].n ELSE 0 END AS words
   FROM built, unnest(range(0, len(seq) + 1)) u(d)
 ),
