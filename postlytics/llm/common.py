@@ -29,6 +29,22 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     return safe.select(*[F.col(f"c{at[n]}").alias(n) for n in names])
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, dict[str, str]]:
+    """df with its columns named __0, __1, ... by position, and the new name of each wanted one.
+
+    Found as by `pick`, so a stage can carry all columns of a table, whatever they are called,
+    beside helpers of its own; `restored` names them as before.
+    """
+    pick(df, *names)
+    at = {n: f"__{df.columns.index(n)}" for n in names}
+    return df.toDF(*[f"__{i}" for i in range(len(df.columns))]), at
+
+
+def restored(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The columns __0, __1, ... of df under the names and in the order of `like`."""
+    return df.select(*[f"__{i}" for i in range(len(like.columns))]).toDF(*like.columns)
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

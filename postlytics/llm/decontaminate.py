@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import pick, written
+from postlytics.llm.common import numbered, pick, restored, written
 
 #: Consecutive item words of a window; bytes of windows that are broadcast at a time.
 WINDOW, BLOCK_BYTES = 10, 32 << 20
@@ -191,9 +191,11 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, block
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, all columns, that hold no benchmark window; texts are shuffled only if
-    there is more than one block and the rows that have hits are too many to broadcast."""
-    rest = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(rest)], "text")
+    there is more than one block and the rows that have hits are too many to broadcast.
+
+    Null and empty texts hold none and stay, of repeated rows all stay or go, other columns may
+    have any name.  An empty table, or one of items, is left as it is."""
+    rows, at = numbered(docs, "text")
+    rows = rows.withColumnRenamed(at["text"], "text")
     clean = _probed(rows, items, window, block_bytes, keep_text=True).where(F.size("spans") == 0)
-    at = {c: f"__{i}" for i, c in enumerate(rest)} | {"text": "text"}
-    return clean.select(*[F.col(at[c]).alias(c) for c in docs.columns])
+    return restored(clean.withColumnRenamed("text", at["text"]), docs)

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import pick, worker_cache, written
+from postlytics.llm.common import numbered, pick, restored, worker_cache, written
 
 #: Bytes of a repeated string, of a trigger gram; window starts handled at once in a long text.
 LENGTH, GRAM, CHUNK = 400, 100, 1 << 18
@@ -253,21 +253,26 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        out = []
-        for text, flat in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
-            if text is not None and flat:
-                body = text.encode("utf-8", "surrogatepass")
-                text = cut(body, whole_characters(body, merged(flat))).decode("utf-8", "surrogatepass")
-            out.append(text)
-        rest = [c for c in b.schema.names if c not in ("text", "spans")]
-        yield pa.RecordBatch.from_arrays([*map(b.column, rest), pa.array(out, pa.string())], names=[*rest, "text"])
+def _cut_texts(at: str, min_words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for text, flat in zip(b.column(at).to_pylist(), b.column("spans").to_pylist()):
+                if text is not None and flat:
+                    body = text.encode("utf-8", "surrogatepass")
+                    spans = whole_characters(body, merged(flat))
+                    if min_words:
+                        spans = [(lo, hi) for lo, hi in spans if len(body[lo:hi].split()) >= min_words]
+                    text = cut(body, spans).decode("utf-8", "surrogatepass")
+                out.append(text)
+            names = [c for c in b.schema.names if c != "spans"]
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == at else b.column(c) for c in names], names=names)
+
+    return run
 
 
-def _with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    return (rows.withColumn("__key", text_key()).join(spans.withColumnRenamed("key", "__key"), "__key", "left")
-            .drop("__key"))
+def _with_spans(rows: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
+    return rows.withColumn("key", text_key(text)).join(spans, "key", "left").drop("key")
 
 
 def removed_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -281,16 +286,21 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> Da
         _digests, f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, min_words: int = 0) -> DataFrame:
     """docs with the repeated strings cut out of `text`; all rows and columns stay, n_chars (if
-    there) is counted anew.  A character that a span holds only in part stays whole.  Null texts
-    stay null; a text that is nothing but repeats becomes empty."""
-    rest = [c for c in docs.columns if c != "text"]
-    rows = docs.select("text", *[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(rest)])
-    kinds = dict(rows.dtypes)
-    out = _with_spans(rows, repeated_spans(docs, length, gram)).mapInArrow(
-        _cut_texts, ", ".join(f"`__{i}` {kinds[f'__{i}']}" for i in range(len(rest))) + (", " if rest else "") + "text string")
-    named = {c: F.col(f"__{i}") for i, c in enumerate(rest)} | {"text": F.col("text")}
-    if "n_chars" in named:
-        named["n_chars"] = F.coalesce(F.length("text"), F.lit(0)).cast(kinds[f"__{rest.index('n_chars')}"])
-    return out.select(*[named[c].alias(c) for c in docs.columns])
+    there) is counted anew.  A character that a span holds only in part stays whole.
+
+    With `min_words`, what overlapping strings cover goes only where it has so many words: a
+    `length` under the bytes of so many words then finds every shared run of them, and shorter
+    runs stay.  Null texts stay null; a text that is nothing but repeats becomes empty, so of
+    copies, and of repeated rows, nothing is left.  Other columns may have any name.  An empty
+    table gives no rows.
+    """
+    rows, at = numbered(docs, "text")
+    text, n_chars = at["text"], f"__{docs.columns.index('n_chars')}" if "n_chars" in docs.columns else None
+    rows = rows.withColumn(text, F.col(text).cast("string"))
+    out = _with_spans(rows, repeated_spans(docs, length, gram), text).mapInArrow(
+        _cut_texts(text, min_words), ", ".join(f"`{c}` {t}" for c, t in rows.dtypes))
+    if n_chars:
+        out = out.withColumn(n_chars, F.coalesce(F.length(text), F.lit(0)).cast(dict(rows.dtypes)[n_chars]))
+    return restored(out, docs)

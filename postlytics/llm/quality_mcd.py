@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import pick, written
+from postlytics.llm.common import numbered, pick, restored, written
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Base rule: fewest words, and most of 100 words that may lie in repeated 3-word windows.
@@ -187,12 +187,17 @@ def quality(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of docs, all columns, that quality() keeps.
 
+    Rows with null, empty or blank text go, whatever their other columns hold; of repeated rows
+    all stay or go; a null language or source is one like others; other columns may have any name.
+    An empty table gives no rows.
+
     Rows are written once with their statistics: estimates read the narrow columns, the verdict
     is taken as the rows are read again, and texts are shuffled only if the estimates of very
     many groups are too large to broadcast.
     """
-    own = [F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(docs.columns)]
-    rows = written(with_statistics(docs.select(*own, "text", "lang", "source")).drop("text"), "quality-rows")
+    own, at = numbered(docs, "text", "lang", "source")
+    rows = own.select("*", *[F.col(c).alias(n) for n, c in at.items()])
+    rows = written(with_statistics(rows).drop("text"), "quality-rows")
     # the row number keeps the optimizer from copying the whole verdict into a filter on the scan
     good = judge(rows, fit(rows)).withColumn("__row", F.monotonically_increasing_id()).where("kept and __row >= 0")
-    return good.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return restored(good, docs)

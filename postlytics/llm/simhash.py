@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import pick, written
+from postlytics.llm.common import numbered, pick, restored, written
 from postlytics.llm.components import connected_components
 
 #: Shingle length and bits of the production query.
@@ -147,14 +147,18 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
 
 def keep_one(docs: DataFrame, words: int = WORDS, distance: int = DISTANCE, segments: int = 3) -> DataFrame:
     """The rows of docs, all columns, of one document per component: the smallest doc_id
-    (null last), then the smallest text hash; of identical (doc_id, text) rows one stays."""
+    (null last), then the smallest text hash; of rows with equal doc_id and text one stays.
+
+    Null, empty and blank texts are one group; other columns may have any name and decide nothing.
+    An empty table gives no rows."""
     n = near_duplicates(docs, words, distance, segments)
     key = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("text_hash").alias("h"))
     keep = (n.groupBy("component").agg(F.min(key).alias("k"))
-            .select(F.coalesce(F.col("k.d").cast("string"), F.lit("null")).alias("__id"),
-                    F.coalesce(F.col("k.h"), F.lit(0)).alias("__hash")).distinct())
-    marked = docs.withColumns({
-        "__id": F.coalesce(F.col("doc_id").cast("string"), F.lit("null")),
-        "__hash": F.coalesce(F.when(F.col("text").isNotNull(), F.xxhash64("text")), F.lit(0))})
-    return (marked.join(keep, ["__id", "__hash"], "left_semi")
-            .dropDuplicates(["__id", "__hash"]).drop("__id", "__hash"))
+            .select(F.coalesce(F.col("k.d").cast("string"), F.lit("null")).alias("id"),
+                    F.coalesce(F.col("k.h"), F.lit(0)).alias("hash")).distinct())
+    rows, at = numbered(docs, "doc_id", "text")
+    text = F.col(at["text"])
+    marked = rows.withColumns({
+        "id": F.coalesce(F.col(at["doc_id"]).cast("string"), F.lit("null")),
+        "hash": F.coalesce(F.when(text.isNotNull(), F.xxhash64(text)), F.lit(0))})
+    return restored(marked.join(keep, ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"]), docs)

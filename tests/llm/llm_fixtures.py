@@ -11,7 +11,8 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text"
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("n_chars", T.LongType())])
 #: Columns named like outputs and helpers of the operators.
-EXTRA = ["key", "fp", "kept", "n_words", "spans", "component", "shard", "host", "score", "grp", "w", "suffix", "digest", "slot"]
+EXTRA = ["key", "fp", "kept", "n_words", "spans", "component", "shard", "host", "score", "grp", "w", "suffix", "digest", "slot",
+         "DOC_ID", "TEXT", "Lang", "__id", "__0", "id", "hash", "text "]
 
 
 @pytest.fixture()
@@ -22,6 +23,6 @@ def make_docs(spark):
         rows = [(*r, *(None,) * (4 - len(r)), len(r[1]) if r[1] is not None else None) for r in rows]
         df = spark.createDataFrame(rows, DOCS)
         if extra:
-            df = df.withColumns({c: F.lit("x") for c in EXTRA})
+            df = df.select(*[F.lit("x").alias(c) for c in EXTRA[:3]], "*", *[F.lit("x").alias(c) for c in EXTRA[3:]])
         return df.repartition(partitions) if partitions else df
     return make
