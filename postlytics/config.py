@@ -64,3 +64,7 @@ RAW_STATE_DEFAULT = 0         # last appended id when an author has no log row
 # --- engine limits (ours) ---
 # folders of a landed pull (author buckets); bounded whatever the number of authors
 LANDING_AUTHOR_BUCKETS = 16
+# low bits of an id that a block of stored ids spans (some hours of ids that hold a time from
+# bit 22 up), and the blocks of a batch that a key lookup names one by one
+ID_BLOCK_BITS = 46
+ID_BLOCKS_NAMED = 512

@@ -7,10 +7,12 @@ task, not one row per post.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlytics import config as C
+from postlytics.session import ensure_checkpoint_dir
 from postlytics.functions.text import (
     count_matches, extract_hashtags, extract_mentions, remove_links, remove_punctuation,
 )
@@ -53,6 +55,56 @@ def calendar_sentiment(enriched: DataFrame) -> DataFrame:
             .orderBy("year", "month", "dayofmonth"))
 
 
+DAY = ("year", "month", "dayofmonth")
+SUMS = ("total_count", "scored", "score_sum", "polar", "polarity_sum")
+
+
+def daily_sums(enriched: DataFrame) -> DataFrame:
+    """Per local day the sums that means are made of; those of two sets of posts add up."""
+    return enriched.groupBy(*DAY).agg(
+        F.count(F.lit(1)).alias("total_count"), F.count("sentiment_score").alias("scored"),
+        F.coalesce(F.sum("sentiment_score"), F.lit(0.0)).alias("score_sum"),
+        F.count(polarity()).alias("polar"), F.coalesce(F.sum(polarity()), F.lit(0.0)).alias("polarity_sum"))
+
+
+def daily_of_sums(sums: DataFrame) -> DataFrame:
+    """The measures of `calendar_sentiment` from stored sums."""
+    return sums.select(*DAY, "total_count",
+                       F.try_divide("score_sum", "scored").alias("avg_sentiment"),
+                       F.try_divide("polarity_sum", "polar").alias("avg_polarity"))
+
+
+def merge_daily(new: DataFrame, path: str, batch_id: int) -> None:
+    """Add the posts of one batch to the daily sums stored at `path`, partitioned by (year, month).
+
+    Only the months that the batch touches are read and written again, late posts' months included.
+    Each row keeps the last batch that went into its month (`upto`): a month that already holds
+    this batch is left as it is, so a repeated call adds nothing.
+    """
+    spark = new.sparkSession
+    ensure_checkpoint_dir(spark)
+    delta = daily_sums(new).withColumn("upto", F.lit(batch_id).cast("long")).checkpoint()     # one row a day
+    months = [(r.year, r.month) for r in delta.select("year", "month").distinct().collect()]
+    if not months:
+        return
+    touched = F.lit(False)
+    for y, m in months:
+        touched = touched | (F.col("year").eqNullSafe(F.lit(y)) & F.col("month").eqNullSafe(F.lit(m)))
+    try:
+        old = spark.read.schema(delta.schema).parquet(path).where(touched)
+    except AnalysisException:                                   # no table yet
+        old = delta.where(F.lit(False))
+    done = old.groupBy("year", "month").agg((F.max("upto") >= batch_id).alias("done")).where("done")
+    fresh = delta.alias("d").join(done.alias("o"), F.col("d.year").eqNullSafe(F.col("o.year"))
+                                  & F.col("d.month").eqNullSafe(F.col("o.month")), "left_anti")
+    todo = fresh.select("year", "month").distinct().withColumnsRenamed({"year": "_y", "month": "_m"})
+    both = old.join(todo, old["year"].eqNullSafe(todo["_y"]) & old["month"].eqNullSafe(todo["_m"]), "left_semi").unionByName(fresh)
+    merged = both.groupBy(*DAY).agg(*[F.sum(c).alias(c) for c in SUMS]).withColumn("upto", F.lit(batch_id).cast("long"))
+    merged = merged.checkpoint()                                # read wholly before its folders are replaced
+    (merged.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("year", "month").parquet(path))
+
+
 def calendar_spine(enriched: DataFrame, days_back: int = 35, end_date=None) -> DataFrame:
     """Every local day of [end - days_back + 1, end] with its count (0 when empty).
 

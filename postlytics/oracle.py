@@ -346,7 +346,7 @@ F_BASE = (POSTS, STATE, LANDED)
 register("src_json_incremental", with_ctes(*F_BASE, body="SELECT tweet_id, author_id, batch FROM landed WHERE batch = 2"))
 register("flt_file_newer", QUERIES["src_json_incremental"])
 register("src_json_direct", with_ctes(*F_BASE, body="""
-SELECT tweet_id, CAST(author_id AS INTEGER) AS author_id, username, CAST(likes AS BIGINT) AS likes, created_at
+SELECT tweet_id, author_id, username, CAST(likes AS BIGINT) AS likes, created_at
 FROM landed WHERE batch = 1"""))
 register("src_json_latest", with_ctes(*F_BASE, body="""
 SELECT l.tweet_id, l.author_id, l.batch FROM landed l
@@ -395,6 +395,26 @@ SELECT CAST(created_at_date AS DATE) AS day, count(*) AS total_count,
        round(avg(sentiment_score), 9) AS avg_sentiment
 FROM enriched GROUP BY 1"""))
 
+register("str_daily_bounded", with_ctes(*BASE, body="""
+, a0 AS (
+  SELECT tweet_id, created_at_date AS ts, CAST(created_at_date AS DATE) AS day, sentiment_score,
+         least((extract(day FROM _ts)::INTEGER - 1) // 5, 5) AS pull FROM enriched),
+arrivals AS (
+  SELECT tweet_id, ts, day, sentiment_score,
+         unnest(CASE WHEN tweet_id % 50 = 7 THEN [pull + 2] WHEN tweet_id % 20 = 3 THEN [pull, pull + 1] ELSE [pull] END) AS pull
+  FROM a0),
+per_pull AS (SELECT pull, max(ts) AS m FROM arrivals GROUP BY pull),
+marks AS (
+  SELECT pull, CAST(max(m) OVER (ORDER BY pull ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DATE) - 2 AS closed
+  FROM per_pull),
+judged AS (SELECT a.*, closed IS NULL OR day >= closed AS on_time FROM arrivals a JOIN marks USING (pull)),
+counted AS (SELECT DISTINCT tweet_id, day, sentiment_score FROM judged WHERE on_time),
+late AS (SELECT day, count(*) AS late_posts FROM judged WHERE NOT on_time GROUP BY day)
+SELECT day, count(*) AS total_count, round(avg(sentiment_score), 9) AS avg_sentiment,
+       coalesce(any_value(late_posts), 0) AS late_posts
+FROM counted LEFT JOIN late USING (day)
+WHERE day < (SELECT CAST(max(ts) AS DATE) - 2 FROM arrivals) GROUP BY day"""))
+
 # ------------------------------------------------------------------ extensions
 EXT = """
 assets AS (
@@ -423,6 +443,16 @@ register("ext_price_asof", with_ctes(POSTS, EXT, body="""
 px AS (SELECT symbol, CAST(price_date AS TIMESTAMP) AS price_time, price FROM prices)
 SELECT m.tweet_id, m.symbol, px.price_time, round(px.price, 9) AS price
 FROM m ASOF LEFT JOIN px ON m.symbol = px.symbol AND m.ts >= px.price_time"""))
+register("ext_price_asof_ticks", with_ctes(POSTS, EXT, body="""
+, m AS (SELECT mn.tweet_id, mn.symbol,
+               to_timestamp(TRY_CAST(p.created_at AS BIGINT) // 1000) AT TIME ZONE 'UTC' AS ts
+        FROM mentions mn JOIN posts p USING (tweet_id)),
+ticks AS (
+  SELECT 'P' || (event_id % 5 + 1) AS symbol,
+         strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS price_time, max(value) AS price
+  FROM events WHERE event_type = 'purchase' GROUP BY 1, 2)
+SELECT m.tweet_id, m.symbol, m.ts, t.price_time, t.price
+FROM m ASOF LEFT JOIN ticks t ON m.symbol = t.symbol AND m.ts >= t.price_time"""))
 register("ext_sentiment_price_corr", with_ctes(*BASE, EXT, body="""
 , em AS (
   SELECT mn.symbol, CAST(e.created_at_date AS DATE) AS day,
@@ -440,3 +470,9 @@ GROUP BY author_id"""))
 
 register("src_report_table", QUERIES["agg_daily_rounded"])
 register("prj_sentiment", QUERIES["sentiment_lexicon"])
+
+register("state_pull_stream", QUERIES["state_pull"])
+register("state_raw_stream", QUERIES["state_raw"])
+register("state_processed_stream", QUERIES["state_processed"])
+register("agg_daily_maintained", QUERIES["agg_calendar_sentiment"])
+register("top_latest_stored", QUERIES["prj_row_number"])

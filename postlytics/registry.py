@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlytics import sinks
-from postlytics.functions.timeparts import epoch_ms_to_seconds, ntz_from_epoch_seconds
+from postlytics.functions.timeparts import epoch_ms_to_seconds, ntz_from_epoch_seconds, parse_timestamp_text
 from postlytics.operators import extensions, filters, reports, sentiment, state
 from postlytics.operators.enrich import add_clean_text, add_date_parts, enrich
 from postlytics.schema import POST_COLUMNS
 from postlytics.session import scratch_path
 from postlytics.sources import files, fixtures, pages
+from postlytics.plans import jobs as plans
 from postlytics.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +53,8 @@ def q_agg_daily_sentiment(spark, sf_dir):
 
 STATE_BEFORE = "2024-01-15"      # first UTC day not loaded yet in the state fixtures
 INCOMING_FROM = "2024-01-10"     # first UTC day of the overlapping second batch
+BATCH1_BEFORE = STATE_BEFORE     # batch 1: UTC days before this
+BATCH2_FROM = INCOMING_FROM      # batch 2: UTC days from this (overlaps batch 1)
 
 
 @query("prj_clean_text")
@@ -134,6 +137,34 @@ def q_prj_series(spark, sf_dir):
     return reports.series(reports.daily_sentiment(enriched_posts(spark, sf_dir)))
 
 
+def _two_batches(spark, sf_dir):
+    """Enriched posts in two batches that overlap by some days; the second also holds late posts."""
+    e, _ = sinks.staged(enriched_posts(spark, sf_dir), "enriched")
+    day, late = F.to_date("created_at_date"), F.col("tweet_id") % 50 == 7
+    return (e.where((day < F.lit(BATCH1_BEFORE).cast("date")) & ~late),
+            e.where((day >= F.lit(BATCH2_FROM).cast("date")) | late))
+
+
+@query("agg_daily_maintained")
+def q_agg_daily_maintained(spark, sf_dir):
+    """Daily sums kept up to date by two overlapping batches, the second one applied twice."""
+    silver, daily = scratch_path(spark, "silver"), scratch_path(spark, "daily")
+    first, second = _two_batches(spark, sf_dir)
+    for k, batch in ((1, first), (2, second), (2, second)):
+        plans.apply_batch(spark, batch, silver, daily, k)
+    return plans.stored_daily(spark, daily).select("year", "month", "dayofmonth", "total_count",
+                                                   r9("avg_sentiment"), r9("avg_polarity"))
+
+
+@query("top_latest_stored")
+def q_top_latest_stored(spark, sf_dir):
+    """The latest posts read back from the newest months of the stored table."""
+    silver = scratch_path(spark, "silver")
+    for batch in _two_batches(spark, sf_dir):
+        sinks.append_new(batch, silver, partition_by=plans.SILVER_PARTITIONS)
+    return plans.latest_report(spark, silver)
+
+
 @query("agg_hashtag_counts")
 def q_agg_hashtag_counts(spark, sf_dir):
     return reports.hashtag_counts(fixtures.posts(spark, sf_dir))
@@ -221,6 +252,37 @@ def q_state_processed(spark, sf_dir):
     return state.processed_state(_authors(p), fixtures.processed_log(p, STATE_BEFORE))
 
 
+@query("state_pull_stream")
+def q_state_pull_stream(spark, sf_dir):
+    """The pull state kept by a stream over the landed files of the days loaded so far."""
+    p = fixtures.posts(spark, sf_dir)
+    root, ckpt = scratch_path(spark, "landing"), scratch_path(spark, "marks")
+    files.land_json(fixtures.loaded_before(p, STATE_BEFORE), root, 1)
+    jobs.marks_stream(jobs.read_landed_stream(spark, root), ckpt, "author_id", "tweet_id", [])
+    return state.pull_state(_authors(p), jobs.stream_marks(spark, ckpt, "author_id", "tweet_id", []))
+
+
+def _log_marks(spark, log, value):
+    """The newest row per author of a log, kept by a stream over the log's files."""
+    path, ckpt = scratch_path(spark, "log"), scratch_path(spark, "marks")
+    sinks.append_log(log, path)
+    stream = spark.readStream.schema(log.schema).parquet(path)
+    jobs.marks_stream(stream, ckpt, "author_id", "date_time", [value])
+    return jobs.stream_marks(spark, ckpt, "author_id", "date_time", [value])
+
+
+@query("state_raw_stream")
+def q_state_raw_stream(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    return state.raw_state(_authors(p), _log_marks(spark, fixtures.insert_log(p, STATE_BEFORE), "id"))
+
+
+@query("state_processed_stream")
+def q_state_processed_stream(spark, sf_dir):
+    p = fixtures.posts(spark, sf_dir)
+    return state.processed_state(_authors(p), _log_marks(spark, fixtures.processed_log(p, STATE_BEFORE), "file_modified_date"))
+
+
 @query("top_latest_state")
 def q_top_latest_state(spark, sf_dir):
     log = fixtures.insert_log(fixtures.posts(spark, sf_dir), STATE_BEFORE)
@@ -311,9 +373,6 @@ def q_join_post_author_orphans(spark, sf_dir):
 
 # ------------------------------------------------------------------ landed files
 
-BATCH1_BEFORE = STATE_BEFORE     # batch 1: UTC days before this
-BATCH2_FROM = INCOMING_FROM      # batch 2: UTC days from this (overlaps batch 1)
-
 
 def _land_batches(spark, sf_dir, overlapping=True):
     p = fixtures.posts(spark, sf_dir)
@@ -494,6 +553,25 @@ def q_str_daily_sentiment(spark, sf_dir):
     return spark.read.parquet(target).select("day", "total_count", r9("avg_sentiment"))
 
 
+@query("str_daily_bounded")
+def q_str_daily_bounded(spark, sf_dir):
+    """Eight pulls of five days, one file and so one trigger each, with posts that come two pulls late
+    and posts that come in two pulls: the closed days, and how many posts of theirs came too late."""
+    day = F.dayofmonth(fixtures.post_day())
+    pull = F.least(F.floor((day - 1) / 5), F.lit(5)).cast("int")
+    pulls = (F.when(F.col("tweet_id") % 50 == 7, F.array(pull + 2)).when(F.col("tweet_id") % 20 == 3, F.array(pull, pull + 1))
+             .otherwise(F.array(pull)))
+    p, _ = sinks.staged(fixtures.posts(spark, sf_dir).withColumn("pulls", pulls), "pulls")
+    root = scratch_path(spark, "landing")
+    for k in range(8):
+        p.where(F.array_contains("pulls", k)).drop("pulls").coalesce(1).write.json(f"{root}/batch={k}/author_bucket=0")
+    target, state, late, ckpt = (scratch_path(spark, f"bounded_{x}") for x in ("days", "state", "late", "ckpt"))
+    jobs.daily_sentiment_bounded(spark, root, target, state, late, ckpt, max_files_per_trigger=1)
+    too_late = spark.read.parquet(late).groupBy("day").agg(F.count(F.lit(1)).alias("late_posts"))
+    return jobs.closed_days(spark, target).join(too_late, "day", "left").select(
+        "day", "total_count", r9("avg_sentiment"), F.coalesce("late_posts", F.lit(0)).alias("late_posts"))
+
+
 # ------------------------------------------------------------------ extensions
 
 
@@ -516,6 +594,16 @@ def q_ext_price_asof(spark, sf_dir):
     return out.select("tweet_id", "symbol", "price_time", r9("price"))
 
 
+@query("ext_price_asof_ticks")
+def q_ext_price_asof_ticks(spark, sf_dir):
+    """The last tick at or before each mention, over all ticks of the symbol."""
+    p = fixtures.posts(spark, sf_dir).withColumn(
+        "ts", ntz_from_epoch_seconds(epoch_ms_to_seconds("created_at")))
+    m = _mentions(spark, sf_dir, p, keep=("ts",)).select("tweet_id", "symbol", "ts")
+    ticks = fixtures.price_ticks(spark, sf_dir).withColumn("price_time", parse_timestamp_text("tick_time"))
+    return extensions.price_asof_ticks(m, ticks).select("tweet_id", "symbol", "ts", "price_time", "price")
+
+
 @query("ext_sentiment_price_corr")
 def q_ext_sentiment_price_corr(spark, sf_dir):
     e = enrich(fixtures.posts(spark, sf_dir)).withColumn("polarity", extensions.polarity())

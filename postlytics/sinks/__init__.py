@@ -2,30 +2,75 @@
 
 Appends are idempotent on the key: rows whose key the target holds are dropped first
 (only keys are read), what is left is reduced to one row per key and appended.
-Re-running a batch appends nothing, and shuffles no text.  A row without a key has no
-identity to be idempotent on: it goes to the quarantine table, where whole rows are
-compared.  An empty batch is a no-op, also as the first one.  One writer per table is assumed (plain Parquet has no
-transactions); the data is written before any state that points past it.
+Re-running a batch appends nothing, and shuffles no text.  The key alone decides: an id that
+comes again with other fields, its date included, is still the same post.  So that a lookup does
+not read all history, tables are clustered by blocks of ids beside their own partitions: ids of
+posts rise with time, a batch touches few blocks, and the folders of all others are pruned.
+A row without a key has no identity to be idempotent on: it goes to the quarantine table, where
+whole rows are compared.  An empty batch is a no-op, also as the first one.  One writer per table
+is assumed (plain Parquet has no transactions); the data is written before any state that points
+past it, and what is replaced as a whole is written beside and then swapped.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postlytics import config as C
 from postlytics.operators.state import dedupe_latest, latest_per_key
+from postlytics.session import scratch_path
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm  # noqa: SLF001
     p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())  # noqa: SLF001
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p  # noqa: SLF001
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
+def _remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df written once as Parquet in the shared scratch folder and read again, and its path: what
+    follows reads columns instead of parsing the source each time."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def recover(spark: SparkSession, path: str) -> str:
+    """Finish a replacement of `path` that a crash cut off: a complete new version beside it takes
+    its place, an incomplete one goes.  Returns the path."""
+    new = path.rstrip("/") + "_next"
+    if _exists(spark, new):
+        if _exists(spark, new + "/_SUCCESS"):
+            _remove(spark, path)
+            fs, p = _fs(spark, new)
+            fs.rename(p, _fs(spark, path)[1])
+        else:
+            _remove(spark, new)
+    return path
+
+
+def replace(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """The table at `path` replaced as a whole, also by rows that are read from it.
+
+    The new version is complete before the old one goes; at no point is there neither (see
+    `recover`, which every later replacement and `read_state` call first).
+    """
+    recover(df.sparkSession, path)
+    df.write.mode("overwrite").format(fmt).save(path.rstrip("/") + "_next")
+    return recover(df.sparkSession, path)
+
+
 def write_json(df: DataFrame, path: str, mode: str = "error") -> str:
     """Records as JSON lines, written once."""
     df.write.mode(mode).json(path)
@@ -38,33 +83,45 @@ def _stored(spark: SparkSession, target: str, like: DataFrame) -> DataFrame | No
     return spark.read.schema(like.schema).parquet(target) if _exists(spark, target) else None
 
 
+BLOCK = "id_block"
+
+
+def id_block(key: str | Column) -> Column:
+    """The block of ids that a key lies in (C.ID_BLOCK_BITS low bits cut off); null if it is no number."""
+    return F.shiftright((F.col(key) if isinstance(key, str) else key).try_cast("bigint"), C.ID_BLOCK_BITS)
+
+
+def known_keys(batch: DataFrame, target: str, key: str = "tweet_id") -> DataFrame | None:
+    """(_key): the stored keys of the blocks that the batch touches, None without a table.
+
+    The batch's blocks are found first, so the folders of all other blocks are pruned as the
+    scan is planned: by name if the batch has up to C.ID_BLOCKS_NAMED, else by their range.
+    """
+    stored = _stored(batch.sparkSession, target, batch)
+    if stored is None:
+        return None
+    if BLOCK in stored.columns:
+        blocks = batch.where(F.col(key).isNotNull()).select(id_block(key).alias("b"))
+        named = [r.b for r in blocks.distinct().limit(C.ID_BLOCKS_NAMED + 1).collect()]
+        if len(named) <= C.ID_BLOCKS_NAMED:
+            touched = F.col(BLOCK).isin([b for b in named if b is not None])
+        else:
+            touched = F.col(BLOCK).between(*blocks.agg(F.min("b"), F.max("b")).first())
+        stored = stored.where(touched | F.col(BLOCK).isNull() if None in named else touched)
+    return stored.select(F.col(key).alias("_key"))
+
+
 def new_rows(batch: DataFrame, target: str, key: str = "tweet_id",
              order_col: str | None = None, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """The rows of `batch` with a key that is not in the Parquet table `target` yet.
+    """The rows of `batch` with a key that is not in the Parquet table `target` yet, in whatever
+    partition it may lie there (`partition_by` says how the table is laid out and decides nothing).
 
     Duplicates inside the batch keep the copy with the largest `order_col` (or any
-    one copy when None, via max of the row).  With `partition_by`, the partition
-    values must be a function of the row (as year/month of `created_at` are), so a
-    key is looked up only in the partitions the batch touches; null partition values
-    compare as equal.
+    one copy when None, via max of the row).
     """
-    spark = batch.sparkSession
     batch = batch.where(F.col(key).isNotNull())
-    stored = _stored(spark, target, batch)
-    if stored is not None:
-        pcols = [c for c in partition_by if c in batch.columns]
-        if pcols:
-            # a key always lands in the same partition, so compare within the batch's
-            # partitions only: the semi-join on partition values lets dynamic partition
-            # pruning skip every other stored partition (months of history)
-            parts = batch.select(*pcols).distinct()        # pruned to the partition columns
-            known = stored.select(*pcols, key)
-            loaded = known.join(parts.dropna(subset=pcols), pcols, "left_semi").select(F.col(key).alias("_key"))
-            # rows without a partition value all lie in the folders of the null value
-            some_null = reduce(lambda a, b: a | b, (F.col(c).isNull() for c in pcols))
-            loaded = loaded.union(known.where(some_null).select(key))
-        else:
-            loaded = stored.select(F.col(key).alias("_key"))
+    loaded = known_keys(batch, target, key)
+    if loaded is not None:
         batch = batch.join(loaded, batch[key] == loaded["_key"], "left_anti")
     if order_col is None:
         return dedupe_latest(batch.withColumn("_one", F.lit(0)), key, "_one").drop("_one")
@@ -75,15 +132,33 @@ def append_new(batch: DataFrame, target: str, key: str = "tweet_id",
                order_col: str | None = None, partition_by: tuple[str, ...] = (),
                quarantine: str | None = None) -> None:
     """Append the rows of `batch` whose key is not stored yet (see `new_rows`); rows without a
-    key go to `quarantine` (by default beside the target), each distinct row once."""
-    unique = new_rows(batch, target, key, order_col, partition_by)
-    if partition_by:
-        # few files per partition value; AQE splits a partition value that is hot
-        unique = unique.hint("rebalance", *partition_by)
-        unique.write.mode("append").partitionBy(*partition_by).parquet(target)
-    else:
-        unique.write.mode("append").parquet(target)
+    key go to `quarantine` (by default beside the target), each distinct row once.  The batch is
+    staged first, so it is parsed once however often its rows are looked at."""
+    batch, path = staged(batch, "append-batch")
+    append_rows(new_rows(batch, target, key, order_col), target, key, partition_by)
     quarantine_rows(batch.where(F.col(key).isNull()), quarantine or target.rstrip("/") + "_no_key")
+    _remove(batch.sparkSession, path)
+
+
+def append_rows(rows: DataFrame, target: str, key: str = "tweet_id", partition_by: tuple[str, ...] = ()) -> None:
+    """Append rows as they are, laid out by `partition_by` and then by block of ids."""
+    layout = [*partition_by, BLOCK]
+    # few files per partition value; AQE splits a partition value that is hot
+    rows = rows.withColumn(BLOCK, id_block(key)).hint("rebalance", *layout)
+    rows.write.mode("append").partitionBy(*layout).parquet(target)
+
+
+def partition_values(spark: SparkSession, path: str, columns: tuple[str, ...]) -> list[tuple]:
+    """The values (text, None for null) of the first partition columns that `path` has folders of; a listing."""
+    fs, p = _fs(spark, path)
+    found = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(  # noqa: SLF001
+        p, "/".join(f"{c}=*" for c in columns)))
+    out = []
+    for status in found or ():
+        parts = status.getPath().toString().rstrip("/").split("/")[-len(columns):]
+        values = tuple(x.split("=", 1)[1] for x in parts)
+        out.append(tuple(None if v == "__HIVE_DEFAULT_PARTITION__" else v for v in values))
+    return out
 
 
 def quarantine_rows(rows: DataFrame, path: str) -> None:
@@ -101,8 +176,7 @@ RAW_PARTITIONS = ("post_date",)
 
 
 def post_date(created_at: str = "created_at"):
-    """The UTC date of a post, null where `created_at` is not an epoch-ms number.  It never
-    changes, so a key stays in one partition, and an append reads the keys of the dates it carries."""
+    """The UTC date of a post, null where `created_at` is not an epoch-ms number."""
     ms = F.col(created_at).try_cast("bigint")
     return F.date_from_unix_date(F.floor(ms / 86_400_000).cast("int"))
 
@@ -114,7 +188,7 @@ def append_raw(batch: DataFrame, target: str, key: str = "tweet_id") -> None:
 
 def read_table(spark: SparkSession, path: str, id_cols: tuple[str, ...] = ("author_id",)) -> DataFrame:
     """Read a stored table; id columns discovered from partition folders come back as Long."""
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(path).drop(BLOCK)
     for c in id_cols:
         if c in df.columns:
             df = df.withColumn(c, F.col(c).cast("bigint"))
@@ -123,22 +197,32 @@ def read_table(spark: SparkSession, path: str, id_cols: tuple[str, ...] = ("auth
 
 def overwrite_state(state: DataFrame, path: str) -> str:
     """One row per key, replaced as a whole (the per-author state object)."""
-    state.write.mode("overwrite").parquet(path)
-    return path
+    return replace(state, path)
+
+
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The state table at `path`; empty if there is none yet."""
+    if not _exists(spark, recover(spark, path)):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def write_state_objects(state: DataFrame, path: str) -> str:
     """One JSON object per row (`to_json` of the row), the whole state replaced."""
-    state.select(F.to_json(F.struct(*state.columns)).alias("value")).write.mode("overwrite").text(path)
-    return path
+    return replace(state.select(F.to_json(F.struct(*state.columns)).alias("value")), path, "text")
 
 
 def read_state_objects(spark: SparkSession, path: str, schema) -> DataFrame:
     """The state objects back as typed columns (`from_json` with an explicit schema)."""
-    return spark.read.text(path).select(F.from_json("value", schema).alias("s")).select("s.*")
+    return spark.read.text(recover(spark, path)).select(F.from_json("value", schema).alias("s")).select("s.*")
 
 
-def append_log(rows: DataFrame, path: str) -> str:
+def append_log(rows: DataFrame, path: str, once_by: tuple[str, ...] = ()) -> str:
+    """Append log rows; with `once_by` those that the log does not hold yet by these columns
+    (nulls compare as equal), so a replay writes no second row."""
+    if once_by and _exists(rows.sparkSession, path):
+        held = rows.sparkSession.read.schema(rows.schema).parquet(path).select(*[F.col(c).alias(f"_{c}") for c in once_by])
+        rows = rows.join(held, [rows[c].eqNullSafe(held[f"_{c}"]) for c in once_by], "left_anti")
     rows.write.mode("append").parquet(path)
     return path
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postlytics import config as C
 from postlytics.functions.timeparts import epoch_ms_of_ntz
 from postlytics.schema import POST_COLUMNS
 from postlytics.sources.tables import table
@@ -133,6 +134,13 @@ def daily_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
             .agg(F.avg("o_totalprice").alias("price")))
 
 
+def price_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intraday prices: every purchase is a tick of the symbol its id picks; times are landed as text."""
+    ev = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
+    return ev.select(F.concat(F.lit("P"), (F.col("event_id") % 5 + 1).cast("string")).alias("symbol"),
+                     F.date_format("ts", C.TIMESTAMP_TEXT_FORMAT).alias("tick_time"), F.col("value").alias("price"))
+
+
 # ------------------------------------------------------------------ state logs
 # Posts are taken to have been loaded once per UTC day, at midnight after
 # that day.  `before` is the first day not loaded yet.
