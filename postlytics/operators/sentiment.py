@@ -8,21 +8,29 @@ in [0, 1].  Three ways:
   *table* of any size goes through explode -> join -> partial aggregation.
 * `fit_naive_bayes` / `score_naive_bayes` - weights learned by aggregation from
   labelled documents (multinomial, Laplace smoothing), scored by join.
+  `add_naive_bayes` keeps its counts as a table to which new labelled documents add.
 * `score_model` - a plug-in model in an iterator pandas UDF, loaded once per
   Python worker, evaluated once per row (one struct column).
+* `fit_model` / `score_fitted` - a logistic regression fitted by Spark ML, its weights as arrays
+  in an iterator UDF that gets numbers only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from postlytics import config as C
 from postlytics.functions.text import letter_runs, tokens
+from postlytics import sinks
 from postlytics.session import ensure_checkpoint_dir
 
 SENTIMENT_TYPE = StructType([
@@ -82,7 +90,7 @@ def score_lexicon(df: DataFrame, lexicon: dict[str, float] | DataFrame | None =
     # weight table (token, weight) of unknown size: explode -> join -> aggregate -> join back,
     # all on one hash partitioning by key (see score_naive_bayes)
     table = lexicon.select("token", F.col("weight").cast("double"))   # AQE broadcasts it if it measures small
-    out = _text_sums(df, key, text_col, table, {"_s": F.sum("weight"), "_h": F.sum(F.abs("weight"))})
+    out = _text_sums(df, key, text_col, table, {"_s": F.sum(F.col("n") * F.col("weight")), "_h": F.sum(F.col("n") * F.abs("weight"))})
     s, h = F.coalesce(F.col("_s"), F.lit(0.0)), F.coalesce(F.col("_h"), F.lit(0.0))
     return out.withColumns({
         "sentiment_label": F.when(text.isNotNull(), _label_of_sum(s)),
@@ -99,13 +107,16 @@ def _text_sums(df: DataFrame, key: str, text_col: str, weights: DataFrame, sums:
     Sums are taken once per distinct (key, text), so copies of a post (overlapping pulls) each
     get the sums of one copy, and rows without a key are scored like any other.  Rows are
     hash-partitioned by (key, text digest) once: the join-back needs no further shuffle of them.
-    The token branch (distinct, explode, token join, aggregate) reads key and text alone.
+    The token branch reads key and text alone, and counts the tokens of a text where it lies: the
+    vocabulary join gets one row per distinct token of a text (`n` of it), not one per occurrence.
+    Rows without a text have no token to look up, so they are dealt to any task.
     """
+    anywhere = F.concat(F.lit("-"), F.pmod(F.monotonically_increasing_id(), F.lit(1 << 16)).cast("string"))
     rows = df.withColumns({"_key": F.coalesce(F.col(key).cast("string"), F.lit("")),
-                           "_doc": F.coalesce(F.sha2(F.col(text_col), 256), F.lit(""))}).repartition("_key", "_doc")
-    once = rows.select("_key", "_doc", text_col).dropDuplicates(["_key", "_doc"])
+                           "_doc": F.coalesce(F.sha2(F.col(text_col), 256), anywhere)}).repartition("_key", "_doc")
+    once = rows.where(F.col(text_col).isNotNull()).select("_key", "_doc", text_col).dropDuplicates(["_key", "_doc"])
     toks = (once.select("_key", "_doc", F.explode(letter_runs(F.col(text_col))).alias("t"))
-            .select("_key", "_doc", F.lower("t").alias("token")))
+            .groupBy("_key", "_doc", F.lower("t").alias("token")).agg(F.count(F.lit(1)).alias("n")))
     per_text = toks.join(weights, "token").groupBy("_key", "_doc").agg(*[c.alias(n) for n, c in sums.items()])
     return rows.join(per_text, ["_key", "_doc"], "left").drop("_key", "_doc")
 
@@ -119,13 +130,21 @@ def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "l
     vocabulary size and class totals are cheap scalars over the stored table.
     """
     ensure_checkpoint_dir(docs.sparkSession)
+    return _weights(_token_counts(docs, text_col, label_col).checkpoint(eager=True))
+
+
+def _by_class(one: Column, label: str = "label") -> list[Column]:
+    return [F.sum(F.when(F.col(label) == lab, one).otherwise(0)).alias(f"n_{lab.lower()}") for lab in C.LABELS]
+
+
+def _token_counts(docs: DataFrame, text_col: str, label_col: str) -> DataFrame:
+    """token and its occurrences in each class; repeated (token, class) pairs collapse map-side."""
     toks = (docs.select(F.col(label_col).alias("label"), F.explode(letter_runs(F.col(text_col))).alias("t"))
             .select("label", F.lower("t").alias("token")))
-    # partial aggregation collapses repeated (token, class) pairs before the shuffle
-    counts = toks.groupBy("token").agg(*[
-        F.sum(F.when(F.col("label") == lab, 1).otherwise(0)).alias(f"n_{lab.lower()}")
-        for lab in C.LABELS
-    ]).checkpoint(eager=True)
+    return toks.groupBy("token").agg(*_by_class(F.lit(1)))
+
+
+def _weights(counts: DataFrame) -> DataFrame:
     lows = [lab.lower() for lab in C.LABELS]
     totals = counts.select(F.struct(F.count(F.lit(1)).alias("vocab"),
                                     *[F.sum(f"n_{low}").alias(low) for low in lows])).scalar()   # one row
@@ -134,6 +153,40 @@ def fit_naive_bayes(docs: DataFrame, text_col: str = "text", label_col: str = "l
         for low in lows])
 
 
+def naive_bayes_counts(docs: DataFrame, text_col: str = "text", label_col: str = "label") -> DataFrame:
+    """Everything the model is made of, as counts that add up: a row per token, and one row without
+    a token that counts the documents (n_all counts all of them, also those without a known label)."""
+    tokens = _token_counts(docs, text_col, label_col).withColumn("n_all", F.lit(None).cast("long"))
+    whole = docs.groupBy().agg(*_by_class(F.lit(1), label_col), F.count(F.lit(1)).alias("n_all"))
+    return tokens.unionByName(whole.withColumn("token", F.lit(None).cast("string")))
+
+
+def add_naive_bayes(docs: DataFrame, path: str, batch_id: int, text_col: str = "text", label_col: str = "label") -> DataFrame:
+    """Add newly labelled documents to the counts stored at `path`; returns the stored counts.
+
+    `batch_id` rises from batch to batch and lies in the rows themselves: a batch that is in the
+    counts already is not added again.  The table is replaced as a whole, safely against a crash.
+    """
+    spark = docs.sparkSession
+    names = [f"n_{lab.lower()}" for lab in C.LABELS] + ["n_all"]
+    schema = "token string, " + ", ".join(f"{n} long" for n in names) + ", upto long"
+    old = sinks.read_state(spark, path, schema)
+    last = old.agg(F.max("upto")).first()[0]
+    if last is None or last < batch_id:
+        both = old.drop("upto").unionByName(naive_bayes_counts(docs, text_col, label_col))
+        merged = both.groupBy("token").agg(*[F.sum(n).alias(n) for n in names])
+        sinks.overwrite_state(merged.withColumn("upto", F.lit(batch_id).cast("long")), path)
+    return sinks.read_state(spark, path, schema)
+
+
+def naive_bayes_of_counts(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(weights, priors) of counts, equal to a fit on all their documents at once."""
+    lows = [lab.lower() for lab in C.LABELS]
+    tokens = counts.where("token is not null").select("token", *[f"n_{low}" for low in lows])
+    priors = counts.where("token is null").select(*[F.ln(F.col(f"n_{low}") / F.col("n_all")).alias(f"p_{low}") for low in lows])
+    return _weights(tokens), priors
+
+
 def save_naive_bayes(model: DataFrame, priors: DataFrame, path: str) -> str:
     """Store a fitted model (token weights and class priors) as two Parquet tables."""
     model.write.mode("overwrite").parquet(f"{path.rstrip('/')}/weights")
@@ -172,7 +225,7 @@ def score_naive_bayes(df: DataFrame, model: DataFrame, priors: DataFrame,
     """
     weights = model.select("token", *[f"w_{lab.lower()}" for lab in C.LABELS])
     out = _text_sums(df, key, text_col, weights,
-                     {f"_s_{lab.lower()}": F.sum(f"w_{lab.lower()}") for lab in C.LABELS})
+                     {f"_s_{lab.lower()}": F.sum(F.col("n") * F.col(f"w_{lab.lower()}")) for lab in C.LABELS})
     one = priors.select(F.struct(*[f"p_{lab.lower()}" for lab in C.LABELS])).scalar()
     pri = {lab: F.coalesce(one.getField(f"p_{lab.lower()}"), F.lit(float("-inf"))) for lab in C.LABELS}
     logits = {lab: pri[lab] + F.coalesce(F.col(f"_s_{lab.lower()}"), F.lit(0.0)) for lab in C.LABELS}
@@ -224,6 +277,57 @@ def default_model_loader() -> LexiconModel:
     return LexiconModel()
 
 
+class FittedModel:
+    """Logistic regression weights as arrays: feature batches in, labels and confidences out."""
+
+    def __init__(self, weights: np.ndarray, intercepts: np.ndarray, labels: list[str]):
+        self.weights, self.intercepts, self.labels = weights, intercepts, labels
+
+    def predict(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        z = x @ self.weights.T + self.intercepts
+        p = np.exp(z - z.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        return np.array(self.labels, dtype=object)[p.argmax(1)], p.max(1)
+
+
+def hashed_terms(df: DataFrame, text_col: str = "cleaned_tweet_text", features: int = 512, out: str = "features") -> DataFrame:
+    """Term frequencies of the lower-cased letter runs, hashed to a vector (all in the JVM)."""
+    terms = F.transform(F.coalesce(letter_runs(F.col(text_col)), F.array().cast("array<string>")), F.lower)
+    return HashingTF(inputCol="_terms", outputCol=out, numFeatures=features).transform(df.withColumn("_terms", terms)).drop("_terms")
+
+
+def fit_model(docs: DataFrame, text_col: str = "text", label_col: str = "label", features: int = 512):
+    """A Spark ML logistic regression of labelled texts; numbers of classes follow C.LABELS.  Returns
+    the fitted Spark ML model and the same weights as a FittedModel.  A class without a document
+    is never predicted; documents without a known label are left out."""
+    number = F.coalesce(*[F.when(F.col(label_col) == lab, F.lit(float(i))) for i, lab in enumerate(C.LABELS)])
+    train = hashed_terms(docs.withColumn("_class", number).where("_class is not null"), text_col, features)
+    ml = LogisticRegression(featuresCol="features", labelCol="_class", family="multinomial", regParam=0.01,
+                            maxIter=50).fit(train.select("features", "_class"))
+    weights = ml.coefficientMatrix.toArray()
+    return ml, FittedModel(weights, ml.interceptVector.toArray(), C.LABELS[:len(weights)])
+
+
+def score_fitted(df: DataFrame, model: FittedModel, text_col: str = "cleaned_tweet_text") -> DataFrame:
+    """The scorer contract with a fitted model: features are made in the JVM, the iterator UDF gets
+    them as numbers and multiplies whole batches; it sees no text.  Null text gives nulls."""
+    shared = df.sparkSession.sparkContext.broadcast(model)      # classes x features numbers
+
+    @F.pandas_udf(SENTIMENT_TYPE)
+    def _score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        model = shared.value
+        for rows in batches:
+            label, score = model.predict(np.stack(rows.to_numpy())) if len(rows) else ([], [])
+            yield pd.DataFrame({"label": label, "score": score})
+
+    scored = hashed_terms(df, text_col, model.weights.shape[1], "_features")
+    scored = scored.withColumn("_sentiment", _score(vector_to_array("_features")))
+    known = F.col(text_col).isNotNull()
+    return scored.withColumns({
+        "sentiment_label": F.when(known, F.col("_sentiment.label")),
+        "sentiment_score": F.when(known, F.round("_sentiment.score", 6))}).drop("_sentiment", "_features")
+
+
 def ship_model_file(spark, path: str) -> str:
     """Ship a model file to every executor (`SparkContext.addFile`); returns its file name."""
     import os

@@ -325,6 +325,17 @@ register("src_flatten_timeline", with_ctes(POSTS, PAGES, body=f"""
 SELECT {FLAT_COLS} FROM pg p JOIN inc i USING (author_id)"""))
 register("src_flatten_search", with_ctes(POSTS, SEARCH_PAGES, body=f"""
 SELECT {FLAT_COLS} FROM pg p JOIN inc i USING (author_id)"""))
+register("src_pages_window", with_ctes(POSTS, body="""
+, w AS (SELECT max(tweet_id) // 2 AS since, max(CAST(created_at AS BIGINT)) - 864000000 AS a,
+               max(CAST(created_at AS BIGINT)) - 86400000 AS z FROM posts),
+pg AS (SELECT *, tweet_id // 100 AS page_no, CAST(created_at AS BIGINT) AS ms FROM posts),
+used AS (SELECT page_no FROM pg GROUP BY page_no
+         HAVING max(tweet_id) > (SELECT since FROM w) AND max(ms) >= (SELECT a FROM w) AND min(ms) < (SELECT z FROM w)),
+inc AS (SELECT author_id, max(page_no) AS last_page FROM pg JOIN used USING (page_no)
+        WHERE NOT (author_id % 50 = 7) AND NOT (author_id % 50 = 3 AND page_no % 2 = 0) GROUP BY author_id)
+SELECT p.tweet_id, p.author_id, p.username, p.author_followers + i.last_page AS author_followers, p.created_at
+FROM pg p JOIN used USING (page_no) JOIN inc i USING (author_id), w
+WHERE p.tweet_id > since AND p.ms >= a AND p.ms < z"""))
 register("prj_post_fields", with_ctes(POSTS, body="""
 SELECT tweet_id, author_id, created_at, retweets, replies, likes, quote_count, conversation_id, media_keys
 FROM posts"""))
@@ -344,6 +355,12 @@ landed AS (
 )"""
 F_BASE = (POSTS, STATE, LANDED)
 register("src_json_incremental", with_ctes(*F_BASE, body="SELECT tweet_id, author_id, batch FROM landed WHERE batch = 2"))
+register("src_json_past_mark", QUERIES["src_json_incremental"])
+register("set_union_versions", with_ctes(*F_BASE, body="""
+SELECT tweet_id, author_id, CASE WHEN batch = 1 THEN quote_count END AS quote_count, batch,
+       CASE WHEN batch = 2 THEN '{"edits":{"n":' || replies || '}' || coalesce(',"impressions":' || likes * 10, '') || '}'
+            ELSE '{}' END AS other_fields
+FROM landed"""))
 register("flt_file_newer", QUERIES["src_json_incremental"])
 register("src_json_direct", with_ctes(*F_BASE, body="""
 SELECT tweet_id, author_id, username, CAST(likes AS BIGINT) AS likes, created_at
@@ -476,3 +493,4 @@ register("state_raw_stream", QUERIES["state_raw"])
 register("state_processed_stream", QUERIES["state_processed"])
 register("agg_daily_maintained", QUERIES["agg_calendar_sentiment"])
 register("top_latest_stored", QUERIES["prj_row_number"])
+register("sentiment_fit_nb_merged", QUERIES["sentiment_fit_nb"])

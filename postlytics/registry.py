@@ -91,6 +91,25 @@ def q_sentiment_fit_nb(spark, sf_dir):
     return scored.select("tweet_id", "sentiment_label", "sentiment_score")
 
 
+@query("sentiment_fit_nb_merged")
+def q_sentiment_fit_nb_merged(spark, sf_dir):
+    """The model of counts to which two halves of the labelled documents were added, the second twice."""
+    docs, path = fixtures.labelled_documents(spark, sf_dir), scratch_path(spark, "nb_counts")
+    for k in (0, 1, 1):
+        counts = sentiment.add_naive_bayes(docs.where(F.col("doc_id") % 2 == k), path, k + 1)
+    model, priors = sentiment.naive_bayes_of_counts(counts)
+    cleaned = add_clean_text(fixtures.posts(spark, sf_dir))
+    return sentiment.score_naive_bayes(cleaned, model, priors).select("tweet_id", "sentiment_label", "sentiment_score")
+
+
+@query("sentiment_fitted_model")
+def q_sentiment_fitted_model(spark, sf_dir):
+    """Posts scored by a logistic regression fitted on the labelled documents (no SQL form)."""
+    _, model = sentiment.fit_model(fixtures.labelled_documents(spark, sf_dir))
+    cleaned = add_clean_text(fixtures.posts(spark, sf_dir))
+    return sentiment.score_fitted(cleaned, model).select("tweet_id", "sentiment_label", "sentiment_score")
+
+
 # ------------------------------------------------------------------ reports
 
 
@@ -351,6 +370,18 @@ def q_src_flatten_search(spark, sf_dir):
     return _flat_out(flat)
 
 
+@query("src_pages_window")
+def q_src_pages_window(spark, sf_dir):
+    """Posts of a pull window, read from pages stored with their bounds: pages that end before the
+    window or the id are skipped by the scan; authors are those of the pages that are read."""
+    p = fixtures.posts(spark, sf_dir)
+    path = pages.store_pages(fixtures.response_pages(p), scratch_path(spark, "page_table"))
+    since, start, end = p.agg(F.expr("max(tweet_id) div 2"), F.expr("max(bigint(created_at)) - 864000000"),
+                              F.expr("max(bigint(created_at)) - 86400000")).first()
+    flat = pages.window_posts(spark, path, since_id=since, start_ms=start, end_ms=end)
+    return flat.select("tweet_id", "author_id", "username", "author_followers", "created_at")
+
+
 @query("prj_post_fields")
 def q_prj_post_fields(spark, sf_dir):
     """Tweet-level fields out of the nested page records (no user join)."""
@@ -392,6 +423,26 @@ def q_src_json_incremental(spark, sf_dir):
     return files.read_landed(spark, root, processed_files=processed).select("tweet_id", "author_id", "batch")
 
 
+@query("src_json_past_mark")
+def q_src_json_past_mark(spark, sf_dir):
+    """The same without a look at what is processed: only the folders of pulls past the mark are listed."""
+    root = _land_batches(spark, sf_dir)
+    return files.read_landed(spark, root, after_batch=1).select("tweet_id", "author_id", "batch")
+
+
+@query("set_union_versions")
+def q_set_union_versions(spark, sf_dir):
+    """Two versions of a post file in one read: batch 2 has no quote_count and two fields more."""
+    p, root = fixtures.posts(spark, sf_dir), scratch_path(spark, "landing")
+    day = fixtures.post_day()
+    files.land_json(p.where(day < F.lit(BATCH1_BEFORE).cast("date")), root, 1)
+    newer = p.where(day >= F.lit(BATCH2_FROM).cast("date")).drop("quote_count").withColumns(
+        {"impressions": F.col("likes") * 10, "edits": F.struct(F.col("replies").alias("n"))})
+    files.land_json(newer, root, 2)
+    u = files.read_versions(spark, root)
+    return u.select("tweet_id", "author_id", "quote_count", "batch", F.to_json("other_fields").alias("other_fields"))
+
+
 @query("flt_file_newer")
 def q_flt_file_newer(spark, sf_dir):
     """Marker = newest file time of batch 1, fixed for the read; keep files strictly newer."""

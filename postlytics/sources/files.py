@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from postlytics import config as C
+from postlytics import sinks
 from postlytics.schema import POST_SCHEMA
 
 FILE_COLUMNS = ["_file_path", "_file_mtime", "_file_size"]
@@ -67,9 +68,13 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.json") -> DataFram
 
 def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA,
                 author=None, modified_after=None, processed_files: DataFrame | None = None,
-                multi_line: bool = False, corrupt: bool = False, glob: str = "*.json") -> DataFrame:
+                multi_line: bool = False, corrupt: bool = False, glob: str = "*.json",
+                after_batch: int | None = None) -> DataFrame:
     """Rows of landed files with their file facts.
 
+    * `after_batch`: only pulls with a larger number.  Their folders are found by one listing of
+      the root, and no file of an older pull is listed or opened, so a run costs what is new.
+
     * `author`: exact author id (partition pruning, then the id itself).
     * `modified_after`: keep files modified strictly after this instant (compared with
       full precision, the marker fixed for the whole read).
@@ -83,9 +88,14 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
     data_schema = schema
     if corrupt:
         data_schema = StructType([*schema.fields, StructField(CORRUPT, StringType(), True)])
-    df = (spark.read.schema(data_schema).option("multiLine", multi_line)
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .option("pathGlobFilter", glob).json(root))
+    reader = (spark.read.schema(data_schema).option("multiLine", multi_line)
+              .option("columnNameOfCorruptRecord", CORRUPT).option("pathGlobFilter", glob))
+    if after_batch is None:
+        df = reader.json(root)
+    else:
+        later = pulls_after(spark, root, after_batch)
+        # without a new pull: no rows, of the same columns as with one
+        df = reader.option("basePath", root).json(later) if later else reader.json(root).limit(0)
     df = df.select("*",
                    plain_path(F.col("_metadata.file_path")).alias("_file_path"),
                    F.col("_metadata.file_modification_time").alias("_file_mtime"),
@@ -103,6 +113,29 @@ def read_landed(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA
     return df
 
 
+def pulls_after(spark: SparkSession, root: str, batch: int) -> list[str]:
+    """The folders of the pulls numbered above `batch`."""
+    numbers = sorted(int(b) for (b,) in sinks.partition_values(spark, root, ("batch",)) if b is not None and int(b) > batch)
+    return [f"{root.rstrip('/')}/batch={b}" for b in numbers]
+
+
+def read_versions(spark: SparkSession, root: str, schema: StructType = POST_SCHEMA, glob: str = "*.json") -> DataFrame:
+    """Rows of landed files of any version of their schema: the columns of `schema`, `batch`, and
+    `other_fields`, a VARIANT object of all fields that the schema does not know (empty if none).
+
+    A field that a version lacks, or that does not fit the column's type, is null.  Records that
+    are not JSON objects are all null; files of size 0 contribute nothing.
+    """
+    raw = spark.read.option("pathGlobFilter", glob).option("singleVariantColumn", "v").json(root)
+    fields = F.try_variant_get("v", "$", "map<string,variant>")
+    known = [f.name for f in schema.fields]
+    return raw.select(
+        *[F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in schema.fields],
+        F.to_variant_object(F.map_filter(F.coalesce(fields, F.create_map().cast("map<string,variant>")),
+                                         lambda k, _: ~k.isin(known))).alias("other_fields"),
+        "batch")
+
+
 def read_json_direct(spark: SparkSession, path: str) -> DataFrame:
     """Plain `read.json` with schema inference (one extra pass over the files)."""
     return spark.read.option("pathGlobFilter", "*.json").json(path)

@@ -1,0 +1,143 @@
+"""Mergeable and fitted scorers, post files of several versions, stored pages read by window."""
+
+import glob
+import json
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF01, SF001
+from postlytics import config as C
+from postlytics import sinks
+from postlytics.operators import sentiment
+from postlytics.operators.enrich import add_clean_text
+from postlytics.sources import files, fixtures, pages
+from test_sinks_safety import _posts, _post
+
+
+def _model_rows(model, priors):
+    names = [f"w_{lab.lower()}" for lab in C.LABELS]
+    return {r.token: [r[n] for n in names] for r in model.collect()}, list(priors.first())
+
+
+def test_naive_bayes_of_two_halves_is_that_of_the_whole(spark, workdir):
+    docs = fixtures.labelled_documents(spark, SF001).unionByName(
+        spark.createDataFrame([(-1, "odd token zzz", "no such label"), (-2, None, C.LABEL_NEUTRAL)], "doc_id long, text string, label string"))
+    path = f"{workdir}/counts"
+    for k in (0, 1, 1, 0):                                   # later calls of a batch add nothing
+        counts = sentiment.add_naive_bayes(docs.where(F.abs("doc_id") % 2 == k), path, k + 1)
+    got, got_priors = _model_rows(*sentiment.naive_bayes_of_counts(counts))
+    want, want_priors = _model_rows(sentiment.fit_naive_bayes(docs), sentiment.naive_bayes_priors(docs))
+    assert got.keys() == want.keys() and all(np.allclose(got[t], want[t], rtol=1e-12) for t in want)
+    assert np.allclose(got_priors, want_priors, rtol=1e-12)
+
+
+def test_text_sums_meet_the_vocabulary_as_bags(spark):
+    """One row per distinct token of a text; rows without a text and copies keep their sums."""
+    df = spark.createDataFrame([(1, "a a a b"), (1, "a a a b"), (None, "b"), (2, None), (None, None), (3, "")], "tweet_id long, cleaned_tweet_text string")
+    lex = spark.createDataFrame([("a", 1.0), ("b", -2.0)], "token string, weight double")
+    got = sentiment.score_lexicon(df, lex).select("tweet_id", "cleaned_tweet_text", "sentiment_label", "sentiment_score").collect()
+    want = [(1, "a a a b", "Positive", round(2 / 6, 6))] * 2 + [(None, "b", "Negative", 1.0), (2, None, None, None),
+                                                               (None, None, None, None), (3, "", "Neutral", 1.0)]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_fitted_model_equals_spark_mls_own_transform(spark):
+    ml, model = sentiment.fit_model(fixtures.labelled_documents(spark, SF01))
+    cleaned = add_clean_text(fixtures.posts(spark, SF001)).unionByName(
+        add_clean_text(_posts(spark, [_post(-1, text=None), _post(-2, text="")])))
+    got = {r.tweet_id: (r.sentiment_label, r.sentiment_score) for r in sentiment.score_fitted(cleaned, model).collect()}
+    own = ml.transform(sentiment.hashed_terms(cleaned)).select("tweet_id", "prediction", F.col("probability").cast("string").alias("p")).collect()
+    assert got.pop(-1) == (None, None) and len(got) == len(own) - 1
+    for r in own:
+        if r.tweet_id != -1:
+            label, score = got[r.tweet_id]
+            assert label == C.LABELS[int(r.prediction)] and abs(score - max(json.loads(r.p))) < 1e-5
+    assert len({label for label, _ in got.values()}) >= 2
+
+
+def test_versions_of_a_post_file(spark, workdir):
+    root = f"{workdir}/land"
+    lines = {1: [{"tweet_id": 1, "likes": 5, "attach_list": {"media_keys": ["m1"]}}],
+             2: [{"tweet_id": 2, "likes": "many", "edits": {"n": [1, None]}, "Views": 7}, {"tweet_id": 3, "text": None, "x": None}, 5, [1]], 3: []}
+    for k, rows in lines.items():
+        os.makedirs(f"{root}/batch={k}/author_bucket=0")
+        with open(f"{root}/batch={k}/author_bucket=0/p.json", "w") as fh:
+            fh.writelines(json.dumps(r) + "\n" for r in rows)
+    got = files.read_versions(spark, root).select("tweet_id", "likes", "attach_list.media_keys", F.to_json("other_fields"), "batch").collect()
+    want = [(1, 5, ["m1"], "{}", 1), (2, None, None, '{"Views":7,"edits":{"n":[1,null]}}', 2), (3, None, None, '{"x":null}', 2)]
+    assert sorted([tuple(r) for r in got if r.tweet_id]) == want
+    assert [tuple(r)[:4] for r in got if r.tweet_id is None] == [(None, None, None, "{}")] * 2
+
+
+def test_only_pulls_past_the_mark_are_listed(spark, workdir):
+    root = f"{workdir}/land"
+    for k in (1, 2, 10):
+        files.land_json(_posts(spark, [_post(k), _post(k + 100, author=2)]), root, k)
+    assert [p.rsplit("=", 1)[1] for p in files.pulls_after(spark, root, 1)] == ["2", "10"]
+    later = files.read_landed(spark, root, after_batch=1)
+    assert sorted(r.tweet_id for r in later.collect()) == [2, 10, 102, 110]
+    assert not any("batch=1/" in f for f in later.inputFiles()) and later.inputFiles()
+    assert sorted(r.tweet_id for r in files.read_landed(spark, root, after_batch=2, author=2).collect()) == [110]
+    none = files.read_landed(spark, root, after_batch=10)
+    assert none.count() == 0 and none.columns == files.read_landed(spark, root).columns
+
+
+@pytest.fixture()
+def stored(spark, workdir):
+    """Pages of 100 posts in files of some pages each."""
+    p = spark.read.json(sinks.write_json(fixtures.posts(spark, SF001), f"{workdir}/posts"), schema=fixtures.posts(spark, SF001).schema)
+    path = pages.store_pages(fixtures.response_pages(p).repartition(4), f"{workdir}/pages", pages_per_file=2)
+    return p, path
+
+
+def rows_of_scan(df):
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        p = todo.pop()
+        if p.getClass().getSimpleName() == "FileSourceScanExec":
+            out += p.metrics().apply("numOutputRows").value()
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def test_a_window_skips_pages(spark, stored):
+    p, path = stored
+    every = rows_of_scan(pages.window_pages(spark, path))
+    assert every == len({r.tweet_id // 100 for r in p.select("tweet_id").collect()}) > 4
+    since = p.agg(F.max("tweet_id")).first()[0] - 50
+    few = pages.window_pages(spark, path, since_id=since)
+    assert "PushedFilters: [IsNotNull(id_high), GreaterThan(id_high" in few._jdf.queryExecution().executedPlan().toString()
+    assert len(few.collect()) <= 2 and rows_of_scan(pages.window_pages(spark, path, since_id=since)) < every
+    assert rows_of_scan(pages.window_pages(spark, path, since_id=10**15)) == 0
+    assert rows_of_scan(pages.window_pages(spark, path, end_ms=0)) == 0
+
+
+def test_window_posts_equal_plain_filters(spark, stored):
+    p, path = stored
+    ms = sorted(int(r.created_at) for r in p.select("created_at").collect())
+    for since, start, end in ((None, None, None), (300, ms[100], ms[-100]), (None, ms[5], None), (10, None, ms[50])):
+        got = pages.window_posts(spark, path, since, start, end)
+        ids = [r.tweet_id for r in p.collect() if (since is None or r.tweet_id > since) and (start is None or int(r.created_at) >= start)
+               and (end is None or int(r.created_at) < end)]
+        orphans = {r.tweet_id for r in pages.orphan_posts(pages.window_pages(spark, path, since, start, end)).collect()}
+        assert sorted(r.tweet_id for r in got.collect()) == sorted(set(ids) - orphans)
+
+
+def test_pages_stored_later_come_as_a_stream(spark, stored, workdir):
+    p, path = stored
+    def run():
+        q = (pages.window_pages_stream(spark, path, since_id=500).select("page_no").writeStream.format("parquet")
+             .option("checkpointLocation", f"{workdir}/ckpt").trigger(availableNow=True).start(f"{workdir}/out"))
+        q.awaitTermination()
+        return sorted(r.page_no for r in spark.read.parquet(f"{workdir}/out").collect())
+    first = run()
+    assert first and first == sorted(r.page_no for r in pages.window_pages(spark, path, since_id=500).collect())
+    more = fixtures.response_pages(p.where("tweet_id >= 900").withColumn("tweet_id", F.col("tweet_id") + 100_000))
+    pages.store_pages(more, path, mode="append")
+    assert set(run()) - set(first) == {r.page_no for r in more.select("page_no").collect()}
+    assert glob.glob(f"{workdir}/ckpt/offsets/*")
