@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +47,19 @@ def restored(df: DataFrame, like: DataFrame) -> DataFrame:
     return df.select(*[f"__{i}" for i in range(len(like.columns))]).toDF(*like.columns)
 
 
+BLANK = re.compile(r"\s")
+
+
+def chunks(text: str, size: int) -> Iterator[str]:
+    """The text in parts of some `size` characters that end with white space."""
+    i = 0
+    while i < len(text):
+        end = BLANK.search(text, i + size)
+        j = end.end() if end else len(text)
+        yield text[i:j]
+        i = j
+
+
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 

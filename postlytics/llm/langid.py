@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,32 +19,39 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import pick, written
+from postlytics.llm.common import chunks, pick, written
 
 UNKNOWN = "und"
 #: Hash dimensions, n-gram lengths in bytes, centroids of a language.
 DIM, GRAMS, CLUSTERS = 1 << 14, (2, 3, 4), 4
-#: Training texts of a language: an expected number, drawn by hash of text and row id.
+#: Training texts of a language: an expected number, drawn by hash of the text.
 PER_LANGUAGE = 1200
 #: Languages a model may hold; more labels than this are taken for an error in the label column.
 MAX_LANGUAGES = 1000
 #: A text is rejected below this share of the lowest cosine among a centroid's members.
 REJECT = 0.5
-LETTER = re.compile(r"[^\W\d_]")
 OTHER = re.compile(r"[\W\d_]+")
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text and LETTER.search(text))
+    """Whether a character is a letter; number signs such as a half or a raised two are none."""
+    return any(map(str.isalpha, text or ""))
 
 
 def term_counts(text: str, chunk: int = 1 << 20) -> np.ndarray:
-    """Counts of hashed n-grams of the lower-cased letters; other characters are one space."""
+    """Counts of hashed n-grams of the lower-cased letters; other characters are one space.
+
+    A long text is read in chunks; the last bytes before a cut go on into the next, so the counts
+    are those of the whole text."""
     out = np.zeros(DIM, dtype=np.float32)
-    for i in range(0, len(text), chunk):  # bounded memory for very long texts
-        b = np.frombuffer((" " + OTHER.sub(" ", text[i:i + chunk].lower()) + " ").encode("utf-8", "ignore"), np.uint8)
-        b = b.astype(np.uint32)
+    tail = b" "
+    for part in chain(chunks(text, chunk), [" "]):
+        s = OTHER.sub(" ", part.lower()).encode("utf-8", "ignore")
+        if tail.endswith(b" ") and s.startswith(b" "):
+            s = s[1:]
+        whole = np.frombuffer(tail + s, np.uint8).astype(np.uint32)
         for n in GRAMS:
+            b = whole[max(len(tail) - n + 1, 0):]  # n-grams that end in this chunk
             if len(b) < n:
                 continue
             h = np.full(len(b) - n + 1, n * 2654435761 % (1 << 32), dtype=np.uint32)
@@ -51,6 +59,7 @@ def term_counts(text: str, chunk: int = 1 << 20) -> np.ndarray:
                 h = (h ^ b[k:len(b) - n + 1 + k]) * np.uint32(2246822519)
                 h ^= h >> np.uint32(15)
             out += np.bincount(h % np.uint32(DIM), minlength=DIM)
+        tail = (tail + s)[1 - max(GRAMS):]
     return out
 
 
@@ -122,13 +131,13 @@ def _clusters(idf: np.ndarray, k: int):
 
 
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, clusters: int = CLUSTERS) -> Model:
-    """A model of the rows (doc_id, text, lang) with a lang and a letter.
+    """A model of the rows (text, lang) with a lang and a letter.
 
-    Learns from about `per_language` texts of each language (all, if there are fewer); doc_id
-    only spreads that draw.  Document frequencies are sums over the drawn texts.  No labelled
+    Learns from about `per_language` distinct texts of each language (all, if there are fewer),
+    drawn by the text alone; of copies with one lang one is learnt from.  Document frequencies are sums over the drawn texts.  No labelled
     row: a model without languages.
     """
-    d = pick(docs, "doc_id", "text", "lang").where("lang is not null and text is not null")
+    d = pick(docs, "text", "lang").where("lang is not null and text is not null")
     sizes = d.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} different labels")
@@ -136,7 +145,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, clusters: int = CLUST
         return Model([], np.zeros((0, DIM), np.float32), np.zeros(0), np.ones(DIM, np.float32))
     grain = 1 << 20
     rate = F.create_map(*[x for r in sizes for x in (F.lit(r["lang"]), F.lit(min(grain, int(per_language / r["count"] * grain) + 1)))])
-    drawn = d.where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(grain)) < F.element_at(rate, F.col("lang")))
+    drawn = d.where(F.pmod(F.xxhash64("text"), F.lit(grain)) < F.element_at(rate, F.col("lang")))
+    drawn = drawn.dropDuplicates(["lang", "text"])
     feats = written(drawn.select("lang", "text").mapInArrow(_featurize, "lang string, idx array<int>, val array<float>"), "langid-terms")
     n = feats.count()
     df = np.zeros(DIM, dtype=np.float32)

@@ -20,7 +20,6 @@ bounded draw of feature rows is fitted on.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postlytics.llm.common import pick, worker_cache, written
+from postlytics.llm.common import chunks, pick, worker_cache, written
 
 #: Feature rows fitted on: an expected number each of positives and of unlabelled texts.
 TRAIN_ROWS = 20_000
@@ -43,7 +42,6 @@ GOOD = 0.3
 NAMED = ["\n", " \t\r\v\f", "", "", "", "0123456789", ".!?", ",;:'\"()-", "#*$%&|<>@^~_=+\\/{}[]"]
 CLASSES, CHUNK = len(NAMED) + 1, 1 << 20
 FEATURES = CLASSES * CLASSES + 7
-BLANK = re.compile(r"\s")
 
 
 # ------------------------------------------------------------------ features
@@ -69,16 +67,6 @@ def _class_table() -> np.ndarray:
     return cache["classes"]
 
 
-def _chunks(text: str, size: int) -> Iterator[str]:
-    """The text in parts of some `size` characters that end with white space."""
-    i = 0
-    while i < len(text):
-        end = BLANK.search(text, i + size)
-        j = end.end() if end else len(text)
-        yield text[i:j]
-        i = j
-
-
 def features(text: str | None, chunk: int = CHUNK) -> np.ndarray:
     """FEATURES numbers of a text: roots of the frequencies of class pairs, log counts of
     characters, words and lines, word length, share of words that repeat the word before, share
@@ -91,7 +79,7 @@ def features(text: str | None, chunk: int = CHUNK) -> np.ndarray:
     packer, packed = zlib.compressobj(1), 0
     words = twice = chars = size = 0
     before, word = np.zeros(1, dtype=np.uint8), None  # a text begins after a new line
-    for part in _chunks(text, chunk):
+    for part in chunks(text, chunk):
         code = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), "<u4")
         kind = np.concatenate([before, np.where(code < 1 << 16, table[code & 0xFFFF], 4).astype(np.uint8)])
         pairs += np.bincount(kind[:-1].astype(np.intp) * CLASSES + kind[1:], minlength=CLASSES * CLASSES)

@@ -31,6 +31,28 @@ def test_odd_rows(spark, make_docs):
     assert all(0 <= r.score <= 1 for r in got)
 
 
+def test_number_signs_are_no_letters(make_docs):
+    m = langid.fit(make_docs([(1, "the cat", "en"), (2, "die Katze", "de")]))
+    got = langid.predict(make_docs(["½ ² ①", "Ⅷ", "a²", "ª", "漢"]), m).collect()
+    assert [r.lang_pred == "und" for r in sorted(got, key=lambda r: r.doc_id)] == [True, True, False, False, False]
+
+
+def test_counts_do_not_depend_on_chunks():
+    text = "Les été, 12 mots... d'ici\n und Größe! " * 9 + "word" * 20
+    plain = " " + langid.OTHER.sub(" ", text.lower()).strip() + " "
+    b = plain.encode()
+    assert langid.term_counts(text).sum() == sum(len(b) - n + 1 for n in langid.GRAMS)
+    for chunk in (1, 3, 7, 50):
+        assert np.array_equal(langid.term_counts(text, chunk), langid.term_counts(text))
+
+
+def test_the_draw_knows_the_text_alone(make_docs):
+    rows = [(i, f"some words {i % 40} of english", "en") for i in range(120)] + [(i, f"einige Wörter {i}", "de") for i in range(60)]
+    a = langid.fit(make_docs(rows), per_language=20)
+    b = langid.fit(make_docs([(1000 - i, t, lang) for i, t, lang in reversed(rows)], partitions=4), per_language=20)
+    assert a.languages == b.languages and np.array_equal(a.idf, b.idf) and np.allclose(a.centroids, b.centroids, atol=1e-6)
+
+
 def test_no_labels_and_empty_tables(make_docs):
     m = langid.fit(make_docs([(1, "text without a label")]))
     assert [tuple(r) for r in langid.predict(make_docs(["some text"]), m).collect()] == [(0, "und", 0.0, True)]
