@@ -1,17 +1,19 @@
 """Quality rules: robust multivariate outliers by minimum covariance determinant (MCD).
 
 Per language and source a centre and covariance of transformed text statistics are estimated
-from the tightest share of documents: from medians and quartiles, concentration steps keep the
-documents of smallest Mahalanobis distance and estimate again.  Documents far from the centre
-of their group are rejected.  DataFrame functions only; one pass over the texts, then small
-aggregates over one narrow row per document.
+from the tightest share of documents: from several deterministic starts, concentration steps keep
+the documents of smallest Mahalanobis distance and estimate again, and the start that ends at the
+smallest determinant is taken.  Small groups are drawn towards their language, small languages
+towards the whole table, the more the fewer documents they have.  Documents far from the centre of
+their group are rejected.  DataFrame functions only; one pass over the texts, then small
+aggregates over narrow rows; quantiles come from exact counts per bin, added up by key.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlytics.llm.common import numbered, pick, restored, written
@@ -22,8 +24,10 @@ MIN_WORDS, MAX_REPEAT = 50, 50
 #: Share of a group that a concentration step keeps, number of steps, and the robust distance
 #: (in standard deviations of the tight share, over all statistics) that rejects.
 SHARE, STEPS, CUTOFF = 0.75, 3, 9.0
-#: Groups with fewer documents than this take the estimates of the whole table.
-MIN_GROUP = 50
+#: A group of this many documents counts as much as its language (a language: as the whole table).
+PRIOR = 100
+#: Bins of log(1 + x) to a unit: quantiles are exact up to the width of a bin, 0.1% of 1 + x.
+BINS = 1024
 #: The statistics and the least standard deviation each is given (a statistic may be constant).
 FLOORS = {"v_words": 0.25, "v_length": 0.25, "v_symbols": 0.05, "v_lines": 0.20, "v_repeat": 0.05}
 #: Median of the chi-square distribution with five degrees of freedom.
@@ -107,65 +111,144 @@ def _with_distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", total).drop(*[f"z_{a}" for a in FLOORS])
 
 
-def _group_key() -> Column:
-    """Language and source as one string; null is a value of its own."""
-    def part(c):
-        return F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("="), F.col(c).cast("string")))
-    return F.to_json(F.array(part("lang"), part("source")))
+def _part(c: str) -> Column:
+    return F.when(F.col(c).isNull(), "n").otherwise(F.concat(F.lit("="), F.col(c).cast("string")))
+
+
+def _group_key(*names: str) -> Column:
+    """The named columns as one string; null is a value of its own."""
+    return F.to_json(F.array(*[_part(c) for c in names]))
 
 
 ALL = "*"
-#: Estimates are broadcast up to so many groups, of some 300 bytes each; beyond, their join shuffles.
+#: Estimates are broadcast up to so many rows, of some 300 bytes each; beyond, their join shuffles.
 SMALL = 20_000
 
 
 def _small(groups: DataFrame) -> DataFrame:
-    """One row per group, with a broadcast hint if they are counted to be few."""
+    """A few rows per group, with a broadcast hint if they are counted to be few."""
     return F.broadcast(groups) if groups.limit(SMALL + 1).count() <= SMALL else groups
 
 
+def _bin(x: Column) -> Column:
+    return F.floor(F.log1p(x) * BINS)
+
+
+def _middle(bin_: Column) -> Column:
+    return F.expm1((bin_ + 0.5) / BINS)
+
+
+def _quantiles(rows: DataFrame, keys: list[str], **shares: float) -> DataFrame:
+    """keys, total and for each name the bin where the count from below reaches that share.
+
+    Rows are counted per key and bin before anything meets; a key has at most as many bins as log(1 + x)
+    of a double has (under a million), and in practice some thousands.
+    """
+    one = Window.partitionBy(*keys)
+    upto = one.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counts = (rows.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+              .select(*keys, "bin", F.sum("n").over(upto).alias("upto"), F.sum("n").over(one).alias("total")))
+    return counts.groupBy(*keys).agg(F.max("total").alias("total"), *[
+        F.min(F.when(F.col("upto") >= F.col("total") * F.lit(p), F.col("bin"))).alias(name) for name, p in shares.items()])
+
+
+MEANS = [f"m_{a}" for a in FLOORS]
+COVS = [f"c_{a}_{b}" for a, b in _pairs()]
+
+
+def _covariance() -> dict[tuple[str, str], Column]:
+    return {(a, b): F.col(f"c_{a}_{b}") for a, b in _pairs()}
+
+
+def _starts(v: DataFrame) -> DataFrame:
+    """grp, start, m_*, c_*: medians, and three first covariances of rows scaled by quartiles:
+    (0) the scales alone, (1) correlations of the rows' hyperbolic tangents, (2) of their signs,
+    that is of their directions from the median."""
+    stat = F.explode(F.array(*[F.struct(F.lit(a).alias("stat"), _bin(F.col(a)).alias("bin")) for a in FLOORS]))
+    quart = _quantiles(v.select("grp", stat.alias("s")).select("grp", "s.*"), ["grp", "stat"], low=0.25, mid=0.5, high=0.75)
+
+    def of(a, value):
+        return F.max(F.when(F.col("stat") == a, value))
+
+    wide = quart.groupBy("grp").agg(
+        *[of(a, _middle(F.col("mid"))).alias(f"m_{a}") for a in FLOORS],
+        *[of(a, F.sqrt(F.pow((_middle(F.col("high")) - _middle(F.col("low"))) / 1.349, 2) + FLOORS[a] ** 2)).alias(f"s_{a}")
+          for a in FLOORS])
+    wide = _small(written(wide, "mcd-quartiles"))
+    z = v.join(wide, "grp").withColumns({f"z_{a}": (F.col(a) - F.col(f"m_{a}")) / F.col(f"s_{a}") for a in FLOORS})
+    z = z.withColumns({f"t_{a}": F.tanh(f"z_{a}") for a in FLOORS})
+    z = z.withColumn("norm", F.sqrt(reduce(lambda x, y: x + y, (F.col(f"z_{a}") * F.col(f"z_{a}") for a in FLOORS))))
+    z = z.withColumns({f"u_{a}": F.when(F.col("norm") > 0, F.col(f"z_{a}") / F.col("norm")).otherwise(0.0) for a in FLOORS})
+    sums = z.groupBy("grp").agg(*[F.covar_pop(f"t_{a}", f"t_{b}").alias(f"t_{a}_{b}") for a, b in _pairs()],
+                                *[F.avg(F.col(f"u_{a}") * F.col(f"u_{b}")).alias(f"u_{a}_{b}") for a, b in _pairs()])
+    rows = written(sums, "mcd-starts").join(wide, "grp")
+
+    def tanh(a, b):
+        spread = F.sqrt(F.col(f"t_{a}_{a}") * F.col(f"t_{b}_{b}"))
+        return F.when(spread > 0, F.col(f"t_{a}_{b}") / spread).otherwise(0.0)
+
+    def start(k, correlation):
+        c = {(a, b): F.col(f"s_{a}") * F.col(f"s_{b}") * correlation(a, b) for a, b in _pairs()}
+        return rows.select("grp", F.lit(k).alias("start"), *MEANS, *[x.alias(f"c_{a}_{b}") for (a, b), x in c.items()])
+
+    return (start(0, lambda a, b: F.lit(1.0 if a == b else 0.0))
+            .union(start(1, lambda a, b: F.lit(1.0) if a == b else tanh(a, b)))
+            .union(start(2, lambda a, b: len(FLOORS) * F.col(f"u_{a}_{b}"))))
+
+
+def _towards(own: DataFrame, above: DataFrame) -> DataFrame:
+    """own with each estimate mixed with that of the row of `above` named in up: the weight of own is
+    n^2 / (n^2 + PRIOR^2), so it grows without a jump and few documents hardly bend a centre."""
+    names = [*MEANS, *COVS, "scale"]
+    far = above.select(F.col("grp").alias("up"), *[F.col(c).alias(f"up_{c}") for c in names])
+    n = F.col("n_docs").cast("double")
+    w = n * n / (n * n + float(PRIOR ** 2))
+    return own.join(far, "up").select("grp", "up", "n_docs", *[
+        (w * F.col(c) + (1 - w) * F.col(f"up_{c}")).alias(c) for c in names])
+
+
 def fit(stats: DataFrame) -> DataFrame:
-    """Estimates per group: grp, n_docs, m_*, l_*, scale; the group '*' is the whole table.
+    """Estimates per language and source: grp, n_docs, m_*, l_*, scale.
 
     `stats` has lang, source, base_failed and the statistics, one narrow row per document; rows
-    that fail the base rule are left out.  Every step writes one row per group.
+    that fail the base rule are left out.  Each document counts in its group, its language and the
+    whole table.  Every step writes at most a few rows per group.
     """
-    v = (stats.where("not base_failed").withColumns(vector())
-         .select(F.explode(F.array(_group_key(), F.lit(ALL))).alias("grp"), *FLOORS))
-    v = written(v, "mcd-vectors")
-    quart = v.groupBy("grp").agg(F.count(F.lit(1)).alias("n_docs"),
-                                 *[F.percentile_approx(a, [0.25, 0.5, 0.75], 10000).alias(f"q_{a}") for a in FLOORS])
-    start = {(a, b): F.pow((F.get(f"q_{a}", F.lit(2)) - F.get(f"q_{a}", F.lit(0))) / 1.349, 2) + FLOORS[a] ** 2
-             if a == b else F.lit(0.0) for a, b in _pairs()}
-    means = [f"m_{a}" for a in FLOORS]
-    quart = quart.withColumns({f"m_{a}": F.get(f"q_{a}", F.lit(1)) for a in FLOORS})
-    params = _with_roots(quart, start).select("grp", "n_docs", *means, *ROOTS)
+    lang, group = _group_key("lang"), _group_key("lang", "source")
+    levels = F.explode(F.array(*[F.struct(g.alias("grp"), up.alias("up")) for g, up in (
+        (group, lang), (lang, F.lit(ALL)), (F.lit(ALL), F.lit(None).cast("string")))]))
+    v = written(stats.where("not base_failed").withColumns(vector()).select(levels.alias("g"), *FLOORS)
+                .select("g.*", *FLOORS), "mcd-vectors")
+    v, ups = v.drop("up"), v.groupBy("grp").agg(F.max("up").alias("up"), F.count(F.lit(1)).alias("n_docs"))
+    params = _starts(v)
     for _ in range(STEPS):
-        params = _small(written(params, "mcd-estimates"))
-        d = _with_distance(v.join(params, "grp"))
-        near = _small(written(d.groupBy("grp").agg(F.percentile_approx("d2", SHARE, 10000).alias("most")), "mcd-share"))
-        kept = d.join(near, "grp").where("d2 <= most")
-        sums = kept.groupBy("grp", "n_docs").agg(
+        roots = _with_roots(params, _covariance()).select("grp", "start", *MEANS, *ROOTS)
+        roots = _small(written(roots, "mcd-estimates"))
+        d = _with_distance(v.join(roots, "grp")).withColumn("bin", _bin(F.col("d2")))
+        near = _small(written(_quantiles(d, ["grp", "start"], most=SHARE).select("grp", "start", "most"), "mcd-share"))
+        sums = d.join(near, ["grp", "start"]).where("bin <= most").groupBy("grp", "start").agg(
             *[F.avg(a).alias(f"m_{a}") for a in FLOORS],
-            *[F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in _pairs()])
-        cov = {(a, b): F.col(f"c_{a}_{b}") + (FLOORS[a] ** 2 if a == b else 0.0) for a, b in _pairs()}
-        params = _with_roots(sums, cov).select("grp", "n_docs", *means, *ROOTS)
-    params = _small(written(params, "mcd-estimates"))
-    scale = (_with_distance(v.join(params, "grp")).groupBy("grp").agg(F.percentile_approx("d2", 0.5, 10000).alias("mid"))
-             .select("grp", F.greatest(F.col("mid") / CHI2_MEDIAN, F.lit(1.0)).alias("scale")))
-    return written(params.join(scale, "grp"), "mcd-estimates")
+            *[(F.covar_pop(a, b) + (FLOORS[a] ** 2 if a == b else 0.0)).alias(f"c_{a}_{b}") for a, b in _pairs()])
+        params = written(sums, "mcd-sums")
+    size = reduce(lambda x, y: x + y, (F.log(f"l_{a}_{a}") for a in FLOORS))
+    ends = _with_roots(params, _covariance()).withColumn("size", size)
+    best = ends.groupBy("grp").agg(F.min_by(F.struct(*MEANS, *COVS, *ROOTS), F.struct("size", "start")).alias("e"))
+    best = _small(written(best.select("grp", "e.*"), "mcd-best"))
+    d = _with_distance(v.join(best.drop(*COVS), "grp")).withColumn("bin", _bin(F.col("d2")))
+    scale = _quantiles(d, ["grp"], mid=0.5).select(
+        "grp", F.greatest(_middle(F.col("mid")) / CHI2_MEDIAN, F.lit(1.0)).alias("scale"))
+    own = written(best.drop(*ROOTS).join(ups, "grp").join(scale, "grp"), "mcd-own")
+    langs = _towards(own.where(F.col("up") == ALL), own.where(F.col("grp") == ALL))
+    groups = _towards(own.where(F.col("up") != ALL), langs)
+    return written(_with_roots(groups, _covariance()).select("grp", "n_docs", *MEANS, *ROOTS, "scale"), "mcd-estimates")
 
 
 def judge(rows: DataFrame, params: DataFrame) -> DataFrame:
     """rows (with lang, source, the statistics) and `kept`, `mcd_distance` (null where the base
-    rule failed or no group has estimates; then kept is false, or true)."""
+    rule failed or the group has no estimates; then kept is false, or true)."""
     cols = rows.columns
-    use = (rows.withColumns(vector()).withColumn("grp", _group_key())
-           .join(_small(params.where((F.col("n_docs") >= MIN_GROUP) & (F.col("grp") != ALL))), "grp", "left"))
-    whole = params.where(F.col("grp") == ALL).select([F.col(c).alias(f"all_{c}") for c in params.columns])
-    use = use.join(F.broadcast(whole.limit(1)), F.lit(True), "left")  # one row
-    names = [c for c in params.columns if c not in ("grp", "n_docs")]
-    use = use.withColumns({c: F.coalesce(F.col(c), F.col(f"all_{c}")) for c in names})
+    use = (rows.withColumns(vector()).withColumn("grp", _group_key("lang", "source"))
+           .join(_small(params), "grp", "left"))
     failed = F.col("base_failed")
     use = _with_distance(use).withColumn("mcd_distance", F.when(~failed, F.sqrt(F.col("d2") / F.col("scale"))))
     return use.select(

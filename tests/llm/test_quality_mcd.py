@@ -26,46 +26,84 @@ def vec(s):
     return [math.log1p(s[0]), s[1] / n, math.sqrt(s[2] / n), math.sqrt(20 * s[3] / n), s[4] / n]
 
 
-def quantile(x, p):
-    x = sorted(x)
+def bins(x):
+    return np.floor(np.log1p(x) * Q.BINS)
+
+
+def quantile_bin(x, p):
+    x = np.sort(bins(np.asarray(x)))
     return x[max(0, math.ceil(p * len(x)) - 1)]
 
 
-def distances(x, mean, cov):
+def quantile(x, p):
+    return math.expm1((quantile_bin(x, p) + 0.5) / Q.BINS)
+
+
+def root(cov):
     low, floor = np.zeros((5, 5)), list(Q.FLOORS.values())
     for i in range(5):
         for j in range(i + 1):
             rest = cov[i, j] - low[i, :j] @ low[j, :j]
             low[i, j] = math.sqrt(max(rest, floor[i] ** 2 / 100)) if i == j else rest / low[j, j]
-    z = np.linalg.solve(low, (x - mean).T)
+    return low
+
+
+def distances(x, mean, cov):
+    z = np.linalg.solve(root(cov), (x - mean).T)
     return (z * z).sum(0)
 
 
+def first_covariances(x, mid, scale):
+    z = (x - mid) / scale
+    t = np.cov(np.tanh(z).T, bias=True).reshape(5, 5)
+    sd = np.sqrt(np.diag(t))
+    both = np.outer(sd, sd)
+    r = np.where(both > 0, t / np.where(both > 0, both, 1), 0)
+    np.fill_diagonal(r, 1)
+    norm = np.sqrt((z * z).sum(1, keepdims=True))
+    u = np.where(norm > 0, z / np.where(norm > 0, norm, 1), 0)
+    return [c * np.outer(scale, scale) for c in (np.eye(5), r, 5 * (u.T @ u) / len(u))]
+
+
 def estimate(x):
+    """(mean, covariance, scale) of the start with the smallest determinant."""
     floor = np.array(list(Q.FLOORS.values())) ** 2
-    q = [[quantile(x[:, k], p) for k in range(5)] for p in (.25, .5, .75)]
-    mean, cov = np.array(q[1]), np.diag(((np.array(q[2]) - q[0]) / 1.349) ** 2 + floor)
-    for _ in range(Q.STEPS):
-        d = distances(x, mean, cov)
-        near = x[d <= quantile(d, Q.SHARE)]
-        mean, cov = near.mean(0), np.cov(near.T, bias=True) + np.diag(floor)
+    q = np.array([[quantile(x[:, k], p) for k in range(5)] for p in (.25, .5, .75)])
+    ends = []
+    for cov in first_covariances(x, q[1], np.sqrt(((q[2] - q[0]) / 1.349) ** 2 + floor)):
+        mean = q[1]
+        for _ in range(Q.STEPS):
+            d = distances(x, mean, cov)
+            near = x[bins(d) <= quantile_bin(d, Q.SHARE)]
+            mean, cov = near.mean(0), np.cov(near.T, bias=True).reshape(5, 5) + np.diag(floor)
+        ends.append((np.log(np.diag(root(cov))).sum(), mean, cov))
+    _, mean, cov = min(ends, key=lambda e: e[0])
     return mean, cov, max(1.0, quantile(distances(x, mean, cov), .5) / Q.CHI2_MEDIAN)
 
 
+def towards(n, own, above):
+    w = n * n / (n * n + Q.PRIOR ** 2)
+    return [w * a + (1 - w) * b for a, b in zip(own, above)]
+
+
 def expected(rows):
     """rows: (doc_id, text, lang, source)."""
     s = [stats(t) for _, t, _, _ in rows]
     groups = defaultdict(list)
     for (_, _, lang, src), x in zip(rows, s):
         if not x[5]:
-            groups[lang, src].append(vec(x))
-            groups["*"].append(vec(x))
-    fits = {k: estimate(np.array(v)) for k, v in groups.items() if k == "*" or len(v) >= Q.MIN_GROUP}
+            for key in ((lang, src), (lang,), "*"):
+                groups[key].append(vec(x))
+    fits = {k: estimate(np.array(v)) for k, v in groups.items()}
+    for size in (1, 2):  # languages first, then groups towards them
+        for k in fits:
+            if k != "*" and len(k) == size:
+                fits[k] = towards(len(groups[k]), fits[k], fits[k[:1] if size == 2 else "*"])
     out = []
     for (i, _, lang, src), x in zip(rows, s):
         far = None
         if not x[5]:
-            mean, cov, scale = fits.get((lang, src), fits["*"])
+            mean, cov, scale = fits[lang, src]
             far = math.sqrt(distances(np.array([vec(x)]), mean, cov)[0] / scale)
         out.append((i, *x, far, far is not None and far <= Q.CUTOFF))
     return out
@@ -111,6 +149,26 @@ def test_small_table(spark):
     compare(Q.quality(docs), [(r.doc_id, r.text, r.lang, r.source) for r in docs.collect()])
 
 
+def test_a_growing_group_moves_without_a_jump(make_docs):
+    """One document of a style of its own, in a group of 1 to 60: its distance has no step."""
+    rnd = random.Random(5)
+    base = [(i, prose(rnd, rnd.randrange(60, 200)), "en", "a") for i in range(200)]
+    own = [(1000 + i, prose(rnd, 100) + " #" * 4, "en", "b") for i in range(60)]
+    far = []
+    for n in (46, 48, 50, 52, 54):
+        far.append(Q.quality(make_docs(base + own[:n])).where("doc_id = 1000").first().mcd_distance)
+    assert max(abs(a - b) for a, b in zip(far, far[1:])) < 0.1 * max(far)
+
+
+def test_a_shifted_fifth_does_not_carry_the_estimate(make_docs):
+    """A fifth of a group is junk of one kind: all of it goes, all prose stays."""
+    rnd = random.Random(6)
+    good = [(i, prose(rnd, rnd.randrange(60, 200)), "en", "a") for i in range(240)]
+    junk = [(1000 + i, " | # ".join(prose(rnd, 1) for _ in range(rnd.randrange(60, 90))), "en", "a") for i in range(60)]
+    kept = {r.doc_id for r in Q.quality(make_docs(good + junk)).where("kept").collect()}
+    assert kept == set(range(240))
+
+
 def test_keep_good_is_the_same_verdict_and_keeps_columns(make_docs):
     rows = corpus()
     docs = make_docs(rows, extra=True)
