@@ -112,9 +112,10 @@ def _listed(rows_of, schema: pa.Schema, length: int):
         z = zstandard.ZstdDecompressor()
         rows: list[tuple] = []
         for b in batches:
-            for key, packed, entries in zip(*(b.column(c).to_pylist() for c in ("key", "packed", "entries"))):
-                body = z.decompress(packed)
-                for e in entries:
+            for key, packed, entries in zip(*(b.column(c) for c in ("key", "packed", "entries"))):
+                key, body = key.as_py(), z.decompress(packed.as_py())
+                for e in entries:  # Python objects of one entry at a time, a text may have very many
+                    e = e.as_py()
                     rows += rows_of(body, key, e, length)
                     if len(rows) >= 50_000:
                         yield batch(rows)
@@ -207,15 +208,19 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                    .agg(F.flatten(F.collect_list(F.array("first", "end"))).alias("spans")), "pfp-spans")
 
 
-def merged(flat: list[int] | None) -> list[tuple[int, int]]:
-    """Disjoint, not touching, ascending spans."""
-    out: list[list[int]] = []
-    for lo, hi in sorted(zip(flat[::2], flat[1::2])) if flat else ():
-        if out and lo <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], hi)
-        else:
-            out.append([lo, hi])
-    return [(lo, hi) for lo, hi in out]
+def merged(flat: pa.ListScalar | list[int] | None) -> list[tuple[int, int]]:
+    """Disjoint, not touching, ascending spans.  There may be one for each byte of a text, so they
+    stay in an array and only what is left of them becomes Python objects."""
+    if isinstance(flat, pa.ListScalar):
+        flat = flat.values
+    if flat is None or len(flat) == 0:
+        return []
+    pairs = np.asarray(flat, np.int64).reshape(-1, 2)
+    pairs = pairs[np.argsort(pairs[:, 0], kind="stable")]
+    reach = np.maximum.accumulate(pairs[:, 1])
+    new = np.flatnonzero(pairs[1:, 0] > reach[:-1]) + 1
+    begins, ends = np.concatenate([[0], new]), np.concatenate([new, [len(pairs)]]) - 1
+    return list(zip(pairs[begins, 0].tolist(), reach[ends].tolist()))
 
 
 def cut(body: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -243,7 +248,7 @@ def whole_characters(body: bytes, spans: list[tuple[int, int]]) -> list[tuple[in
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         out: list[list] = [[], [], [], []]
-        for text, flat in zip(b.column("text").to_pylist(), b.column("spans").to_pylist()):
+        for text, flat in zip(b.column("text").to_pylist(), b.column("spans")):
             body, spans = (text or "").encode("utf-8", "surrogatepass"), merged(flat)
             row = (len(body), sum(hi - lo for lo, hi in spans), len(spans), hashlib.sha256(cut(body, spans)).hexdigest())
             for c, v in zip(out, row):
@@ -257,8 +262,8 @@ def _cut_texts(at: str, min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for text, flat in zip(b.column(at).to_pylist(), b.column("spans").to_pylist()):
-                if text is not None and flat:
+            for text, flat in zip(b.column(at).to_pylist(), b.column("spans")):
+                if text is not None and flat.is_valid:
                     body = text.encode("utf-8", "surrogatepass")
                     spans = whole_characters(body, merged(flat))
                     if min_words:
