@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlytics import config as C
 from postlytics.functions.text import extract_tickers
 from postlytics.functions.timeparts import epoch_seconds_of_ntz
 from postlytics.operators.reports import polarity  # noqa: F401  (signed score, used with mentions)
@@ -22,8 +23,10 @@ def ticker_mentions(post_rows: DataFrame, aliases: DataFrame, text_col: str = "t
     """One row per (post, mentioned asset): `$SYMBOL` in the raw text, resolved by alias.
 
     `keep` carries further post columns along, so callers never join the mentions
-    back to the posts they came from.
+    back to the posts they came from.  Posts without a symbol go first, so that what the caller
+    computes for `keep` is computed for the others alone.
     """
+    post_rows = post_rows.where(F.regexp_like(F.col(text_col), F.lit(C.TICKER_PATTERN)))
     m = post_rows.select("tweet_id", "author_id", *keep,
                          F.explode(F.array_distinct(extract_tickers(text_col))).alias("symbol"))
     return m.join(aliases.select("symbol", "asset_id"), "symbol", "inner")
