@@ -88,7 +88,8 @@ class Encoder:
         for s, i in vocab.items():
             self.ends[i] = s[-1:] in ".!?" or "Ċ" in s or "\n" in s
             self.sizes[i] = len(s)
-        self.words: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}  # ids of a word after a space, and of one that begins a text
+        self.begins: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         out = self.tok.encode_batch(texts, add_special_tokens=False)
@@ -107,16 +108,34 @@ class Encoder:
 
     def _by_word(self, texts: list[str]) -> list[bytes]:
         split = [t.split(" ") for t in texts]
-        first = [s.pop(0) for s in split]
-        known = self.words
-        todo = [w for w in set(chain.from_iterable(split)) if w not in known]
-        new = dict(zip(todo, self._each(todo))) if todo else {}
+        first = self._firsts([s.pop(0) for s in split])
+        known, out, missing = self.words, [], []
+        for s in split:  # most texts have no new word: one look-up a word, no set of words
+            try:
+                out.append(b"".join(map(known.__getitem__, s)))
+            except KeyError:
+                missing.append(len(out))
+                out.append(b"")
+        if missing:
+            todo = list(set(chain.from_iterable(split[i] for i in missing)).difference(known))
+            new = dict(zip(todo, self._each(todo)))
+            if len(known) + len(new) <= KEPT_WORDS:
+                known.update(new)
+                at = known.__getitem__
+            else:
+                at = lambda w: known[w] if w in known else new[w]
+            for i in missing:
+                out[i] = b"".join(map(at, split[i]))
+        return [a + b for a, b in zip(first, out)]
+
+    def _firsts(self, words: list[str]) -> list[bytes]:
+        """Ids of each word at the beginning of a text, a frequent one encoded once."""
+        known = self.begins
+        todo = list(set(words).difference(known))
+        new = dict(zip(todo, self._whole(todo))) if todo else {}
         if len(known) + len(new) <= KEPT_WORDS:
             known.update(new)
-            at = known.__getitem__
-        else:
-            at = lambda w: known[w] if w in known else new[w]
-        return [a + b"".join(map(at, s)) for a, s in zip(self._whole(first), split)]
+        return [known[w] if w in known else new[w] for w in words]
 
     def encode(self, texts: list[str], at_once: int = 1 << 20) -> Iterator[np.ndarray]:
         """Ids of each text as little-endian unsigned 32-bit numbers; about `at_once` characters at a time."""

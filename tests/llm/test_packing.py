@@ -118,3 +118,21 @@ def test_packed_plan_is_the_cheapest(make_docs, seed):
     cuts = np.cumsum([sizes[k] for k in sorted(sizes)]).tolist()
     cost = sum(at[c] + packing.SEQUENCE + (0 if (c - b) & (c - b - 1) == 0 else window - (c - b)) for b, c in zip([0, *cuts], cuts))
     assert cost == cheapest(pos, price, window)
+
+
+def test_known_words_are_encoded_once(monkeypatch):
+    """A text of known words alone reaches no encoder, and texts with new words encode only these."""
+    enc = packing.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["The old house", "The new house", "", "über das house, é"]
+    want = [enc.tok.encode(t, add_special_tokens=False).ids for t in texts]
+    asked = []
+    whole, each = enc._whole, enc._each
+    monkeypatch.setattr(enc, "_whole", lambda words: asked.append(sorted(words)) or whole(words))
+    monkeypatch.setattr(enc, "_each", lambda words: asked.append(sorted(words)) or each(words))
+    assert [ids.tolist() for ids in enc.encode(texts)] == want
+    assert len(asked) == 2
+    assert [ids.tolist() for ids in enc.encode(texts)] == want and len(asked) == 2
+    assert [ids.tolist() for ids in enc.encode(["The red house"])] == [enc.tok.encode("The red house", add_special_tokens=False).ids]
+    assert asked[2:] == [["red"]]
+    monkeypatch.setattr(packing, "KEPT_WORDS", 0)
+    assert [ids.tolist() for ids in packing.Encoder(public_tokenizers.path("byte_bpe_50k.json")).encode(texts)] == want
