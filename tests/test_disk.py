@@ -38,6 +38,44 @@ def test_pulls_land_compressed_and_large_ones_unshuffled(spark, workdir, monkeyp
     assert files.list_files(spark, f"{workdir}/land").count() == len(names[0]) + len(names[1]) + 1
 
 
+def test_pulls_land_at_the_level_set(spark, workdir, monkeypatch):
+    posts = _days(spark, range(100), text="some words that come again, some words " * 20)
+    size = {}
+    for batch, level in enumerate(("NO_COMPRESSION", C.LANDING_GZIP_LEVEL)):
+        monkeypatch.setattr(C, "LANDING_GZIP_LEVEL", level)
+        path = files.land_json(posts, f"{workdir}/land", batch)
+        size[level] = sum(os.path.getsize(f) for f in glob.glob(f"{path}/**/part-*", recursive=True))
+    assert size["BEST_SPEED"] * 3 < size["NO_COMPRESSION"]
+    assert files.read_landed(spark, f"{workdir}/land").count() == 200
+
+
+@pytest.mark.parametrize("few", [1000, 10])
+def test_pulls_written_in_one_pass_land_one_by_one(spark, workdir, monkeypatch, few):
+    monkeypatch.setattr(C, "FEW_ROWS", few)
+    twice = F.when(F.col("tweet_id") % 10 == 3, F.array(F.lit(0), F.lit(2))).otherwise(F.array(F.lit(0)))
+    posts = _days(spark, range(40)).unionByName(_posts(spark, [_post(None), _post(41, text=None)]))
+    written, root = files.write_pulls(posts, twice, f"{workdir}/pulls"), f"{workdir}/land"
+    landed = lambda: sorted((r.batch, r.tweet_id or -1, r.text, r.author_id) for r in files.read_landed(spark, root).collect())
+    want = lambda k: sorted((k, r.tweet_id or -1, r.text, r.author_id) for r in posts.where(F.array_contains(twice, k)).collect())
+    for k, so_far in ((0, want(0)), (1, want(0)), (2, want(0) + want(2))):
+        files.land_pull(spark, written, root, k)
+        assert os.path.isdir(f"{root}/batch={k}") and repr(landed()) == repr(so_far)
+    with pytest.raises(FileExistsError):
+        files.land_pull(spark, written, root, 0)
+    ids = lambda **kw: sorted(r.tweet_id or -1 for r in files.read_landed(spark, root, **kw).collect())
+    assert ids(author=1) == ids() and ids(author=2) == []
+
+
+def test_no_landed_file_holds_more_rows_than_set(spark, workdir, monkeypatch):
+    monkeypatch.setattr(C, "LANDING_FILE_ROWS", 7)
+    posts = _days(spark, range(40)).coalesce(1)
+    files.land_json(posts, f"{workdir}/land", 0)
+    files.write_pulls(posts, F.array(F.lit(0)), f"{workdir}/pulls")
+    for root in ("land", "pulls"):
+        rows = files.read_landed(spark, f"{workdir}/{root}").groupBy("_file_path").count().collect()
+        assert sum(r["count"] for r in rows) == 40 and max(r["count"] for r in rows) == 7
+
+
 @pytest.mark.parametrize("grain", [("post_date",), ()])
 def test_fresh_rows_are_new_rows_and_join_mixed_days_alone(spark, workdir, monkeypatch, grain):
     monkeypatch.setattr(C, "FEW_ROWS", 0)
