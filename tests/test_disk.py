@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postlytics import config as C
-from postlytics import sinks
+from postlytics import registry, sinks
 from postlytics.functions.text import extract_tickers
 from postlytics.operators import extensions, reports, sentiment
 from postlytics.operators.enrich import enrich
@@ -98,6 +98,22 @@ def test_fresh_rows_are_new_rows_and_join_mixed_days_alone(spark, workdir, monke
     assert "Join" not in plan and "Exchange" not in plan
 
 
+def test_report_table_is_stored_where_its_texts_were_cleaned(spark, monkeypatch):
+    seen, append = [], sinks.append_rows
+    monkeypatch.setattr(sinks, "append_rows", lambda rows, target, *a, **kw: (
+        seen.append((plan_text(rows, "simple"), target)), append(rows, target, *a, **kw)))
+    monkeypatch.setattr(C, "FEW_ROWS", 10, raising=False)
+    got = registry.QUERIES["src_report_table"](spark, SF001).collect()
+    [(plan, silver)] = seen
+    assert "Exchange hashpartitioning(tweet_id" not in plan and "Aggregate" not in plan.split("Subquery")[0]
+    assert plan.index("regexp_replace") < plan.index("Exchange")                # cleaned above the last shuffle
+    files_of = glob.glob(f"{silver.removeprefix('file:')}/**/part-*", recursive=True)
+    assert files_of and all(f.endswith(".zstd.parquet") for f in files_of)
+    posts = fixtures.posts(spark, SF001)
+    assert spark.read.parquet(silver).count() == posts.count()
+    assert got == reports.daily_rounded(reports.daily_sentiment(enrich(posts))).collect()
+
+
 def test_pages_in_order_are_stored_without_a_further_shuffle(spark, workdir):
     p = fixtures.posts(spark, SF001)
     a = pages.store_pages(fixtures.response_pages(p), f"{workdir}/a")
