@@ -98,6 +98,21 @@ def test_fresh_rows_are_new_rows_and_join_mixed_days_alone(spark, workdir, monke
     assert "Join" not in plan and "Exchange" not in plan
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_only_the_new_keys_of_mixed_days_are_joined_with_and_few_are_broadcast(spark, workdir, monkeypatch, most):
+    monkeypatch.setattr(C, "BROADCAST_ROWS", most)
+    seen, beside = [], sinks.beside
+    monkeypatch.setattr(sinks, "beside", lambda keys, n: seen.append((keys.count(), n)) or beside(keys, n))
+    target, dated = f"{workdir}/raw", lambda df: df.withColumn("post_date", sinks.post_date())
+    sinks.append_raw(_days(spark, [i for i in range(40) if i % 4 == 0 and i > 8]), target)        # days 0 to 3: i % 4
+    batch = dated(_days(spark, range(40)))
+    rows, n, _ = sinks.fresh_rows(batch, target, grain=("post_date",))
+    assert seen == [(3, 3)] and n == 33                                            # 0, 4 and 8; days 1 to 3 are whole
+    assert sorted(r.tweet_id for r in rows.collect()) == [i for i in range(40) if i % 4 or i <= 8]
+    plan = plan_text(sinks.fresh_rows(batch, target, grain=("post_date",))[0], "simple")
+    assert ("BroadcastHashJoin" in plan) == (most > 0) and ("SortMergeJoin" in plan) == (most == 0)
+
+
 def test_report_table_is_stored_where_its_texts_were_cleaned(spark, monkeypatch):
     seen, append = [], sinks.append_rows
     monkeypatch.setattr(sinks, "append_rows", lambda rows, target, *a, **kw: (
