@@ -164,6 +164,26 @@ def test_small_and_large_vocabularies_give_the_same_sums(spark, monkeypatch):
     assert sorted(small.collect(), key=repr) == sorted(large.collect(), key=repr) and small.count() == 7
 
 
+@pytest.mark.parametrize("most", [0, 1, 2, 3, 100])
+def test_texts_stay_in_place_beside_a_large_vocabulary(spark, monkeypatch, most):
+    texts = ["the good day", "The odd the", "none", "", None, "the good day", "day odd zzz odd"]
+    rows = _posts(spark, [_post(i % 5, text=t) for i, t in enumerate(texts)] + [_post(None, text="good odd")]).withColumnRenamed("text", "cleaned_tweet_text")
+    words = {"the": 4.0, "good": 1.0, "day": -2.0, "odd": -1.5, "none": -8.0}
+    lexicon = spark.createDataFrame([*words.items(), ("odd", -0.5), (None, 9.0), ("", 5.0), ("unused", 1.0)], "token string, weight double")
+    weights = [(w, -x, -1.0, -0.3 * x) for w, x in words.items()]
+    model = spark.createDataFrame([*weights, ("odd", -9.0, -0.5, -0.1)], "token string, w_negative double, w_neutral double, w_positive double")
+    priors = spark.createDataFrame([(-1.0, -1.1, -1.2)], "p_negative double, p_neutral double, p_positive double")
+    columns = ["tweet_id", "cleaned_tweet_text", "sentiment_label", "sentiment_score"]
+    scored = lambda: (sentiment.score_lexicon(rows, lexicon).select(columns),
+                      sentiment.score_naive_bayes(rows, model, priors).select(columns))
+    want = [sorted(df.collect(), key=repr) for df in scored()]
+    assert any(r.sentiment_label == "Negative" for r in want[0]) and len(want[0]) == 8
+    monkeypatch.setattr(C, "BROADCAST_ROWS", most)
+    for df, rows_wanted in zip(scored(), want):
+        assert "Exchange hashpartitioning(_key" not in plan_text(df, "simple").split("Generate", 1)[1]   # cut where they lie
+        assert sorted(df.collect(), key=repr) == rows_wanted
+
+
 def test_posts_are_read_once_for_the_spine_and_scored_only_with_a_ticker(spark):
     e = enrich(fixtures.posts(spark, SF001))
     spine = reports.calendar_spine(e, days_back=35)
