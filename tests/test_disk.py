@@ -141,6 +141,33 @@ def test_pages_in_order_are_stored_without_a_further_shuffle(spark, workdir):
     assert glob.glob(f"{path}/*.json.gz") and pages.read_pages(spark, path).count() == len(low(a))
 
 
+def test_many_pages_are_landed_and_stored_part_by_part(spark, workdir, monkeypatch):
+    p = fixtures.posts(spark, SF001).unionByName(_posts(spark, [_post(None)]))
+    tweets = lambda df: sorted((r.page_no is None, r.page_no, sorted(str(t) for t in r.data), sorted(str(u) for u in r.includes.users))
+                               for r in df.collect())
+    whole = [tweets(pages.read_pages(spark, pages.land_pages(fixtures.response_pages(p), f"{workdir}/json")))]
+    path = pages.store_pages(fixtures.response_pages(p, in_order=True), f"{workdir}/table", in_order=True)
+    whole.append(tweets(spark.read.parquet(path)))
+    assert whole[0] == whole[1] and len(whole[0]) == 11
+    moved, move = [], sinks.move_folder
+    monkeypatch.setattr(C, "PART_PAGES", 3, raising=False)
+    monkeypatch.setattr(sinks, "move_folder", lambda spark, path, to: moved.append(to) or move(spark, path, to))
+    a = pages.land_pages(fixtures.response_pages(p), f"{workdir}/parts_json")
+    b = pages.store_pages(fixtures.response_pages(p, in_order=True), f"{workdir}/parts_table", in_order=True)
+    assert moved == [a, b] and not glob.glob(f"{workdir}/*_parts")
+    assert [tweets(pages.read_pages(spark, a)), tweets(spark.read.parquet(b))] == whole
+    ranges = sorted(x for x in (tuple(spark.read.parquet(f).agg(F.min("id_low"), F.max("id_high")).first()) for f in glob.glob(f"{b}/part-*"))
+                    if x[0] is not None)
+    assert len(ranges) >= 4 and all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
+    with pytest.raises(Exception):
+        pages.land_pages(fixtures.response_pages(p), a)
+    assert tweets(pages.read_pages(spark, a)) == whole[0]
+    part = pages._parts(fixtures.response_pages(fixtures.posts(spark, SF001)))[1]       # noqa: SLF001
+    below = part._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+    assert any("Filter" in x and "event_id" in x for x in below.split("\n"))           # posts of other parts are not joined
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
 def test_tweets_stay_in_place_beside_few_users(spark, workdir, monkeypatch):
     path = pages.land_pages(fixtures.response_pages(fixtures.posts(spark, SF001)), f"{workdir}/json")
     flat = pages.flatten_pages(pages.read_pages(spark, path))
